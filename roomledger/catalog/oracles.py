@@ -380,7 +380,7 @@ SELECTS = {
     "platform_prefix": """SELECT property_ID LIKE 'ab-%' OR property_ID LIKE 'ha-%' AS known, property_ID LIKE 'ab-%' AS airbnb, count(*) AS n FROM v_raw GROUP BY 1, 2""",
     "country_alias": f"""SELECT country, region, n, CASE WHEN country IN {among(_SPELLED)} THEN {canonical('country', fixed.COUNTRY_SPELLINGS)}
         WHEN region IN ('Bhutan', 'Puerto Rico') THEN region WHEN region = 'United States Virgin Islands' THEN 'U.S. Virgin Islands' ELSE country END AS canonical
-        FROM (SELECT country, {pick(_REGIONS, 'length(country) % 5')} AS region, count(*) AS n FROM ({spread([*_SPELLED, 'Peru'], 'country')}) GROUP BY ALL)""",
+        FROM (SELECT country, {pick(_REGIONS, 'coalesce(length(country), 0) % 5')} AS region, count(*) AS n FROM ({spread([*_SPELLED, 'Peru'], 'country')}) GROUP BY ALL)""",
     "region_alias_ca": f"SELECT region, n, {canonical('region', fixed.PROVINCE_SPELLINGS)} AS canonical FROM (SELECT region, count(*) AS n FROM ({spread(S.PROVINCE_TEXTS, 'region')}) GROUP BY ALL)",
     "region_alias_us": f"SELECT region, n, {canonical('region', fixed.STATE_SPELLINGS)} AS canonical FROM (SELECT region, count(*) AS n FROM ({spread(S.STATE_TEXTS, 'region')}) GROUP BY ALL)",
     "region_alias_ru_de": f"SELECT country, {HARMONIZED} AS region, count(*) AS n FROM v_listings GROUP BY 1, 2",

@@ -341,7 +341,7 @@ def country_alias(spark: SparkSession, sf: str) -> DataFrame:
     spelled = [s for names in fixed.COUNTRY_SPELLINGS.values() for s in names]
     texts = _texts(spark, sf, [*spelled, "Peru"], "country")
     regions_ = [*fixed.COUNTRY_BY_REGION, "United States Virgin Islands", "Lima"]
-    region = F.expr(S.pick(regions_, "pmod(length(country), 5)"))
+    region = F.expr(S.pick(regions_, "coalesce(length(country), 0) % 5"))
     named = texts.withColumn("region", region)
     return named.groupBy("country", "region").agg(F.count("*").alias("n")).withColumn(
         "canonical", C.country_alias(F.col("country"), F.col("region"))

@@ -1,4 +1,4 @@
-"""Column expressions: null-strict conditionals, names, text, dates."""
+"""Column expressions: conditions on nulls, names, text, dates."""
 
 from __future__ import annotations
 
@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 
 
-def if_else_strict(condition: Column, yes: Column, no: Column) -> Column:
-    """Null where the condition is null, unlike ``when(...).otherwise(...)``."""
-    return F.when(condition, yes).when(~condition, no)
-
-
 def is_true(condition: Column) -> Column:
     """A condition whose null counts as false."""
     return F.coalesce(condition, F.lit(False))
@@ -101,14 +96,17 @@ def scraped_region_alias(country: Column, region: Column) -> Column:
 def country_exception(scrape: Column, geo: Column, region: Column) -> Column:
     """Scraped country after five known disputes with the geocoded one.
 
-    Null-strict: a null in a tested column makes the scraped country null, so
-    the row is no disagreement and the geocoded country stands.
+    Null-strict: where a null decides whether a dispute applies, the scraped
+    country becomes null, so the row is no disagreement and the geocoded
+    country stands.
     """
+    name = F.when(scrape == fixed.BONAIRE_SCRAPED, fixed.BONAIRE)
     for claimed, located in fixed.COUNTRY_EXCEPTIONS.items():
-        scrape = if_else_strict((scrape == claimed) & geo.isin(located), geo, scrape)
-    disputed = (scrape == "China") & (geo == "Taiwan") & (region == "Fujian")
-    scrape = if_else_strict(disputed, geo, scrape)
-    return if_else_strict(scrape == fixed.BONAIRE_SCRAPED, F.lit(fixed.BONAIRE), scrape)
+        name = name.when((scrape == claimed) & geo.isNull(), F.lit(None))
+        name = name.when((scrape == claimed) & geo.isin(located), geo)
+    may_be = (geo.isNull() | (geo == "Taiwan")) & (region.isNull() | (region == "Fujian"))
+    name = name.when((scrape == "China") & may_be, F.when(region.isNotNull(), geo))
+    return name.otherwise(scrape)
 
 
 def needs_retry(country: Column) -> Column:

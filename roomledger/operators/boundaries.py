@@ -33,9 +33,9 @@ def merge_parts(boundaries: DataFrame) -> DataFrame:
     A point is in the union of parts when it is in any of them, so no
     polygons need to be joined up.
     """
-    name = F.col("name")
-    for country, pattern in fixed.MERGED_COUNTRIES.items():
-        name = F.when(F.col("name").rlike(pattern), F.lit(country)).otherwise(name)
+    name = F.coalesce(
+        *[F.when(F.col("name").rlike(part), country) for country, part in fixed.MERGED_COUNTRIES.items()], F.col("name")
+    )
     return boundaries.withColumn("part", F.col("name")).withColumn("name", name)
 
 
@@ -94,6 +94,23 @@ def _odd(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") % 2 == 1).drop("_n")
 
 
+def _edges_by_cell(by_row: DataFrame) -> DataFrame:
+    """Per polygon and cell, the edges within reach."""
+    near = by_row.withColumn("cx", F.explode(F.sequence("from_cx", "to_cx")))
+    edge = F.struct("x1", "y1", "x2", "y2", "dx", "dy")
+    return near.groupBy(*POLYGON, "cy", "cx").agg(F.collect_list(edge).alias("edges"))
+
+
+def _cells(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("cx", "cy").agg(F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"))
+
+
+def outline_index(boundaries: DataFrame, *, cell: float, reach: float) -> DataFrame:
+    """An index of edges only, for points known to lie outside of all polygons."""
+    near = _edges_by_cell(_edges_by_row(ring_edges(boundaries), cell, reach + 1.0))
+    return _cells(near.withColumn("flips", F.array().cast("array<double>")))
+
+
 def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH) -> DataFrame:
     """The grid index of boundaries: (cx, cy, parts).
 
@@ -108,8 +125,7 @@ def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float =
     cell_key = [*POLYGON, "cy", "cx"]
     by_row = _edges_by_row(ring_edges(boundaries), cell, margin)
 
-    near = by_row.withColumn("cx", F.explode(F.sequence("from_cx", "to_cx")))
-    near = near.groupBy(*cell_key).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", "dx", "dy")).alias("edges"))
+    near = _edges_by_cell(by_row)
 
     # Ends of edges inside or above a row, the latter moved to its top. Ends
     # shared by two edges that start in the same column cancel, which leaves
@@ -137,10 +153,7 @@ def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float =
     inner = inner.select(*row_key, F.explode(F.sequence("cx", "last_cx")).alias("cx"))
     inner = inner.withColumn("edges", F.array().cast(near.schema["edges"].dataType))
     inner = inner.withColumn("flips", F.array(F.lit(float("inf"))))
-    cells = border.unionByName(inner)
-    return cells.groupBy("cx", "cy").agg(
-        F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts")
-    )
+    return _cells(border.unionByName(inner))
 
 
 # --- points -----------------------------------------------------------------
@@ -216,7 +229,9 @@ def nearest(
     """
     found = points.withColumn("near_name", F.lit(None).cast("string"))
     for number, (cell, reach) in enumerate(steps):
-        index = boundary_index(boundaries, cell=cell, reach=reach)
+        # from the second step on, all open points are outside of their polygons
+        build = boundary_index if number == 0 else outline_index
+        index = build(boundaries, cell=cell, reach=reach)
         looked = found.withColumnRenamed("x", "_x").withColumn("x", F.when(F.col("near_name").isNull(), F.col("_x")))
         hits = "near_hits" if number == 0 else "_hits"
         looked = locate(looked, index, cell=cell, reach=reach, column=hits)
