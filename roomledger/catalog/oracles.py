@@ -441,6 +441,7 @@ SELECTS = {
     "scrape_compare": "SELECT property_ID, country_geo, country_scrape FROM v_scrape_compared",
     "country_validate_scrape": "SELECT property_ID, country_geo, country_scrape, scrape_valid FROM v_validated WHERE country_scrape <> country_geo",
     "country_resolve": "SELECT property_ID, country, region, city FROM v_resolved",
+    "boundary_index": "SELECT name, count(*) AS n FROM v_measured WHERE layer = 'main' AND inside GROUP BY name",
     "region_compare": "SELECT property_ID, country, region, region_geo, region_scrape FROM v_region_compared",
     "province_nearest": "SELECT property_ID, region_geo FROM v_region_compared WHERE country = 'Canada'",
     "state_pip_then_nearest": "SELECT property_ID, region_geo FROM v_region_compared WHERE country = 'United States'",

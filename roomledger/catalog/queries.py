@@ -20,6 +20,7 @@ from roomledger.sources import delivered, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+STORED: dict[tuple[str, str, str], object] = {}
 
 
 def query(function: Query) -> Query:
@@ -35,7 +36,8 @@ def _routed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ranges(spark: SparkSession, sf: str, route: str) -> DataFrame:
-    return daily_ranges(_routed(spark, sf), route, S.listings(spark, sf), prefer=["event_id"])
+    both = daily_ranges(_routed(spark, sf), S.listings(spark, sf), prefer=["event_id"])
+    return both.filter(F.col("route") == route).drop("route")
 
 
 def _unique(spark: SparkSession, sf: str, route: str) -> DataFrame:
@@ -63,10 +65,27 @@ def _single(spark: SparkSession, sf: str) -> DataFrame:
     return scraping.single_scrape(S.scrapes(spark, sf).filter(F.col("raw").isNotNull()))
 
 
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], object]) -> object:
+    """A stored boundary index, built by the first query of the application that needs it."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in STORED:
+        STORED[key] = build()
+    return STORED[key]
+
+
+def _country_index(spark: SparkSession, sf: str) -> DataFrame:
+    first, second = S.countries(spark, sf), S.alternatives(spark, sf)
+    return _once(spark, sf, "countries", lambda: geocode.geocode_index(first, second, cell=S.CELL))
+
+
+def _subdivision_steps(spark: SparkSession, sf: str) -> list[boundaries.Search]:
+    strips = S.subdivisions(spark, sf)
+    return _once(spark, sf, "subdivisions", lambda: boundaries.search_steps(strips, S.STEPS))
+
+
 def _located(spark: SparkSession, sf: str) -> DataFrame:
-    index = geocode.geocode_index(S.countries(spark, sf), S.alternatives(spark, sf), cell=S.CELL)
     points = boundaries.with_xy(S.listings(spark, sf))
-    return boundaries.locate(points, index, cell=S.CELL)
+    return boundaries.locate(points, _country_index(spark, sf), cell=S.CELL, stored=True)
 
 
 def _geocoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,9 +102,7 @@ def _resolved(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf: str) -> DataFrame:
-    return regions.compare_regions(
-        _resolved(spark, sf), S.subdivisions(spark, sf), _single(spark, sf), steps=S.STEPS
-    )
+    return regions.compare_regions(_resolved(spark, sf), _subdivision_steps(spark, sf), _single(spark, sf))
 
 
 def _hulls(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,7 +132,7 @@ def shipment_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship on the largest table."""
     listings = S.supplier_listings(spark, sf)
     routed = routing.route_daily(S.shipments(spark, sf), listings)
-    return daily_ranges(routed, "active", listings)
+    return daily_ranges(routed, listings).filter("route = 'active'").drop("route")
 
 
 @query
@@ -716,11 +733,11 @@ def country_resolve(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def boundary_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Every cell of the index with the number of polygons and edges it holds."""
-    index = boundaries.boundary_index(S.countries(spark, sf), cell=S.CELL)
-    parts = index.select("cx", "cy", F.inline("parts"))
-    near = parts.filter(F.size("edges") > 0)
-    return near.groupBy("name").agg(F.count("*").alias("cells"))
+    """Listings inside each polygon, decided by the cells of a finer index than the cascade's."""
+    index = boundaries.boundary_index(S.countries(spark, sf), cell=150_000.0, reach=0.0)
+    points = boundaries.with_xy(S.listings(spark, sf))
+    found = boundaries.locate(points, index, cell=150_000.0, reach=0.0)
+    return found.select(F.inline("hits")).groupBy("name").agg(F.count("*").alias("n"))
 
 
 # --- regions ----------------------------------------------------------------
@@ -754,7 +771,7 @@ def region_validate_scrape(spark: SparkSession, sf: str) -> DataFrame:
 
 def _written_back(spark: SparkSession, sf: str) -> DataFrame:
     resolved = materialize(_resolved(spark, sf), "resolved")
-    return regions.resolve_subdivisions(resolved, S.subdivisions(spark, sf), _single(spark, sf), steps=S.STEPS)
+    return regions.resolve_subdivisions(resolved, _subdivision_steps(spark, sf), _single(spark, sf))
 
 
 @query

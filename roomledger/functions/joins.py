@@ -32,18 +32,19 @@ def lookup_join(
     *,
     null_safe: bool = False,
     weight: Column | None = None,
+    stored: bool = False,
     limit: int = BROADCAST_LIMIT,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join a large table to a lookup that is usually, but not provably, small.
 
-    The lookup is written out and measured. Up to ``limit`` rows (or summed
+    The lookup is written out, unless it is ``stored`` already, and measured. Up to ``limit`` rows (or summed
     ``weight``) it is broadcast and the facts are not shuffled at all. Beyond
     it both sides are shuffled with a salt, so that one hot key is spread over
     ``salts`` tasks; the salt is a hash of the row, hence the same on a retry.
     ``how`` is one of inner, left, left_semi, left_anti.
     """
-    lookup = materialize(lookup, "lookup")
+    lookup = lookup if stored else materialize(lookup, "lookup")
     size = lookup.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
     extra = [c for c in lookup.columns if c not in on]
     if size <= limit:

@@ -11,6 +11,9 @@ then one equi-join on the cell and one projection, whatever the polygons.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,7 @@ from roomledger import fixed_values as fixed
 from roomledger.functions import geometry as geo
 from roomledger.functions.columns import canonical, not_among
 from roomledger.functions.joins import keep_in, lookup_join
+from roomledger.session import materialize
 
 CELL = 50_000.0
 POLYGON = ["layer", "name", "part"]
@@ -102,7 +106,11 @@ def _edges_by_cell(by_row: DataFrame) -> DataFrame:
 
 
 def _cells(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("cx", "cy").agg(F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"))
+    size = F.size("edges") + F.size("flips") + 1
+    cells = parts.groupBy("cx", "cy").agg(
+        F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"), F.sum(size).alias("weight")
+    )
+    return cells
 
 
 def outline_index(boundaries: DataFrame, *, cell: float, reach: float) -> DataFrame:
@@ -112,13 +120,14 @@ def outline_index(boundaries: DataFrame, *, cell: float, reach: float) -> DataFr
 
 
 def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH) -> DataFrame:
-    """The grid index of boundaries: (cx, cy, parts).
+    """The grid index of boundaries: (cx, cy, parts, weight).
 
     ``parts`` has one entry per polygon that covers or comes near the cell:
     layer, name, part, edges, flips. A point of the cell is inside when the
     number of flips above it plus the number of edges its ray towards +x
     crosses is odd. Edges are taken whole, so the test gives exactly the
-    answer of casting the ray against the full polygon.
+    answer of casting the ray against the full polygon. ``weight`` is the size
+    of a row in edges. Boundaries seldom change: store the index and reuse it.
     """
     margin = reach + 1.0
     row_key = [*POLYGON, "cy"]
@@ -194,6 +203,7 @@ def locate(
     *,
     cell: float = CELL,
     reach: float = fixed.REACH,
+    stored: bool = False,
     column: str = "hits",
 ) -> DataFrame:
     """Adds an array of the polygons that hold each point or lie within reach.
@@ -201,40 +211,55 @@ def locate(
     Entries are struct<layer, name, inside, distance>, distance 0 when inside;
     points on the line are inside. Points without any get an empty array.
     The points are not shuffled while the index fits a broadcast; beyond that
-    crowded cells are split by the salt of lookup_join.
+    crowded cells are split by the salt of lookup_join. ``stored`` says that
+    the index is a written table.
     """
-    weight = F.aggregate("parts", F.lit(1), lambda n, part: n + F.size(part["edges"]) + F.size(part["flips"]))
     keyed = points.withColumn("cx", geo.grid(F.col("x"), cell)).withColumn("cy", geo.grid(F.col("y"), cell))
-    found = lookup_join(keyed, index, ["cx", "cy"], "left", weight=weight)
+    found = lookup_join(keyed, index, ["cx", "cy"], "left", weight=F.col("weight"), stored=stored)
     x, y = F.col("x"), F.col("y")
     tested = F.transform("parts", lambda part: _tested(part, x, y))
     hits = F.filter(F.transform(tested, _hit), lambda hit: F.coalesce(hit["distance"] <= reach, F.lit(False)))
     return found.select(*points.columns, F.coalesce(hits, F.array().cast(HITS)).alias(column))
 
 
-def nearest(
-    points: DataFrame,
-    boundaries: DataFrame,
-    *,
-    layer: str | None = None,
-    steps: tuple[tuple[float, float], ...] = ((CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9)),
-) -> DataFrame:
+@dataclass
+class Search:
+    """One step of a search for the nearest polygon: a stored index and its grid."""
+
+    index: DataFrame
+    cell: float
+    reach: float
+
+
+def search_steps(
+    boundaries: DataFrame, steps: Sequence[tuple[float, float]] = ((CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9))
+) -> list[Search]:
+    """Stored indexes for widening searches, given as (cell, reach).
+
+    The last step has all edges in every cell, so it finds a polygon however
+    far. From the second on, points are known to be outside: edges suffice.
+    """
+    found = []
+    for number, (cell, reach) in enumerate(steps):
+        build = boundary_index if number == 0 else outline_index
+        found.append(Search(materialize(build(boundaries, cell=cell, reach=reach), "index"), cell, reach))
+    return found
+
+
+def nearest(points: DataFrame, steps: list[Search], *, layer: str | None = None) -> DataFrame:
     """Adds ``near_name``, the nearest polygon however far, and ``near_hits``.
 
     Inside counts as distance 0; equal distances go to the smallest name.
-    ``layer`` names a column that polygons and points must share. The search
-    widens in steps (cell, reach): only points without a polygon within one
-    reach have a cell in the next step's index, the last of which has all
-    edges in every cell. ``near_hits`` are the hits of the first step.
+    ``layer`` names a column that polygons and points must share. Only points
+    without a polygon within one step's reach have a cell in the next step.
+    ``near_hits`` are the hits of the first step.
     """
     found = points.withColumn("near_name", F.lit(None).cast("string"))
-    for number, (cell, reach) in enumerate(steps):
-        # from the second step on, all open points are outside of their polygons
-        build = boundary_index if number == 0 else outline_index
-        index = build(boundaries, cell=cell, reach=reach)
-        looked = found.withColumnRenamed("x", "_x").withColumn("x", F.when(F.col("near_name").isNull(), F.col("_x")))
+    for number, step in enumerate(steps):
+        open_x = F.when(F.col("near_name").isNull(), F.col("_x"))
+        looked = found.withColumnRenamed("x", "_x").withColumn("x", open_x)
         hits = "near_hits" if number == 0 else "_hits"
-        looked = locate(looked, index, cell=cell, reach=reach, column=hits)
+        looked = locate(looked, step.index, cell=step.cell, reach=step.reach, stored=True, column=hits)
         mine = F.col(hits)
         if layer is not None:
             mine = F.filter(mine, lambda hit: hit["layer"] == F.col(layer))

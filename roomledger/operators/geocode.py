@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 from roomledger.functions.columns import country_exception, is_true, null_where
 from roomledger.operators.boundaries import CELL, boundary_index, locate
+from roomledger.session import materialize
 
 MAIN, ALTERNATIVE = "main", "alternative"
 
@@ -16,11 +17,11 @@ MAIN, ALTERNATIVE = "main", "alternative"
 def geocode_index(
     countries: DataFrame, alternatives: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH
 ) -> DataFrame:
-    """One index over both boundary sets, told apart by ``layer``."""
+    """One stored index over both boundary sets, told apart by ``layer``."""
     both = countries.withColumn("layer", F.lit(MAIN)).unionByName(
         alternatives.withColumn("layer", F.lit(ALTERNATIVE)), allowMissingColumns=True
     )
-    return boundary_index(both, cell=cell, reach=reach)
+    return materialize(boundary_index(both, cell=cell, reach=reach), "index")
 
 
 def _pass(hit: Column, claimed: Column) -> Column:
@@ -111,6 +112,6 @@ def locate_countries(
     property: DataFrame, index: DataFrame, scrapes: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH
 ) -> DataFrame:
     """All steps in order on points with x and y: one spatial join, one scrape join."""
-    located = geocode_cascade(locate(property, index, cell=cell, reach=reach))
+    located = geocode_cascade(locate(property, index, cell=cell, reach=reach, stored=True))
     resolved = resolve_country(validate_scrape(compare_scrape(located, scrapes)))
     return resolved.select(*property.columns)

@@ -19,29 +19,31 @@ DAILY_COLUMNS = [
 
 
 def daily_ranges(
-    routed: DataFrame, route: str, property: DataFrame, *, prefer: list[str] = (), break_at_month: bool = False
+    routed: DataFrame, property: DataFrame, *, prefer: list[str] = (), break_at_month: bool = False
 ) -> DataFrame:
-    """Ranges of one route with the listing's attributes.
+    """Active and inactive ranges, told apart by ``route``, with the listing's attributes.
 
-    The nights stay narrow up to here; attributes are joined to the ranges,
-    which are fewer. ``prefer`` orders copies of a night, greatest kept.
+    Both come from one pass: the nights are shuffled once, by listing, for
+    the routing join, and that serves the copies, the ranges and the second
+    join too. They stay narrow until they are ranges, which are fewer.
+    ``prefer`` orders copies of a night, greatest kept.
     """
-    nights = routed.filter(F.col("route") == route).select("property_ID", "date", *prefer, *NIGHT)
-    ranges = compress_ranges(
-        unique_nights(nights, ["property_ID"]), ["property_ID"], NIGHT, break_at_month=break_at_month
-    )
-    return enrich_daily(ranges, property).select(*DAILY_COLUMNS)
+    keys = ["property_ID", "route"]
+    nights = routed.filter(F.col("route") != "error").select(*keys, "date", *prefer, *NIGHT)
+    ranges = compress_ranges(unique_nights(nights, keys), keys, NIGHT, break_at_month=break_at_month)
+    return enrich_daily(ranges, property).select("route", *DAILY_COLUMNS)
 
 
 def monthly_daily(nights: DataFrame, property: DataFrame) -> dict[str, DataFrame]:
     """All outputs of a month.
 
-    The routed nights and both range tables are written once, as several
-    outputs hang off each.
+    Only the ranges are written for reuse. The errors take a second look at
+    the delivered nights, which costs less than storing all of them routed.
     """
-    routed = materialize(route_daily(nights, property), "routed")
-    daily = materialize(daily_ranges(routed, "active", property), "daily")
-    inactive = materialize(daily_ranges(routed, "inactive", property), "inactive")
+    routed = route_daily(nights, property)
+    ranges = materialize(daily_ranges(routed, property), "ranges")
+    daily = ranges.filter(F.col("route") == "active").drop("route")
+    inactive = ranges.filter(F.col("route") == "inactive").drop("route")
     return {
         "daily": daily,
         "daily_inactive": inactive,

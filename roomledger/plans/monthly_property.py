@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,11 +30,26 @@ class LastMonth:
 
 @dataclass
 class Boundaries:
-    """Canonical boundary sets, see operators.boundaries."""
+    """Stored grid indexes of the boundary sets; build them once per set."""
 
     countries: DataFrame
-    alternatives: DataFrame
-    subdivisions: DataFrame
+    subdivisions: list[boundaries.Search]
+    cell: float
+
+
+def index_boundaries(
+    countries: DataFrame,
+    alternatives: DataFrame,
+    subdivisions: DataFrame,
+    *,
+    cell: float = boundaries.CELL,
+    steps: Sequence[tuple[float, float]] = ((boundaries.CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9)),
+) -> Boundaries:
+    """Indexes of two raw country sets and of the subdivisions (layer = country)."""
+    main = boundaries.country_boundaries(countries)
+    second = boundaries.alternative_boundaries(alternatives, main)
+    index = geocode.geocode_index(main, second, cell=cell)
+    return Boundaries(index, boundaries.search_steps(subdivisions, steps), cell)
 
 
 def clean_property(delivered: DataFrame) -> dict[str, DataFrame]:
@@ -75,26 +91,18 @@ def prepare_property(
     }
 
 
-def locate_property(
-    check: DataFrame,
-    last: LastMonth,
-    maps: Boundaries,
-    *,
-    cell: float = boundaries.CELL,
-    steps: tuple[tuple[float, float], ...] | None = None,
-) -> dict[str, DataFrame]:
+def locate_property(check: DataFrame, last: LastMonth, maps: Boundaries) -> dict[str, DataFrame]:
     """Country and region for the listings to look at, and the refreshed hulls."""
-    search = {"steps": steps} if steps else {}
     single = materialize(scrapes.single_scrape(last.scrapes), "scrapes")
-    index = geocode.geocode_index(maps.countries, maps.alternatives, cell=cell)
     points = boundaries.with_xy(check)
-    placed = materialize(geocode.locate_countries(points, index, single, cell=cell), "countries")
+    placed = materialize(geocode.locate_countries(points, maps.countries, single, cell=maps.cell), "countries")
     routing.assert_rowcount(check, placed)
-    placed = regions.resolve_subdivisions(placed, maps.subdivisions, single, **search)
+    placed = regions.resolve_subdivisions(placed, maps.subdivisions, single)
     placed = regions.harmonize_regions(regions.purge_spurious_regions(materialize(placed, "regions")))
     placed = regions.region_country_vote(materialize(placed, "harmonized"))
+    placed = materialize(placed, "voted")
     refreshed = materialize(hulls.refresh_hulls(placed, last.region_hulls), "hulls")
-    placed = hulls.region_from_hull(placed, refreshed, cell=cell).drop("x", "y")
+    placed = hulls.region_from_hull(placed, refreshed, cell=maps.cell).drop("x", "y")
     return {"property": placed, "region_hulls": refreshed}
 
 
