@@ -37,7 +37,8 @@ def daily_ranges(
 def monthly_daily(nights: DataFrame, property: DataFrame) -> dict[str, DataFrame]:
     """All outputs of a month.
 
-    Only the ranges are written for reuse. The errors take a second look at
+    ``property`` is best a stored table: a hot listing's nights are then split
+    in the routing join. Only the ranges are written for reuse. The errors take a second look at
     the delivered nights, which costs less than storing all of them routed.
     """
     routed = route_daily(nights, property)

@@ -8,6 +8,7 @@ from roomledger.functions.joins import keep_in, keep_not_in
 from roomledger.operators.dates import fill_created_backfill
 from roomledger.operators.hosts import host_merge
 from roomledger.plans.monthly_daily import monthly_daily
+from roomledger.session import materialize
 
 
 def split_backlog(backlog: DataFrame, property: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -24,7 +25,8 @@ def replay_backlog(
     the listings with filled dates, and the backlog that remains.
     """
     known, rest = split_backlog(backlog, property)
-    dated = fill_created_backfill(property, known)
+    # a stored table on the listings' side lets a hot listing's nights be split
+    dated = materialize(fill_created_backfill(property, known), "dated")
     outputs = monthly_daily(known, dated)
     return {
         "property": dated,
