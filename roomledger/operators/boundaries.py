@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
 from roomledger.functions import geometry as geo
-from roomledger.functions.columns import canonical, not_among
+from roomledger.functions.columns import canonical, is_true, not_among
 from roomledger.functions.joins import keep_in, lookup_join
 from roomledger.session import materialize
 
@@ -106,7 +106,7 @@ def _edges_by_cell(by_row: DataFrame) -> DataFrame:
 
 
 def _cells(parts: DataFrame) -> DataFrame:
-    size = F.size("edges") + F.size("flips") + 1
+    size = F.size("edges") + F.coalesce(F.size("flips"), F.lit(0)) + 1
     cells = parts.groupBy("cx", "cy").agg(
         F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"), F.sum(size).alias("weight")
     )
@@ -116,7 +116,8 @@ def _cells(parts: DataFrame) -> DataFrame:
 def outline_index(boundaries: DataFrame, *, cell: float, reach: float) -> DataFrame:
     """An index of edges only, for points known to lie outside of all polygons."""
     near = _edges_by_cell(_edges_by_row(ring_edges(boundaries), cell, reach + 1.0))
-    return _cells(near.withColumn("flips", F.array().cast("array<double>")))
+    # without flips no parity is known, and only distances count
+    return _cells(near.withColumn("flips", F.lit(None).cast("array<double>")))
 
 
 def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH) -> DataFrame:
@@ -188,7 +189,7 @@ def _tested(part: Column, x: Column, y: Column) -> Column:
 
 
 def _hit(tested: Column) -> Column:
-    inside = tested["odd"] | F.coalesce(tested["away"] <= geo.ON_LINE, F.lit(False))
+    inside = is_true(tested["odd"]) | is_true(tested["away"] <= geo.ON_LINE)
     return F.struct(
         tested["layer"].alias("layer"),
         tested["name"].alias("name"),
