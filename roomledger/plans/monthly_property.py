@@ -53,8 +53,11 @@ def index_boundaries(
 
 
 def clean_property(delivered: DataFrame) -> dict[str, DataFrame]:
-    """Routes a delivered file and derives the clean columns: property, error, missing_geography."""
-    routed = routing.route_property(delivered)
+    """Routes a delivered file and derives the clean columns: property, error, missing_geography.
+
+    The parsed file is written once, as three outputs hang off it.
+    """
+    routed = materialize(routing.route_property(delivered), "delivered")
     clean = routed.filter(F.col("route") == "clean").drop("route", "parse_error")
     clean = (
         clean.withColumn("listing_title", clean_title(F.col("listing_title")))

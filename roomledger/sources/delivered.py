@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
+from roomledger.functions.columns import is_true
 
 PROPERTY_PREFIX = "All_Property_Match_"
 DAILY_PREFIX = "All_1Month_Daily_Match_"
@@ -30,17 +31,36 @@ def find_delivery(spark: SparkSession, folder: str, prefix: str, label: str) ->
     return listed.select(F.max(F.regexp_extract("path", pattern, 1))).first()[0]
 
 
+DATE = r"^\d{4}-\d{2}-\d{2}$"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def _typed(text: Column, kind: str) -> Column:
     """A supplied text as its type; null where it is no such value."""
     if kind == "date":
-        return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+        return F.when(text.rlike(DATE), text.try_cast("date"))
     if kind == "double":
-        return text.try_cast("double")
+        return F.when(text.rlike(NUMBER), text.try_cast("double"))
     if kind == "boolean":
         return F.when(text.isin(fixed.TRUE_WORDS), True).when(text.isin(fixed.FALSE_WORDS), False)
     return text
 
 
+def _faulty(text: Column, kind: str) -> Column:
+    """Whether a text is there but no value of its type.
+
+    Worded otherwise than ``_typed`` on purpose: filters that repeat the
+    expressions of many columns make the optimizer derive a predicate for
+    every combination of them.
+    """
+    tests = {
+        "date": ~text.rlike(DATE) | text.try_cast("date").isNull(),
+        "double": ~text.rlike(NUMBER),
+        "boolean": ~text.isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
+    }
+    return is_true(tests[kind])
+
+
 def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool) -> DataFrame:
     reader = spark.read.option("header", header).option("multiLine", multi_line)
     reader = reader.option("escape", '"').option("nullValue", "NA").option("emptyValue", "")
@@ -52,14 +72,14 @@ def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFr
 
     Rows that are merely short have nulls there and are no parse error.
     """
-    cells = [(F.nullif(F.trim(F.col(f"`{raw}`")), F.lit("")), name, kind) for raw, name, kind in columns]
-    cells = [(F.nullif(F.col(f"`{raw}`"), F.lit("")) if kind == "string" else cell, name, kind)
-             for (cell, name, kind), (raw, _, _) in zip(cells, columns)]
-    faults = [cell.isNotNull() & _typed(cell, kind).isNull() for cell, _, kind in cells if kind != "string"]
-    fault = F.lit(False)
-    for one in faults:
-        fault = fault | one
-    return text.select(*[_typed(cell, kind).alias(name) for cell, name, kind in cells], fault.alias("parse_error"))
+    typed, faults = [], []
+    for raw, name, kind in columns:
+        cell = F.col(f"`{raw}`") if kind == "string" else F.trim(F.col(f"`{raw}`"))
+        cell = F.nullif(cell, F.lit(""))
+        typed.append(_typed(cell, kind).alias(name))
+        if kind != "string":
+            faults.append(_faulty(cell, kind))
+    return text.select(*typed, F.array_contains(F.array(*faults), True).alias("parse_error"))
 
 
 def read_property(spark: SparkSession, path: str) -> DataFrame:
