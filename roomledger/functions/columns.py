@@ -25,13 +25,23 @@ def null_where(condition: Column, column: Column) -> Column:
     return F.when(~is_true(condition), column)
 
 
+def known_name(column: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
+    """The canonical name of a known spelling, null for any other value.
+
+    A map literal, not a chain of conditions, so that long lists stay one
+    small expression in the generated code.
+    """
+    names: dict[str, str] = {}
+    for name, sources in spellings.items():
+        for source in sources:
+            names.setdefault(source, name)
+    entries = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
+    return F.try_element_at(entries, column)
+
+
 def canonical(column: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
     """Replace known spellings by their canonical name; the rest stays as it is."""
-    name = None
-    for target, sources in spellings.items():
-        hit = column.isin(list(sources))
-        name = F.when(hit, F.lit(target)) if name is None else name.when(hit, F.lit(target))
-    return F.coalesce(name, column)
+    return F.coalesce(known_name(column, spellings), column)
 
 
 # --- listings ---------------------------------------------------------------
@@ -64,26 +74,14 @@ def is_airbnb(property_id: Column) -> Column:
 
 def country_alias(country: Column, region: Column) -> Column:
     """Supplier's country to the canonical one; country rules go before region rules."""
-    by_region = F.when(~is_true(country.isin(_country_spellings())), canonical_or_null(region, fixed.COUNTRY_BY_REGION))
-    return F.coalesce(by_region, canonical(country, fixed.COUNTRY_SPELLINGS))
-
-
-def _country_spellings() -> list[str]:
-    return [s for spellings in fixed.COUNTRY_SPELLINGS.values() for s in spellings]
-
-
-def canonical_or_null(column: Column, spellings: Mapping[str, Sequence[str]]) -> Column:
-    """The canonical name of a known spelling, null for any other value."""
-    known = [s for sources in spellings.values() for s in sources]
-    return F.when(column.isin(known), canonical(column, spellings))
+    by_country = known_name(country, fixed.COUNTRY_SPELLINGS)
+    return F.coalesce(by_country, known_name(region, fixed.COUNTRY_BY_REGION), country)
 
 
 def region_alias(country: Column, region: Column) -> Column:
     """Harmonised region names of Germany and Russia."""
-    name = F.lit(None).cast("string")
-    for land, spellings in fixed.REGION_SPELLINGS.items():
-        name = F.coalesce(name, F.when(country == land, canonical_or_null(region, spellings)))
-    return F.coalesce(name, region)
+    rules = fixed.REGION_SPELLINGS.items()
+    return F.coalesce(*[F.when(country == land, known_name(region, names)) for land, names in rules], region)
 
 
 def scraped_region_alias(country: Column, region: Column) -> Column:

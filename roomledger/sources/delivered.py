@@ -58,7 +58,7 @@ def _faulty(text: Column, kind: str) -> Column:
         "double": ~text.rlike(NUMBER),
         "boolean": ~text.isin(fixed.TRUE_WORDS + fixed.FALSE_WORDS),
     }
-    return is_true(tests[kind])
+    return text.isNotNull() & is_true(tests[kind])
 
 
 def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool) -> DataFrame:
