@@ -61,16 +61,26 @@ def lookup_join(
     return joined.select(*kept, *[F.col(f"l.{c}") for c in extra])
 
 
-def keep_in(left: DataFrame, right: DataFrame, *keys: str, null_safe: bool = False) -> DataFrame:
+def _key_set(right: DataFrame, keys: tuple[str, ...], unique: bool) -> DataFrame:
+    """The keys of ``right``. Copies of a key combine before the shuffle, unless
+    it is known to be unique: a plain scan on this side is what lets a hot key
+    on the other side be split at run time."""
+    wanted = right.select(*keys)
+    return (wanted if unique else wanted.distinct()).alias("l")
+
+
+def keep_in(
+    left: DataFrame, right: DataFrame, *keys: str, null_safe: bool = False, unique: bool = False
+) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``; null_safe lets null match null."""
-    wanted = right.select(*keys).distinct().alias("l")
-    return left.alias("f").join(wanted, _keys_match(list(keys), null_safe), "left_semi")
+    return left.alias("f").join(_key_set(right, keys, unique), _keys_match(list(keys), null_safe), "left_semi")
 
 
-def keep_not_in(left: DataFrame, right: DataFrame, *keys: str, null_safe: bool = False) -> DataFrame:
+def keep_not_in(
+    left: DataFrame, right: DataFrame, *keys: str, null_safe: bool = False, unique: bool = False
+) -> DataFrame:
     """The complement of keep_in: a null key stays unless null_safe finds a null."""
-    wanted = right.select(*keys).distinct().alias("l")
-    return left.alias("f").join(wanted, _keys_match(list(keys), null_safe), "left_anti")
+    return left.alias("f").join(_key_set(right, keys, unique), _keys_match(list(keys), null_safe), "left_anti")
 
 
 def upsert(base: DataFrame, updates: DataFrame, *keys: str, null_safe: bool = False) -> DataFrame:

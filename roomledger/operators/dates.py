@@ -63,6 +63,6 @@ def fill_created_new(property: DataFrame, nights: DataFrame) -> DataFrame:
 def fill_created_backfill(property: DataFrame, nights: DataFrame) -> DataFrame:
     """For listings lacking either date, the first active night *replaces* ``created``."""
     lacking = property.filter(F.col("created").isNull() | F.col("scraped").isNull())
-    first = first_active(keep_in(nights, lacking, "property_ID"))
+    first = first_active(keep_in(nights, lacking, "property_ID", unique=True))
     filled = property.join(first, "property_ID", "left")
     return filled.withColumn("created", F.coalesce("first_active", "created")).select(*property.columns)

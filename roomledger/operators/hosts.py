@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.columns import is_true
-from roomledger.functions.joins import keep_in, keep_not_in
+from roomledger.functions.joins import keep_in, keep_not_in, lookup_join
 from roomledger.operators.ranges import compress_ranges, sum_over_time
 
 HOST_KEYS = ["host_ID", "listing_type", "housing"]
@@ -56,11 +56,12 @@ def cross_platform_hosts(property: DataFrame) -> DataFrame:
     """
     only_homeaway = property.filter(F.col("ab_host").isNull() & F.col("ha_host").isNotNull())
     managers = only_homeaway.select(F.col("host_ID").alias("ha_host"))
-    linked = keep_in(property.filter(F.col("ab_host").isNotNull()), managers, "ha_host")
+    linked = property.filter(F.col("ab_host").isNotNull()).select("ha_host", "ab_host")
+    linked = lookup_join(linked, managers.distinct(), ["ha_host"], "left_semi")
     single = (
         linked.groupBy("ha_host")
         .agg(F.min("ab_host").alias("linked_ab_host"), F.max("ab_host").alias("_last"))
         .filter(is_true(F.col("linked_ab_host") == F.col("_last")))
         .drop("_last")
     )
-    return property.filter(F.col("ab_host").isNull()).join(single, "ha_host")
+    return lookup_join(property.filter(F.col("ab_host").isNull()), single, ["ha_host"], "inner")

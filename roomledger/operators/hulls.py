@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from roomledger import fixed_values as fixed
 from roomledger.functions.columns import not_among
 from roomledger.functions.geometry import ring_area
-from roomledger.functions.joins import keep_in, keep_not_in
+from roomledger.functions.joins import keep_not_in, lookup_join
 from roomledger.operators.boundaries import CELL, boundary_index, locate
 
 RING = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
@@ -148,27 +148,28 @@ def _corner_rows(hulls: DataFrame) -> DataFrame:
 
 def hull_update(points: DataFrame, hulls: DataFrame) -> DataFrame:
     """Known hulls widened by the points that carry their country and region."""
-    own = keep_in(_hullable(points), hulls, *HULL_KEYS).select(*HULL_KEYS, "x", "y")
+    own = lookup_join(_hullable(points), hulls.select(*HULL_KEYS).distinct(), HULL_KEYS, "left_semi")
+    own = own.select(*HULL_KEYS, "x", "y")
     return convex_hulls(own.unionByName(_corner_rows(hulls)), HULL_KEYS)
 
 
 def hull_candidates(points: DataFrame, hulls: DataFrame, min_listings: int = fixed.HULL_MIN_LISTINGS) -> DataFrame:
     """(country, region) pairs with enough listings whose region name has no hull anywhere."""
-    unknown = keep_not_in(_hullable(points), hulls, "region")
-    counts = unknown.groupBy(*HULL_KEYS).agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") >= min_listings)
+    counts = _hullable(points).groupBy(*HULL_KEYS).agg(F.count("*").alias("n"))
+    return keep_not_in(counts.filter(F.col("n") >= min_listings), hulls, "region")
 
 
 def hull_add(points: DataFrame, hulls: DataFrame, min_listings: int = fixed.HULL_MIN_LISTINGS) -> DataFrame:
     """Hulls of the regions to add."""
     wanted = hull_candidates(points, hulls, min_listings)
-    return convex_hulls(keep_in(points, wanted, *HULL_KEYS, null_safe=True), HULL_KEYS)
+    return convex_hulls(lookup_join(points, wanted.select(*HULL_KEYS), HULL_KEYS, "left_semi", null_safe=True), HULL_KEYS)
 
 
 def refresh_hulls(points: DataFrame, hulls: DataFrame, min_listings: int = fixed.HULL_MIN_LISTINGS) -> DataFrame:
     """hull_update and hull_add as one hull computation over the points."""
     wanted = hull_candidates(points, hulls, min_listings).select(*HULL_KEYS).unionByName(hulls.select(*HULL_KEYS))
-    own = keep_in(_hullable(points), wanted, *HULL_KEYS, null_safe=True).select(*HULL_KEYS, "x", "y")
+    own = lookup_join(_hullable(points), wanted.distinct(), HULL_KEYS, "left_semi", null_safe=True)
+    own = own.select(*HULL_KEYS, "x", "y")
     return convex_hulls(own.unionByName(_corner_rows(hulls)), HULL_KEYS)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
 from roomledger.functions.joins import keep_not_in, upsert
+from roomledger.session import materialize
 
 SCRAPE_COLUMNS = ["property_ID", "city", "region", "country", "raw", "date"]
 
@@ -49,9 +50,10 @@ def latest_per_key(scrapes: DataFrame) -> DataFrame:
     """The latest scrapes of each listing; ties stay, null dates never win.
 
     Aggregate and join back instead of a window, so that no listing's scrapes
-    have to be ordered in one task.
+    have to be ordered in one task; with the aggregate stored, the join can
+    split them too.
     """
-    latest = scrapes.groupBy("property_ID").agg(F.max("date").alias("date"))
+    latest = materialize(scrapes.groupBy("property_ID").agg(F.max("date").alias("date")), "latest")
     return scrapes.join(latest, ["property_ID", "date"], "left_semi").select(*scrapes.columns)
 
 
@@ -75,6 +77,9 @@ def single_scrape(scrapes: DataFrame) -> DataFrame:
 
 
 def orphan_accumulate(rows: DataFrame, property: DataFrame, orphans: DataFrame, key: str) -> DataFrame:
-    """The running table of rows without a listing, with this month's added."""
-    found = keep_not_in(rows, property, key, null_safe=True)
+    """The running table of rows without a listing, with this month's added.
+
+    ``key`` is the listing for nights, the host for host counts.
+    """
+    found = keep_not_in(rows, property, key, null_safe=True, unique=key == "property_ID")
     return found.unionByName(orphans, allowMissingColumns=True)

@@ -13,7 +13,10 @@ from roomledger.session import materialize
 
 def split_backlog(backlog: DataFrame, property: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nights whose listing is now known, and those that stay."""
-    return keep_in(backlog, property, "property_ID"), keep_not_in(backlog, property, "property_ID")
+    return (
+        keep_in(backlog, property, "property_ID", unique=True),
+        keep_not_in(backlog, property, "property_ID", unique=True),
+    )
 
 
 def replay_backlog(
