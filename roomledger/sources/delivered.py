@@ -68,14 +68,13 @@ def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool
 
 
 def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFrame:
-    """Typed clean columns, and ``parse_error`` for rows with a text of the wrong type.
+    """Typed clean columns without blanks around them, and ``parse_error`` for rows with a text of the wrong type.
 
     Rows that are merely short have nulls there and are no parse error.
     """
     typed, faults = [], []
     for raw, name, kind in columns:
-        cell = F.col(f"`{raw}`") if kind == "string" else F.trim(F.col(f"`{raw}`"))
-        cell = F.nullif(cell, F.lit(""))
+        cell = F.nullif(F.btrim(F.col(f"`{raw}`"), F.lit(" \t")), F.lit(""))
         typed.append(_typed(cell, kind).alias(name))
         if kind != "string":
             faults.append(_faulty(cell, kind))

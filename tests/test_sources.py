@@ -26,7 +26,7 @@ def test_property_file_is_read_by_name_and_type(spark, tmp_path):
         "Extra," + HEADER,
         "x," + property_line(property_ID="ab-1", listing_title='"a ""big"" one\nby the sea"', created="2020-01-05", latitude="1.5",
                              superhost="t", instant_book="0", bedrooms="2"),
-        "x," + property_line(property_ID="ab-2", created="5 January", superhost="FALSE"),
+        "x," + property_line(property_ID=" ab-2 ", created="5 January", superhost=" FALSE"),
         "x," + property_line(property_ID="ab-3", instant_book="perhaps"),
         "x,ab-4,short",
         "x," + property_line(property_ID="ab-5", bedrooms="many", created="2020-02-30"),
