@@ -13,6 +13,7 @@ from roomledger.functions import columns as C
 from roomledger.functions.joins import keep_in, keep_not_in, upsert
 from roomledger.operators import boundaries, dates, geocode, hosts, hulls, locations, places, ranges, regions, routing
 from roomledger.operators import scrapes as scraping
+from roomledger.plans import monthly_daily
 from roomledger.plans.monthly_daily import NIGHT, daily_ranges
 from roomledger.plans.replay import split_backlog
 from roomledger.session import materialize, new_run_dir
@@ -168,7 +169,7 @@ def route_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def daily_errors(spark: SparkSession, sf: str) -> DataFrame:
-    return _routed(spark, sf).filter(F.col("route") == "error").drop("route")
+    return monthly_daily.daily_errors(S.night_events(spark, sf), S.listings(spark, sf))
 
 
 @query

@@ -24,8 +24,9 @@ from roomledger.operators.boundaries import CELL, boundary_index, locate
 
 RING = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 HULL_KEYS = ["country", "region"]
-# Corners a task may hold back before it passes them on.
-HELD_CORNERS = 500_000
+# Rows a task gathers before it reduces them; many small groups then share
+# the cost, and a group met in many batches is reduced once.
+HELD_ROWS = 500_000
 SALTS = 32
 
 
@@ -65,18 +66,22 @@ def _outside_octagon(points: np.ndarray) -> np.ndarray:
 
 
 def _reduce(keys: list[str]):
-    """Task function: the corners of each group among the task's rows."""
+    """Task function: the corners of each group among the task's rows.
+
+    Should more than half of the held rows be corners, they are passed on as
+    they are, so that a task's memory is bounded whatever the data.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         size = 0
         for batch in batches:
-            held.append(_per_group(batch, keys))
-            size += len(held[-1])
-            if size > HELD_CORNERS:
+            held.append(batch)
+            size += len(batch)
+            if size > HELD_ROWS:
                 held = [_per_group(pd.concat(held), keys)]
                 size = len(held[0])
-                if size > HELD_CORNERS // 2:
+                if size > HELD_ROWS // 2:
                     yield held.pop()
                     size = 0
         if held:

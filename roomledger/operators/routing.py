@@ -22,15 +22,15 @@ def route_property(property: DataFrame) -> DataFrame:
     )
 
 
-def route_daily(nights: DataFrame, property: DataFrame) -> DataFrame:
+def route_daily(nights: DataFrame, property: DataFrame, *, for_ranges: bool = True) -> DataFrame:
     """Adds ``route``: error, inactive or active. Every night gets exactly one.
 
     error: no id, date or status, a parse fault, or an unknown listing.
     inactive: status U, or outside the listing's created..scraped dates.
-    The join shuffles both sides once on the listing; what follows on the
-    listing (unique_nights, compress_ranges) needs no further shuffle. A
-    broadcast would save nothing, as those steps would shuffle the nights,
-    and twice; hence the hint.
+    With ``for_ranges`` the join shuffles both sides once on the listing, and
+    what follows on the listing (unique_nights, compress_ranges) needs no
+    further shuffle. A broadcast would save nothing there, as those steps
+    would shuffle the nights, and twice. Without it, Spark may broadcast.
     """
     listings = property.select("property_ID", "created", "scraped", F.lit(True).alias("_known"))
     faulty = F.col("property_ID").isNull() | F.col("date").isNull() | F.col("status").isNull()
@@ -39,7 +39,8 @@ def route_daily(nights: DataFrame, property: DataFrame) -> DataFrame:
     faulty = faulty | F.col("_known").isNull()
     outside = (F.col("date") < F.col("created")) | (F.col("date") > F.col("scraped"))
     inactive = (F.col("status") == "U") | is_true(outside)
-    routed = nights.join(listings.hint("merge"), "property_ID", "left").withColumn(
+    listings = listings.hint("merge") if for_ranges else listings
+    routed = nights.join(listings, "property_ID", "left").withColumn(
         "route", F.when(faulty, "error").when(inactive, "inactive").otherwise("active")
     )
     return routed.select(*nights.columns, "route")

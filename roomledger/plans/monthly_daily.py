@@ -34,6 +34,12 @@ def daily_ranges(
     return enrich_daily(ranges, property).select("route", *DAILY_COLUMNS)
 
 
+def daily_errors(nights: DataFrame, property: DataFrame) -> DataFrame:
+    """The nights set aside, all copies included."""
+    routed = route_daily(nights, property, for_ranges=False)
+    return routed.filter(F.col("route") == "error").drop("route")
+
+
 def monthly_daily(nights: DataFrame, property: DataFrame) -> dict[str, DataFrame]:
     """All outputs of a month.
 
@@ -41,8 +47,7 @@ def monthly_daily(nights: DataFrame, property: DataFrame) -> dict[str, DataFrame
     in the routing join. Only the ranges are written for reuse. The errors take a second look at
     the delivered nights, which costs less than storing all of them routed.
     """
-    routed = route_daily(nights, property)
-    ranges = materialize(daily_ranges(routed, property), "ranges")
+    ranges = materialize(daily_ranges(route_daily(nights, property), property), "ranges")
     daily = ranges.filter(F.col("route") == "active").drop("route")
     inactive = ranges.filter(F.col("route") == "inactive").drop("route")
     return {
@@ -50,7 +55,7 @@ def monthly_daily(nights: DataFrame, property: DataFrame) -> dict[str, DataFrame
         "daily_inactive": inactive,
         "host": host_from_ranges(daily),
         "host_inactive": host_from_ranges(inactive),
-        "error": routed.filter(F.col("route") == "error").drop("route"),
+        "error": daily_errors(nights, property),
         "missing_rows": missing_rows(nights),
     }
 

@@ -163,7 +163,7 @@ def test_hulls_hold_their_points_and_survive_degenerate_groups(spark):
 
 
 def test_tasks_that_pass_corners_on_early_lose_none(spark, monkeypatch):
-    monkeypatch.setattr(hulls, "HELD_CORNERS", 50)
+    monkeypatch.setattr(hulls, "HELD_ROWS", 50)
     turn = [2 * math.pi * i / 400 for i in range(400)]
     df = spark.createDataFrame([("c", math.cos(t) * 1e5, math.sin(t) * 1e5) for t in turn], "k string, x double, y double")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
