@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 from roomledger.catalog import standins as S
 from roomledger.functions import columns as C
-from roomledger.functions.joins import keep_in, keep_not_in, upsert
+from roomledger.functions.joins import upsert
 from roomledger.operators import boundaries, dates, geocode, hosts, hulls, locations, places, ranges, regions, routing
 from roomledger.operators import scrapes as scraping
 from roomledger.plans import monthly_daily
