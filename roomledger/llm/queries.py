@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import mixing, sharding
+from roomledger.llm import mixing, repetition, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
 
 
+def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetition_rules(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *repetition.FIGURES[:5], "base_failed", "kept")
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -23,10 +28,47 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_sharding": sharding_slots,
+    "op7_repetition_rules": repetition_rules,
     "op10_source_mix": source_mix,
 }
 
 ORACLES = {
+    "op7_repetition_rules": r"""
+        WITH texts AS (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), short AS (
+            SELECT r, i, array_to_string(words[i:i + 4], ' ') AS run
+            FROM (SELECT r, words, unnest(generate_series(1, len(words) - 4)) AS i FROM texts)
+        ), covered AS (
+            SELECT r, count(DISTINCT p) AS n FROM (
+                SELECT r, unnest(generate_series(i, i + 4)) AS p
+                FROM (SELECT *, count(*) OVER (PARTITION BY r, run) AS times FROM short) WHERE times > 1
+            ) GROUP BY r
+        ), long AS (
+            SELECT DISTINCT r FROM (
+                SELECT r, array_to_string(words[i:i + 50], ' ') AS run
+                FROM (SELECT r, words, unnest(generate_series(1, len(words) - 50)) AS i FROM texts)
+            ) GROUP BY r, run HAVING count(*) > 1
+        ), lines AS (
+            SELECT r, sum(n - 1) AS n FROM (
+                SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r, line
+            ) GROUP BY r
+        ), base AS (
+            SELECT doc_id, len(words)::BIGINT AS n_words,
+                   length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+                   len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                   coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+                   long.r IS NOT NULL AS too_long
+            FROM texts LEFT JOIN covered USING (r) LEFT JOIN lines USING (r) LEFT JOIN long USING (r)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+               NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT too_long AS kept
+        FROM base
+    """,
     "op10_source_mix": r"""
         WITH sized AS (
             SELECT doc_id, source, md5('mix-' || coalesce(doc_id::VARCHAR, '')) AS key,
