@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.llm.batches import map_batches
-from roomledger.llm.words import IS_SPACE, grouped, word_hashes
+from roomledger.llm.words import IS_SPACE, grouped, scan_words
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -99,8 +99,7 @@ def figures(texts: list[bytes]) -> np.ndarray:
     found = np.zeros((len(texts), len(FIGURES)), np.int64)
     for low, high in grouped(texts):
         some = texts[low:high]
-        hashes, bounds = word_hashes(some, lower=False)
-        joined = np.frombuffer(b"\n".join(some) + b"\n", np.uint8)
+        joined, _, _, hashes, bounds = scan_words(some, lower=False)
         starts = np.cumsum([0, *(len(t) + 1 for t in some[:-1])])
         in_word = ~IS_SPACE[joined] & ((joined & 0xC0) != 0x80)  # the first byte of each character
         found[low:high, 0] = np.diff(bounds)

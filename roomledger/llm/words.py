@@ -8,6 +8,7 @@ arrays stay small whatever a batch holds; a longer text is a group of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 
@@ -28,11 +29,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def grouped(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+class Words(NamedTuple):
+    """The words of a group of texts."""
+
+    joined: np.ndarray  # bytes of all texts, each followed by a line end
+    first: np.ndarray  # where each word begins in them
+    past: np.ndarray  # and where it has ended
+    hashes: np.ndarray
+    bounds: np.ndarray  # where each text's words begin among all words; one more entry than texts
+
+    def word(self, i: int) -> bytes:
+        return self.joined[self.first[i]:self.past[i]].tobytes()
+
+
+def grouped(texts: list[bytes], most: int = GROUP) -> Iterator[tuple[int, int]]:
     """Ranges of texts to scan together."""
     start, size = 0, 0
     for i, text in enumerate(texts):
-        if size and size + len(text) > GROUP:
+        if size and size + len(text) > most:
             yield start, i
             start, size = i, 0
         size += len(text) + 1
@@ -49,8 +63,8 @@ def _powers(n: int) -> np.ndarray:
 POWERS = _powers(256)
 
 
-def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a group of texts, and where each text's words begin (one more entry than texts)."""
+def scan_words(texts: list[bytes], lower: bool) -> Words:
+    """All words of a group of texts with 64-bit hashes of their bytes, A to Z as a to z if ``lower``."""
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     if lower:
         joined = LOWER[joined]
@@ -60,14 +74,15 @@ def word_hashes(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray
     first, past = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     bounds = np.concatenate(([0], np.searchsorted(first, ends)))
     if not len(first):
-        return np.zeros(0, np.uint64), bounds
+        return Words(joined, first, past, np.zeros(0, np.uint64), bounds)
     at = np.flatnonzero(inside)
     length = past - first
     run = np.cumsum(length) - length
     place = np.arange(len(at)) - np.repeat(run, length)
     powers = POWERS if length.max() <= len(POWERS) else _powers(int(length.max()))
     value = (joined[at].astype(np.uint64) + np.uint64(1)) * powers[place]
-    return mixed(np.add.reduceat(value, run) + length.astype(np.uint64)), bounds
+    hashes = mixed(np.add.reduceat(value, run) + length.astype(np.uint64))
+    return Words(joined, first, past, hashes, bounds)
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
