@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import mixing, repetition, sharding
+from roomledger.llm import mixing, packed, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *repetition.FIGURES[:5], "base_failed", "kept")
 
 
+def separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed.token_files(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -29,6 +37,8 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_sharding": sharding_slots,
     "op7_repetition_rules": repetition_rules,
+    "op8_separator_scan": separator_scan,
+    "op9_simple8b_files": token_files,
     "op10_source_mix": source_mix,
 }
 

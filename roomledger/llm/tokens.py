@@ -8,9 +8,11 @@ the hash of their bytes, and only tokenizes words that are new to it.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import regex
 from tokenizers import Tokenizer
 
 from roomledger.llm.words import grouped, scan_words
@@ -18,7 +20,10 @@ from roomledger.llm.words import grouped, scan_words
 VOCABULARY = "word_bpe_49k.json"
 KNOWN_WORDS = 1 << 20  # kept by a worker at most; beyond it starts anew
 TEXT_GROUP = 4 << 20
-JOINED = 2000  # new words tokenized in one go
+# Fixed values of the vocabulary: the pattern that splits a normal text, and how bytes are shown as letters.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+UNSHOWN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+SHOWN = {b: 256 + k for k, b in enumerate(UNSHOWN)}
 
 
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -41,18 +46,27 @@ class WordEncoder:
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.parts: dict[str, list[int]] = {}
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of one run of letters or signs, straight from the merges."""
+        found = self.parts.get(part)
+        if found is None:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(SHOWN)
+            found = self.parts[part] = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return found
+
+    def _word(self, word: str) -> list[int]:
+        """Plain words of Latin-1 letters part by part, all others by the whole tokenizer."""
+        if word.isprintable() and "<|" not in word and (word.isascii() or max(word) <= "\xff"):
+            return [i for part in PARTS.findall(word.lower()) for i in self._part(part)]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _tokenize(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in turn, and how many each has."""
-        ids, counts = [], []
-        for low in range(0, len(words), JOINED):
-            some = words[low:low + JOINED]
-            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
-            at = np.array([o[0] for o in encoding.offsets], np.int64)
-            ids.append(np.array(encoding.ids, np.uint32))
-            counts.append(np.bincount(np.searchsorted(begins, at, side="right") - 1, minlength=len(some)))
-        return np.concatenate(ids), np.concatenate(counts)
+        found = [self._word(w) for w in words]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Add words by their sorted, new hashes."""
