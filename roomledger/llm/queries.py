@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import mixing, packed, repetition, sharding, tokencounts
+from roomledger.llm import language, mixing, packed, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
@@ -35,6 +39,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": language_id,
     "op5_sharding": sharding_slots,
     "op7_repetition_rules": repetition_rules,
     "op8_separator_scan": separator_scan,
