@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import language, mixing, packed, repetition, sharding, tokencounts
+from roomledger.llm import extraction, language, mixing, packed, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
 
 
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.repetition_rules(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", *repetition.FIGURES[:5], "base_failed", "kept")
@@ -41,6 +45,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": language_id,
     "op5_sharding": sharding_slots,
+    "op6_page_text": page_text,
     "op7_repetition_rules": repetition_rules,
     "op8_separator_scan": separator_scan,
     "op9_simple8b_files": token_files,
