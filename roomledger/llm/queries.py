@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import extraction, language, mixing, packed, repetition, sharding, tokencounts
+from roomledger.llm import extraction, jaccard, language, mixing, packed, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
@@ -44,6 +48,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": language_id,
+    "op2_jaccard_join": jaccard_join,
     "op5_sharding": sharding_slots,
     "op6_page_text": page_text,
     "op7_repetition_rules": repetition_rules,
