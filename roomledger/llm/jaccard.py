@@ -280,9 +280,7 @@ class Tree:
     """
 
     def __init__(self, members: np.ndarray, bitmaps: np.ndarray, sizes: np.ndarray):
-        order = np.lexsort(bitmaps.T[:16][::-1])
-        self.members = members[order]
-        bitmaps, sizes = np.ascontiguousarray(bitmaps[order]).view(np.uint64), sizes[order]
+        self.members = members
         slack = sizes - np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64)
         self.bits, self.low, self.high, self.slack = [bitmaps], [sizes], [sizes], [slack]
         while len(self.low[-1]) > 1:
@@ -292,9 +290,17 @@ class Tree:
             self.high.append(np.maximum.reduceat(self.high[-1], at))
             self.slack.append(np.maximum.reduceat(self.slack[-1], at))
 
-    def folded(self) -> list[np.ndarray]:
-        """The bitmaps of all levels at half the width."""
-        return [b[:, :b.shape[1] // 2] | b[:, b.shape[1] // 2:] for b in self.bits]
+    @classmethod
+    def of(cls, members: np.ndarray, bitmaps: list[bytes], sizes: np.ndarray) -> Tree:
+        """The tree of some members' bitmaps, given for all members."""
+        marks = np.frombuffer(b"".join(bitmaps[k] for k in members), np.uint8).reshape(len(members), -1)
+        order = np.lexsort(marks.T[:16][::-1])
+        return cls(members[order], np.ascontiguousarray(marks[order]).view(np.uint64), sizes[members[order]])
+
+    def folded(self) -> Tree:
+        """The same tree with bitmaps of half the width."""
+        half = self.bits[0].shape[1] // 2
+        return Tree(self.members, self.bits[0][:, :half] | self.bits[0][:, half:], self.low[0])
 
     def whole(self, state: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per level the least and greatest state of the members below each entry."""
@@ -307,29 +313,28 @@ class Tree:
         return found
 
 
-def possible(x: Tree, y: Tree, x_bits: np.ndarray, y_bits: np.ndarray, i: np.ndarray, j: np.ndarray, u: int, v: int) -> np.ndarray:
+def possible(x: Tree, y: Tree, i: np.ndarray, j: np.ndarray, u: int, v: int) -> np.ndarray:
     """Which entry pairs (i of level u, j of level v) could hold a link, by sizes and largest possible overlap."""
     low_x, low_y = x.low[u][i], y.low[v][j]
     fit = (DENOMINATOR * x.high[u][i] >= NUMERATOR * low_y) & (DENOMINATOR * y.high[v][j] >= NUMERATOR * low_x)
     some = np.flatnonzero(fit)
-    step = max(1, (1 << 21) // x_bits.shape[1])
+    step = max(1, (1 << 21) // x.bits[u].shape[1])
     for k in range(0, len(some), step):
         own = some[k:k + step]
-        common = np.bitwise_count(x_bits[i[own]] & y_bits[j[own]]).sum(axis=1, dtype=np.int64)
+        common = np.bitwise_count(x.bits[u][i[own]] & y.bits[v][j[own]]).sum(axis=1, dtype=np.int64)
         most = common + np.minimum(x.slack[u][i[own]], y.slack[v][j[own]])
         fit[own] = (NUMERATOR + DENOMINATOR) * most >= NUMERATOR * (low_x[own] + low_y[own])
     return fit
 
 
 def traverse(x: Tree, y: Tree, state: np.ndarray, leaf, settled) -> None:
-    """Dual traversal of two trees, or of one with itself, of one width or with ``y`` twice as wide.
+    """Dual traversal of two trees of one width, or of one tree with itself.
 
     ``leaf(i, j)`` gets member pairs that could link and may change ``state``;
     ``settled(a, b)`` says, from the least and greatest states below two
     entries, which pairs need no look any more.
     """
     same = x is y
-    y_levels = y.bits if x.bits[0].shape[1] == y.bits[0].shape[1] else y.folded()
     stack = [(len(x.low) - 1, len(y.low) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     while stack:
         u, v, i, j = stack.pop()
@@ -341,7 +346,7 @@ def traverse(x: Tree, y: Tree, state: np.ndarray, leaf, settled) -> None:
         if same and u == v == 0:
             fit &= i < j
         i, j = i[fit], j[fit]
-        fit = possible(x, y, x.bits[u], y_levels[v], i, j, u, v)
+        fit = possible(x, y, i, j, u, v)
         i, j = i[fit], j[fit]
         if not len(i):
             continue
@@ -369,12 +374,11 @@ def compare(bitmaps: list[bytes], sizes: np.ndarray, state: np.ndarray, leaf, se
     widths = np.array([len(b) for b in bitmaps])
     trees = {}
     for w in np.unique(widths):
-        own = np.flatnonzero(widths == w)
-        trees[int(w)] = Tree(own, np.frombuffer(b"".join(bitmaps[k] for k in own), np.uint8).reshape(len(own), -1), sizes[own])
+        trees[int(w)] = Tree.of(np.flatnonzero(widths == w), bitmaps, sizes)
     for w, tree in trees.items():
         traverse(tree, tree, state, leaf, settled)
         if 2 * w in trees:
-            traverse(tree, trees[2 * w], state, leaf, settled)
+            traverse(tree, trees[2 * w].folded(), state, leaf, settled)
 
 
 def with_partner(bitmaps: list[bytes], sizes: np.ndarray) -> np.ndarray:
