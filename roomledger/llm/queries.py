@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import extraction, jaccard, language, mixing, packed, repetition, sharding, tokencounts
+from roomledger.llm import decontamination, extraction, jaccard, language, mixing, packed, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
@@ -49,6 +54,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": language_id,
     "op2_jaccard_join": jaccard_join,
+    "op4_template_leaks": template_leaks,
     "op5_sharding": sharding_slots,
     "op6_page_text": page_text,
     "op7_repetition_rules": repetition_rules,
