@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import decontamination, extraction, jaccard, language, mixing, packed, repetition, sharding, tokencounts
+from roomledger.llm import decontamination, extraction, jaccard, language, mixing, packed, pseudonyms, repetition, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def private_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), "a key of the corpus")
+
+
 def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(docs).select("doc_id", *sharding.OWN)
@@ -54,6 +58,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": language_id,
     "op2_jaccard_join": jaccard_join,
+    "op3_pseudonyms": private_pseudonyms,
     "op4_template_leaks": template_leaks,
     "op5_sharding": sharding_slots,
     "op6_page_text": page_text,
