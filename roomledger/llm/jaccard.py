@@ -91,7 +91,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Step 1. Rows (doc_id, n_shingles, node, signature), and shingles seen often as rows (shingle, nodes)."""
+    """Step 1. Rows (doc_id, text_hash, n_shingles, node, signature), and shingles seen often as rows (shingle, nodes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held, seen = [], 0, set()
@@ -100,7 +100,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             shingle, count = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
             most = count >= OFTEN
             return pa.RecordBatch.from_pydict(
-                {"doc_id": [None], "n_shingles": [None], "node": [None], "signature": [None],
+                {"doc_id": [None], "text_hash": [None], "n_shingles": [None], "node": [None], "signature": [None],
                  "shingles": [shingle[most].tobytes()], "counts": [count[most].astype("<i8").tobytes()]}, schema)
 
         for batch in batches:
@@ -119,14 +119,15 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     held, n_held, seen = [], 0, set()
             none = pa.nulls(len(sizes), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                  pa.array(bitmaps, pa.binary()), none, none], schema=schema)
         yield often()
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("signature", pa.binary()),
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("signature", pa.binary()),
                         ("shingles", pa.binary()), ("counts", pa.binary())])
-    kind = "doc_id long, n_shingles long, node long, signature binary, shingles binary, counts binary"
-    found = materialize(map_batches(docs.select("doc_id", "text"), work, kind), "sets")
+    kind = "doc_id long, text_hash long, n_shingles long, node long, signature binary, shingles binary, counts binary"
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = materialize(map_batches(hashed, work, kind), "sets")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -542,6 +543,22 @@ def components(edges: DataFrame) -> DataFrame:
         labels = found.select("node", "label")
 
 
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, group (a node, null for an empty set), component_id."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows, often = describe(docs)
+    partners = drop_lonely(shared_shingles(docs, often), rows)
+    labels = components(connected(docs, partners, rows))
+    full = rows.filter("node IS NOT NULL").select("doc_id", "text_hash", "n_shingles", "node")
+    least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left")
+    of_label = least.filter("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id"))
+    named = least.join(of_label, "label", "left").select(
+        "node", F.coalesce("label", "node").alias("group"), F.coalesce("component_id", "least").alias("component_id"))
+    columns = ["doc_id", "text_hash", "n_shingles", "group", "component_id"]
+    empty = rows.filter("node IS NULL").withColumns({"group": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return full.join(named, "node").select(*columns).union(empty.select(*columns))
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, the least doc_id that links lead to.
 
@@ -551,13 +568,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     and text are not read; an empty table gives an empty result. A text is
     held whole in one task.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows, often = describe(docs)
-    partners = drop_lonely(shared_shingles(docs, often), rows)
-    labels = components(connected(docs, partners, rows))
-    full = rows.filter("node IS NOT NULL").select("doc_id", "n_shingles", "node")
-    least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left")
-    of_label = least.filter("label IS NOT NULL").groupBy("label").agg(F.min("least").alias("component_id"))
-    named = least.join(of_label, "label", "left").select("node", F.coalesce("component_id", "least").alias("component_id"))
-    empty = rows.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.join(named, "node").select("doc_id", "n_shingles", "component_id").union(empty)
+    return grouped_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: of the least id and, among its texts, the least hash.
+
+    Rows without words stay, being linked with nothing. All columns are kept.
+    """
+    firsts = grouped_rows(docs).filter(F.col("group").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    firsts = firsts.groupBy("group").agg(F.first("doc_id").alias("first"), F.min("text_hash").alias("first_hash"))
+    firsts = materialize(firsts.select("first", "first_hash").distinct(), "firsts")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = F.struct(*docs.columns).alias("row")
+    keyed = docs.filter(worded).select(own, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("first")) & (F.col("hash") == F.col("first_hash"))
+    kept = keyed.join(firsts, same, "left_semi").dropDuplicates(["id", "hash"]).select("row.*")
+    return kept.union(docs.filter(~worded))

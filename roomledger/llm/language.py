@@ -28,6 +28,7 @@ SAMPLE = 3000  # labelled texts learned from, at most
 LANDMARKS = 128
 RIDGE = 1e-3
 UNKNOWN = "und"
+LEAST_SCORE = 0.1  # a text like no learned language scores about 0
 TABLE = 0x30000  # code points with letters of their own; what lies beyond holds none
 CHARS = 1 << 20  # of texts scanned at once
 
@@ -178,6 +179,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return map_batches(docs.select(*kept), score, schema)
 
 
+def keep_identified(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST_SCORE) -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or scores below ``least``; rows and columns are as they were."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
+    text_at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places, lettered = presence([t or "" for t in batch.column(text_at).to_pylist()])
+            if shared.value.languages:
+                lettered &= shared.value.scores(places).max(axis=1) >= least
+            yield batch.filter(pa.array(lettered))
+
+    return map_batches(docs, keep, docs.schema)
+
+
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Learn from ``docs`` and predict its texts: doc_id, held_out, lang_pred, score, one row per row.
 
