@@ -74,7 +74,7 @@ def scan_flat(folder: str, files: DataFrame, end: int = END, block: int = BLOCK)
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, file, np.int64)), pa.array(np.full(n, number, np.int64)), pa.array(np.arange(n)),
-                     pa.array(ends), pa.array(np.append(-1, ends[:-1]), mask=np.arange(n) == 0)],
+                     pa.array(ends), pa.array(np.append(-1, ends)[:n], mask=np.arange(n) == 0)],
                     ["file", "block", "nth", "end", "last"],
                 )
 

@@ -81,7 +81,8 @@ class WordEncoder:
         """The ids of every text, as ``uint32``."""
         found = []
         for low, high in grouped(texts, TEXT_GROUP):
-            words = scan_words(texts[low:high], lower=True)
+            # The tokenizer finds special tokens before it lower-cases, so texts with their sign stay as they are.
+            words = scan_words(texts[low:high], lower=not any(b"<|" in t for t in texts[low:high]))
             each, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
             if len(self.known) + len(each) > KNOWN_WORDS:
                 self.forget()
