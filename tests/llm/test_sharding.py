@@ -37,7 +37,7 @@ def test_a_map_is_edited_little_and_can_grow(spark):
     assert 0 < (second != first).sum() < 300
     grown = sharding.rebalanced(second, changed, 25)
     moved = grown != second
-    assert (grown[moved] == 24).mean() > 0.9 and moved.sum() < 0.06 * sharding.SLOTS
+    assert (grown[moved] == 24).mean() > 0.8 and moved.sum() < 0.06 * sharding.SLOTS
     stored = sharding.map_table(spark, first, weight, weight, 2).union(sharding.map_table(spark, second, weight, weight, 3))
     assert np.array_equal(sharding.load_map(stored)[0], second) and sharding.load_map(stored)[1] == 3
     assert np.array_equal(sharding.load_map(stored, 2)[0], first)
