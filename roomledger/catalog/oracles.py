@@ -55,10 +55,11 @@ def islands(source: str, keys: str, attributes: str, month: bool = False) -> str
 
 
 def exception(scrape: str, geo: str, region: str) -> str:
-    """The null-strict chain of country exceptions as nested subqueries' CASEs."""
+    """The chain of country exceptions as nested CASEs: equations are null-strict, membership in a list is never null."""
     expression = scrape
     for claimed, located in fixed.COUNTRY_EXCEPTIONS.items():
-        test = f"({expression} = {text(claimed)} AND {geo} IN {among(located)})"
+        among_them = f"{geo} IN {among(located)}" if len(located) == 1 else f"coalesce({geo} IN {among(located)}, false)"
+        test = f"({expression} = {text(claimed)} AND {among_them})"
         expression = f"(CASE WHEN {test} THEN {geo} WHEN NOT {test} THEN {expression} END)"
     test = f"({expression} = 'China' AND {geo} = 'Taiwan' AND {region} = 'Fujian')"
     expression = f"(CASE WHEN {test} THEN {geo} WHEN NOT {test} THEN {expression} END)"
@@ -195,6 +196,25 @@ PARTS = {
     "v_merged": islands("v_merged_counts", "host_ID, listing_type, housing", "count"),
     "v_later": """SELECT property_ID, created, scraped FROM v_listings UNION ALL
         SELECT DISTINCT 'ab-new' || user_id, CASE WHEN user_id % 20 = 3 THEN NULL ELSE DATE '2024-01-05' END, DATE '2024-01-25' FROM events WHERE user_id % 10 = 3""",
+    # the monthly plans: of a night's copies the greatest by its own columns
+    "v_plan_unique": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route, property_ID, date
+        ORDER BY status DESC, booked_date DESC NULLS LAST, price DESC, res_ID DESC NULLS LAST) AS rn FROM v_routed WHERE route <> 'error') WHERE rn = 1""",
+    "v_plan_hosts": """SELECT n.route, l.host_ID, l.listing_type, l.housing, n.date, count(*) AS count
+        FROM v_plan_unique n LEFT JOIN v_listings l ON n.property_ID = l.property_ID GROUP BY ALL""",
+    "v_plan_gaps": """SELECT property_ID FROM v_events WHERE property_ID IS NOT NULL GROUP BY property_ID
+        HAVING max(date) - min(date) + 1 > count(DISTINCT date) OR count(date) > count(DISTINCT date)""",
+    "v_replay_nights": "SELECT e.* EXCLUDE (route) FROM v_routed e WHERE route = 'error' AND property_ID IN (SELECT property_ID FROM v_later)",
+    "v_replay_first": "SELECT property_ID, min(date) AS first_active FROM v_replay_nights WHERE status <> 'U' GROUP BY ALL",
+    "v_replay_dated": """SELECT l.property_ID, l.scraped,
+            CASE WHEN (l.created IS NULL OR l.scraped IS NULL) AND f.first_active IS NOT NULL THEN f.first_active ELSE l.created END AS created
+        FROM v_later l LEFT JOIN v_replay_first f ON l.property_ID = f.property_ID""",
+    "v_replay_unique": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route, property_ID, date
+            ORDER BY status DESC, booked_date DESC NULLS LAST, price DESC, res_ID DESC NULLS LAST) AS rn FROM (
+        SELECT n.*, CASE WHEN n.status = 'U' OR n.date < l.created OR n.date > l.scraped THEN 'inactive' ELSE 'active' END AS route
+        FROM v_replay_nights n JOIN v_replay_dated l ON n.property_ID = l.property_ID WHERE n.date IS NOT NULL AND n.status IS NOT NULL)) WHERE rn = 1""",
+    "v_replay_left": """SELECT property_ID, date, CASE WHEN property_ID IS NULL THEN 'no listing id' WHEN date IS NULL THEN 'no date'
+            WHEN status IS NULL THEN 'no status' ELSE 'unknown listing' END AS reason
+        FROM v_routed WHERE route = 'error' AND (property_ID IS NULL OR date IS NULL OR status IS NULL OR property_ID NOT IN (SELECT property_ID FROM v_later))""",
     "v_history_bounds": "SELECT property_ID, min(start_date) AS first_start, max(end_date) AS last_end FROM v_history WHERE status <> 'U' GROUP BY ALL",
     "v_first_active": "SELECT property_ID, min(date) AS first_active, max(date) AS last_active FROM v_events WHERE status <> 'U' GROUP BY ALL",
     "v_scrapes": f"""SELECT {pid('k')} AS property_ID, 'Town ' || (o % 5) AS city,
@@ -222,7 +242,10 @@ PARTS = {
         WHERE (l.region IS NULL OR l.region IN (SELECT region FROM v_region_list)) AND l.property_ID NOT IN (SELECT property_ID FROM v_recent)""",
     "v_worklist": """SELECT property_ID, CAST(created - INTERVAL 284 MONTH AS DATE) AS created FROM v_listings
         WHERE property_ID NOT IN (SELECT property_ID FROM v_scrapes WHERE date >= DATE '2000-05-28')""",
-    "v_numbered": "SELECT property_ID, row_number() OVER (ORDER BY substr(md5(property_ID), 1, 3), property_ID) AS n FROM v_worklist",
+    "v_numbered": """SELECT *, sum(n_first) OVER (PARTITION BY 1) AS first_pool FROM (
+        SELECT property_ID, priority, row_number() OVER (PARTITION BY priority ORDER BY substr(md5(property_ID), 1, 3), property_ID) AS n,
+            CASE WHEN priority = 1 THEN 1 ELSE 0 END AS n_first
+        FROM (SELECT property_ID, CASE WHEN created >= DATE '2000-05-01' THEN 1 ELSE 2 END AS priority FROM v_worklist))""",
     # geometry
     "v_points": f"SELECT property_ID, country, region, city, {mx('longitude')} AS x, {my('latitude')} AS y FROM v_listings",
     "v_main_edges": rings(0, 0),
@@ -339,9 +362,20 @@ SELECTS = {
     "route_daily": "SELECT event_id, property_ID, date, route FROM v_routed",
     "daily_errors": "SELECT event_id, property_ID, date, status, booked_date, price, res_ID FROM v_routed WHERE route = 'error'",
     "enrich_daily": "SELECT property_ID, date, host_ID, listing_type, housing, country, region, city FROM v_enriched",
-    "missing_rows": """SELECT *, full_count - count AS dif FROM (SELECT property_ID, count(date) AS count, CAST(max(date) - min(date) + 1 AS BIGINT) AS full_count
-        FROM v_events WHERE property_ID IS NOT NULL GROUP BY property_ID) WHERE full_count <> count""",
-    "split_status": "SELECT property_ID, start_date, end_date, status, CASE WHEN status = 'U' THEN 'daily_inactive' ELSE 'daily' END AS stored_in FROM v_history",
+    "missing_rows": """SELECT * FROM (SELECT property_ID, count(date) AS count, CAST(max(date) - min(date) + 1 AS BIGINT) AS full_count,
+        CAST(max(date) - min(date) + 1 AS BIGINT) - count(DISTINCT date) AS gaps, count(date) - count(DISTINCT date) AS copies
+        FROM v_events WHERE property_ID IS NOT NULL GROUP BY property_ID) WHERE gaps > 0 OR copies > 0""",
+    "monthly_daily_outputs": f"""SELECT CASE route WHEN 'active' THEN 'daily' ELSE 'daily_inactive' END AS output, property_ID AS id, start_date, end_date, CAST(1 AS BIGINT) AS n
+            FROM ({islands('v_plan_unique', 'route, property_ID', 'status, booked_date, price, res_ID')})
+        UNION ALL SELECT CASE route WHEN 'active' THEN 'host' ELSE 'host_inactive' END, host_ID, start_date, end_date, count
+            FROM ({islands('v_plan_hosts', 'route, host_ID, listing_type, housing', 'count')})
+        UNION ALL SELECT 'error', property_ID, date, date, 1 FROM v_routed WHERE route = 'error'
+        UNION ALL SELECT 'missing_rows', property_ID, NULL, NULL, 1 FROM v_plan_gaps""",
+    "replay_outputs": f"""SELECT CASE route WHEN 'active' THEN 'daily' ELSE 'daily_inactive' END AS output, property_ID AS id, start_date, end_date, CAST(NULL AS VARCHAR) AS reason
+            FROM ({islands('v_replay_unique', 'route, property_ID', 'status, booked_date, price, res_ID')})
+        UNION ALL SELECT 'backlog', property_ID, date, date, reason FROM v_replay_left""",
+    "split_status": """SELECT property_ID, start_date, end_date, status, CASE WHEN status = 'U' THEN 'daily_inactive' ELSE 'daily' END AS stored_in FROM v_history
+        UNION ALL SELECT property_ID, start_date, end_date, status, 'daily_inactive' FROM v_inactive_ranges""",
     "host_counts": "SELECT * FROM v_host_counts",
     "host_ranges": f"SELECT {HOST} FROM ({islands('v_host_counts', 'host_ID, listing_type, housing', 'count')})",
     "host_inactive_ranges": f"SELECT {HOST} FROM ({islands('v_host_inactive_counts', 'host_ID, listing_type, housing', 'count')})",
@@ -408,8 +442,9 @@ SELECTS = {
     "reuse_location": "SELECT * FROM v_reused",
     "needs_check": "SELECT property_ID, country, region FROM v_listings WHERE property_ID NOT IN (SELECT property_ID FROM v_reused)",
     "scrape_worklist": "SELECT property_ID, created, CASE WHEN created >= DATE '2000-05-01' THEN 1 ELSE 2 END AS priority FROM v_worklist",
-    "worklist_batches": "SELECT property_ID, (n - 1) // 100 AS batch FROM v_numbered",
-    "slice_n": "SELECT property_ID FROM v_numbered WHERE n <= 500",
+    "worklist_batches": """SELECT property_ID, priority, CAST((n - 1) // 100 + CASE WHEN priority = 2 THEN (first_pool + 99) // 100 ELSE 0 END AS BIGINT) AS batch
+        FROM v_numbered""",
+    "slice_n": "SELECT property_ID FROM v_numbered WHERE n <= 500 AND (priority = 1 OR first_pool = 0)",
     "dedup_keep_first": "SELECT * FROM v_dedup",
     "latest_per_key": "SELECT d.* FROM v_dedup d JOIN (SELECT property_ID, max(date) AS date FROM v_dedup GROUP BY ALL) m ON d.property_ID = m.property_ID AND d.date = m.date",
     "single_scrape": "SELECT * FROM v_single",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from roomledger.functions import columns as C
 from roomledger.functions.joins import upsert
 from roomledger.operators import boundaries, dates, geocode, hosts, hulls, locations, places, ranges, regions, routing
 from roomledger.operators import scrapes as scraping
-from roomledger.plans import monthly_daily
+from roomledger.plans import monthly_daily, replay
 from roomledger.plans.monthly_daily import NIGHT, daily_ranges
 from roomledger.plans.replay import split_backlog
 from roomledger.session import materialize, new_run_dir
@@ -187,7 +188,7 @@ def missing_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def split_status(spark: SparkSession, sf: str) -> DataFrame:
     daily = S.history(spark, sf)
-    active, inactive = routing.split_status(daily, daily.filter("status = 'X'"))
+    active, inactive = routing.split_status(daily, inactive_ranges(spark, sf).select(*daily.columns))
     return active.withColumn("stored_in", F.lit("daily")).unionByName(
         inactive.withColumn("stored_in", F.lit("daily_inactive"))
     )
@@ -241,6 +242,33 @@ def backlog_replay(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def monthly_daily_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """All outputs of the monthly daily plan, told apart by name."""
+    outputs = monthly_daily.monthly_daily(S.nights(spark, sf), materialize(S.listings(spark, sf), "property"))
+    daily = [outputs[o].selectExpr(f"'{o}' as output", "property_ID as id", "start_date", "end_date", "1L as n") for o in ("daily", "daily_inactive")]
+    hosted = [outputs[o].selectExpr(f"'{o}' as output", "host_ID as id", "start_date", "end_date", "count as n") for o in ("host", "host_inactive")]
+    error = outputs["error"].selectExpr("'error' as output", "property_ID as id", "date as start_date", "date as end_date", "1L as n")
+    none = "cast(null as date)"
+    missing = outputs["missing_rows"].selectExpr("'missing_rows' as output", "property_ID as id", f"{none} as start_date", f"{none} as end_date", "1L as n")
+    return reduce(DataFrame.unionByName, [*daily, *hosted, error, missing])
+
+
+@query
+def replay_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of the replayed nights, and every night that is left with its reason."""
+    errors = monthly_daily.daily_errors(S.nights(spark, sf), S.listings(spark, sf))
+    none = S.history(spark, sf).limit(0).selectExpr(
+        "property_ID as host_ID", "start_date", "end_date", "'' as listing_type", "true as housing", "0L as count")
+    outputs = replay.replay_backlog(errors, materialize(S.later_listings(spark, sf), "property"), none, none)
+    daily = [
+        outputs[o].selectExpr(f"'{o}' as output", "property_ID as id", "start_date", "end_date", "cast(null as string) as reason")
+        for o in ("daily", "daily_inactive")
+    ]
+    left = outputs["backlog"].selectExpr("'backlog' as output", "property_ID as id", "date as start_date", "date as end_date", "reason")
+    return reduce(DataFrame.unionByName, [*daily, left])
+
+
 @query
 def orphan_accumulate(spark: SparkSession, sf: str) -> DataFrame:
     nights = S.nights(spark, sf).select("property_ID", "date", "status")
@@ -560,7 +588,7 @@ def scrape_worklist(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def worklist_batches(spark: SparkSession, sf: str) -> DataFrame:
-    return scraping.worklist_batches(_worklist(spark, sf), 100).select("property_ID", "batch")
+    return scraping.worklist_batches(_worklist(spark, sf), 100).select("property_ID", "priority", "batch")
 
 
 @query

@@ -94,13 +94,15 @@ def scraped_region_alias(country: Column, region: Column) -> Column:
 def country_exception(scrape: Column, geo: Column, region: Column) -> Column:
     """Scraped country after five known disputes with the geocoded one.
 
-    Null-strict: where a null decides whether a dispute applies, the scraped
-    country becomes null, so the row is no disagreement and the geocoded
-    country stands.
+    Null-strict where the rule is an equation (one located country): where a
+    null decides whether such a dispute applies, the scraped country becomes
+    null, so the row is no disagreement and the geocoded country stands.
+    Membership in a list of countries is never null: no geocode is no member.
     """
     name = F.when(scrape == fixed.BONAIRE_SCRAPED, fixed.BONAIRE)
     for claimed, located in fixed.COUNTRY_EXCEPTIONS.items():
-        name = name.when((scrape == claimed) & geo.isNull(), F.lit(None))
+        if len(located) == 1:
+            name = name.when((scrape == claimed) & geo.isNull(), F.lit(None))
         name = name.when((scrape == claimed) & geo.isin(located), geo)
     may_be = (geo.isNull() | (geo == "Taiwan")) & (region.isNull() | (region == "Fujian"))
     name = name.when((scrape == "China") & may_be, F.when(region.isNotNull(), geo))

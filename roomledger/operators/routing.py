@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.columns import has_platform_prefix, is_true
@@ -52,13 +52,26 @@ def enrich_daily(ranges: DataFrame, property: DataFrame) -> DataFrame:
 
 
 def missing_rows(nights: DataFrame) -> DataFrame:
-    """Listings whose number of nights differs from the span they cover."""
-    per_listing = nights.filter(F.col("property_ID").isNotNull()).groupBy("property_ID").agg(
-        F.count("date").alias("count"),
+    """Listings with dates missing from the span they cover (``gaps``) or with dates given more than once (``copies``).
+
+    The two are counted apart, so that copies hide no gap.
+    """
+    per_date = nights.filter("property_ID IS NOT NULL").groupBy("property_ID", "date").agg(F.count("date").alias("n"))
+    per_listing = per_date.groupBy("property_ID").agg(
+        F.sum("n").alias("count"), F.count("date").alias("_dates"),
         (F.datediff(F.max("date"), F.min("date")) + 1).cast("long").alias("full_count"),
     )
-    gap = (F.col("full_count") - F.col("count")).alias("dif")
-    return per_listing.select("property_ID", "count", "full_count", gap).filter("dif != 0")
+    gaps, copies = (F.col("full_count") - F.col("_dates")).alias("gaps"), (F.col("count") - F.col("_dates")).alias("copies")
+    return per_listing.select("property_ID", "count", "full_count", gaps, copies).filter("gaps > 0 OR copies > 0")
+
+
+def fault_reason(columns: list[str]) -> Column:
+    """Why a night is set aside, for nights known to be."""
+    reason = F.when(F.col("property_ID").isNull(), "no listing id").when(F.col("date").isNull(), "no date")
+    reason = reason.when(F.col("status").isNull(), "no status")
+    if "parse_error" in columns:
+        reason = F.when(F.col("parse_error"), "text of the wrong type").otherwise(reason)
+    return F.coalesce(reason, F.lit("unknown listing"))
 
 
 def split_status(daily: DataFrame, daily_inactive: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
@@ -30,10 +30,23 @@ def row_numbers(df: DataFrame, key: str) -> DataFrame:
 
 
 def worklist_batches(worklist: DataFrame, size: int = fixed.SCRAPE_BATCH) -> DataFrame:
-    """Adds ``batch`` 0, 1, 2, …, each of ``size`` listings but the last."""
-    numbered = row_numbers(worklist, "property_ID")
+    """Adds ``batch`` 0, 1, 2, …, each of ``size`` listings but the last of a priority.
+
+    Priority 1 comes first and shares no batch with what follows; a list
+    without priorities is one pool.
+    """
+    if "priority" not in worklist.columns:
+        return _in_batches(worklist, size, F.lit(0).cast("long"))
+    worklist = materialize(worklist, "worklist")
+    first, rest = worklist.filter("priority = 1"), worklist.filter("priority <> 1 OR priority IS NULL")
+    n_first = -(-first.count() // size)
+    return _in_batches(first, size, F.lit(0).cast("long")).unionByName(_in_batches(rest, size, F.lit(n_first).cast("long")))
+
+
+def _in_batches(pool: DataFrame, size: int, before: Column) -> DataFrame:
+    numbered = row_numbers(pool, "property_ID")
     batch = F.floor((F.col("row_number") - 1) / F.lit(size)).cast("long")
-    return numbered.withColumn("batch", batch).drop("row_number")
+    return numbered.withColumn("batch", before + batch).drop("row_number")
 
 
 def dedup_keep_first(scrapes: DataFrame) -> DataFrame:

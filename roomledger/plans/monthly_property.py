@@ -94,9 +94,16 @@ def prepare_property(
     }
 
 
-def locate_property(check: DataFrame, last: LastMonth, maps: Boundaries) -> dict[str, DataFrame]:
-    """Country and region for the listings to look at, and the refreshed hulls."""
-    single = materialize(scrapes.single_scrape(last.scrapes), "scrapes")
+def locate_property(
+    check: DataFrame, last: LastMonth, maps: Boundaries, new_scrapes: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Country and region for the listings to look at, the refreshed hulls, and the scrapes to carry over.
+
+    This month's scrapes replace earlier ones before countries are compared;
+    scrapes without a result take no part.
+    """
+    merged = last.scrapes if new_scrapes is None else materialize(scrapes.merge_scrapes(last.scrapes, new_scrapes), "merged-scrapes")
+    single = materialize(scrapes.single_scrape(merged.filter(F.col("raw").isNotNull())), "scrapes")
     points = boundaries.with_xy(check)
     placed = materialize(geocode.locate_countries(points, maps.countries, single, cell=maps.cell), "countries")
     routing.assert_rowcount(check, placed)
@@ -106,7 +113,7 @@ def locate_property(check: DataFrame, last: LastMonth, maps: Boundaries) -> dict
     placed = materialize(placed, "voted")
     refreshed = materialize(hulls.refresh_hulls(placed, last.region_hulls), "hulls")
     placed = hulls.region_from_hull(placed, refreshed, cell=maps.cell).drop("x", "y")
-    return {"property": placed, "region_hulls": refreshed}
+    return {"property": placed, "region_hulls": refreshed, "scrapes": merged}
 
 
 def finish_property(kept: DataFrame, located: DataFrame) -> dict[str, DataFrame]:

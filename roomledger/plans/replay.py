@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from roomledger.functions.joins import keep_in, keep_not_in
 from roomledger.operators.dates import fill_created_backfill
 from roomledger.operators.hosts import host_merge
-from roomledger.plans.monthly_daily import monthly_daily
+from roomledger.operators.routing import fault_reason
+from roomledger.plans.monthly_daily import DAILY_COLUMNS, monthly_daily
 from roomledger.session import materialize
+from roomledger.sources import tables
 
 
 def split_backlog(backlog: DataFrame, property: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -24,9 +26,12 @@ def replay_backlog(
 ) -> dict[str, DataFrame]:
     """The daily run over the known part, its hosts merged into the stored ones.
 
-    Returns what to append (daily, daily_inactive), the merged host tables,
-    the listings with filled dates, and the backlog that remains.
+    Returns what to merge (daily, daily_inactive), the merged host tables,
+    the listings with filled dates, the report on missing nights, and the
+    backlog that remains: nights of unknown listings and nights that fail
+    again, each with its ``reason``. Every night is in a range or in there.
     """
+    backlog = backlog.drop("reason")
     known, rest = split_backlog(backlog, property)
     # a stored table on the listings' side lets a hot listing's nights be split
     dated = materialize(fill_created_backfill(property, known), "dated")
@@ -37,5 +42,17 @@ def replay_backlog(
         "daily_inactive": outputs["daily_inactive"],
         "host": host_merge(host, outputs["host"]),
         "host_inactive": host_merge(host_inactive, outputs["host_inactive"]),
-        "backlog": rest,
+        "missing_rows": outputs["missing_rows"],
+        "backlog": rest.unionByName(outputs["error"]).withColumn("reason", fault_reason(backlog.columns)),
     }
+
+
+def store_replay(outputs: dict[str, DataFrame], root: str, label: str) -> None:
+    """Merge replayed ranges into the months they start in, replace the host tables' months, write the reports.
+
+    A second run changes nothing. What the months hold already stays.
+    """
+    for name in ("daily", "daily_inactive"):
+        tables.merge_months(outputs[name].select(*DAILY_COLUMNS), f"{root}/{name}", "start_date", ["property_ID", "start_date"])
+    for name in ("backlog", "missing_rows"):
+        tables.write_quarantine(outputs[name], f"{root}/reports/{name}_{label}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,11 +42,11 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in spark.checkpoint.dir.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a session in one process may fall back to a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="roomledger-")
         spark.conf.set("spark.checkpoint.dir", folder)

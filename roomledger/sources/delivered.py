@@ -70,15 +70,20 @@ def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool
 def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFrame:
     """Typed clean columns without blanks around them, and ``parse_error`` for rows with a text of the wrong type.
 
+    ``faulty_texts`` keeps those texts as ``column=text``, null without any.
     Rows that are merely short have nulls there and are no parse error.
     """
-    typed, faults = [], []
+    typed, faults, texts = [], [], []
     for raw, name, kind in columns:
         cell = F.nullif(F.btrim(F.col(f"`{raw}`"), F.lit(" \t")), F.lit(""))
         typed.append(_typed(cell, kind).alias(name))
         if kind != "string":
             faults.append(_faulty(cell, kind))
-    return text.select(*typed, F.array_contains(F.array(*faults), True).alias("parse_error"))
+            texts.append(F.when(faults[-1], F.concat(F.lit(f"{name}="), cell)))
+    return text.select(
+        *typed, F.array_contains(F.array(*faults), True).alias("parse_error"),
+        F.nullif(F.concat_ws("; ", *texts), F.lit("")).alias("faulty_texts"),
+    )
 
 
 def read_property(spark: SparkSession, path: str) -> DataFrame:
@@ -107,11 +112,19 @@ def read_daily_minimum(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_backlog(spark: SparkSession, path: str) -> DataFrame:
-    """Quarantined nights written by ``write_quarantine``, typed again."""
+    """Quarantined nights written by ``write_quarantine``, typed again.
+
+    What was a fault stays one: ``parse_error`` and ``faulty_texts`` come back.
+    """
     text = spark.read.option("header", True).option("escape", '"').csv(path)
     kinds = {name: kind for _, name, kind in fixed.DAILY_COLUMNS}
     columns = [(c, c, kinds[c]) for c in ("property_ID", "date", "status", "booked_date", "price", "res_ID")]
-    return _apply_types(text, columns).drop("parse_error")
+    if "faulty_texts" not in text.columns:
+        return _apply_types(text, columns)
+    kept = text.withColumn("_kept", F.nullif(F.col("faulty_texts"), F.lit("")))
+    typed = _apply_types(kept, [*columns, ("_kept", "_kept", "string")])
+    return typed.withColumn("parse_error", F.col("parse_error") | F.col("_kept").isNotNull()).withColumn(
+        "faulty_texts", F.coalesce("_kept", "faulty_texts")).drop("_kept")
 
 
 def parse_errors(delivered: DataFrame) -> DataFrame:

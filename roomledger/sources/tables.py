@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roomledger.functions.joins import upsert
+from roomledger.session import materialize
+
 LOCALITY = ["country", "region", "city"]
 
 
@@ -34,20 +38,40 @@ def _clustered(df: DataFrame, by: list[str], tie_break: list[str]) -> DataFrame:
 
 
 def append_month(df: DataFrame, path: str, label: str, keys: list[str]) -> None:
-    """Add a month to a stored table; a rerun replaces just that month."""
+    """Store the whole of a month; a rerun replaces just that month. Late rows go through ``merge_months``."""
     stored = _clustered(df, LOCALITY, keys).withColumn("year_month", F.lit(label))
     writer = stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("year_month").parquet(path)
 
 
+def merge_months(df: DataFrame, path: str, day: str, keys: list[str]) -> None:
+    """Add late rows to the months that their ``day`` lies in; stored rows of the same keys give way, all others stay.
+
+    Only those months are read and rewritten, from a written copy, so a run
+    that dies can be repeated. Months without late rows are not touched.
+    """
+    late = materialize(df.withColumn("year_month", F.date_format(day, "yyyy_MM")), "late")
+    months = [r["year_month"] for r in late.select("year_month").distinct().collect()]  # calendar months, a few hundred at most
+    try:
+        stored = read_table(df.sparkSession, path).filter(F.col("year_month").isin(months))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = late.limit(0)
+    rows = materialize(upsert(stored, late, *keys, null_safe=True), "merged")
+    spread = _clustered(rows, ["year_month", *LOCALITY], keys)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_month").parquet(path)
+
+
 def replace_table(df: DataFrame, path: str, keys: list[str]) -> None:
     """Drop and rewrite a whole table."""
     _clustered(df, LOCALITY, keys).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_quarantine(df: DataFrame, path: str) -> str:
-    """Rows set aside, as CSV with a header for people to read."""
-    flat = df.select(*[c for c in df.columns if not isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType))])
+    """Rows set aside, as CSV with a header for people to read; columns that CSV cannot hold are written as JSON."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    flat = df.select(*[F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, nested) else F.col(c) for c in df.columns])
     flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 

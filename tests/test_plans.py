@@ -63,7 +63,22 @@ def test_replay_equals_having_known_the_listings_at_once(spark, listings):
         merged = {tuple(r) for r in again[name].collect()}
         assert merged == {tuple(r) for r in at_once[name].collect()}
     known = {r.property_ID for r in later.collect()}
-    assert all(r.property_ID not in known for r in again["backlog"].collect())
+    assert all((r.reason == "unknown listing") == (r.property_ID not in known and r.property_ID is not None and r.date is not None
+                                                   and r.status is not None) for r in again["backlog"].collect())
+
+
+def test_replay_keeps_every_night(spark, listings):
+    """A good night, one of a known listing without a date, one of an unknown listing: one range and two left."""
+    one = listings.filter("property_ID is not null and created is not null").limit(1).collect()[0]
+    rows = [(one.property_ID, one.created, "A"), (one.property_ID, None, "A"), ("ab-nobody", one.created, "A")]
+    nights = spark.createDataFrame(rows, "property_ID string, date date, status string").selectExpr(
+        "*", "cast(null as date) booked_date", "1.0D price", "cast(null as double) res_ID")
+    none = monthly_daily.monthly_daily(nights.limit(0), listings)
+    out = replay.replay_backlog(nights, listings, none["host"], none["host_inactive"])
+    assert out["daily"].count() + out["daily_inactive"].count() == 1
+    assert {(r.property_ID, r.reason) for r in out["backlog"].collect()} == {(one.property_ID, "no date"), ("ab-nobody", "unknown listing")}
+    again = replay.replay_backlog(out["backlog"], listings, out["host"], out["host_inactive"])
+    assert again["backlog"].count() == 2
 
 
 @pytest.fixture(scope="module")

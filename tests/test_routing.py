@@ -38,9 +38,11 @@ def test_every_night_takes_exactly_one_route(spark):
 
 def test_missing_rows_sees_gaps_and_copies(spark):
     rows = [("gap", date(2024, 1, 1), "A"), ("gap", date(2024, 1, 3), "A"), ("copy", date(2024, 1, 1), "A"),
-            ("copy", date(2024, 1, 1), "A"), ("fine", date(2024, 1, 1), "A"), ("fine", date(2024, 1, 2), "A")]
+            ("copy", date(2024, 1, 1), "A"), ("fine", date(2024, 1, 1), "A"), ("fine", date(2024, 1, 2), "A"),
+            ("both", date(2024, 1, 1), "A"), ("both", date(2024, 1, 1), "A"), ("both", date(2024, 1, 3), "A")]
     found = routing.missing_rows(spark.createDataFrame(rows, NIGHTS)).collect()
-    assert {(r.property_ID, r["count"], r.full_count, r.dif) for r in found} == {("gap", 2, 3, 1), ("copy", 2, 1, -1)}
+    assert {(r.property_ID, r["count"], r.full_count, r.gaps, r.copies) for r in found} == {
+        ("gap", 2, 3, 1, 0), ("copy", 2, 1, 0, 1), ("both", 3, 3, 1, 1)}
 
 
 def test_assertions_raise(spark):
@@ -117,6 +119,12 @@ def test_batches_are_full_and_whole(spark):
     assert sizes == {**{n: 100 for n in range(10)}, 10: 5}
 
 
+def test_the_first_priority_is_emptied_first(spark):
+    ids = spark.range(25).selectExpr("concat('ab-', id) as property_ID", "cast(if(id % 2 = 0, 1, 2) as int) as priority")
+    batches = {(r.priority, r.batch): r["count"] for r in scraping.worklist_batches(ids, 10).groupBy("priority", "batch").count().collect()}
+    assert batches == {(1, 0): 10, (1, 1): 3, (2, 2): 10, (2, 3): 2}
+
+
 def test_scrapes_keep_ties_and_ignore_null_dates(spark):
     schema = "property_ID string, city string, region string, country string, raw string, date date"
     d = date(2024, 1, 5)

@@ -34,7 +34,8 @@ def test_property_file_is_read_by_name_and_type(spark, tmp_path):
     ]
     read = delivered.read_property(spark, write(tmp_path / "property.csv", lines))
     rows = {r.property_ID: r for r in read.collect()}
-    assert len(read.columns) == 36
+    assert len(read.columns) == 37
+    assert rows["ab-2"].faulty_texts == "created=5 January" and rows["ab-1"].faulty_texts is None
     one = rows["ab-1"]
     assert (one.listing_title, one.created, one.latitude, one.superhost, one.instant_book, one.bedrooms, one.parse_error) == (
         'a "big" one\nby the sea', date(2020, 1, 5), 1.5, True, False, 2.0, False)
@@ -51,9 +52,9 @@ def test_daily_file_is_read_by_position(spark, tmp_path):
     with_header = delivered.read_daily(spark, write(tmp_path / "a.csv", [header, *body]))
     without = delivered.read_daily(spark, write(tmp_path / "b.csv", body), header=False)
     assert [tuple(r) for r in with_header.collect()] == [tuple(r) for r in without.collect()] == [
-        ("ab-1", date(2020, 1, 1), "A", None, 120.5, 77.0, False),
-        ("ha-2", date(2020, 1, 2), "R", date(2019, 12, 30), None, None, False),
-        ("ab-3", None, "U", None, None, None, True),
+        ("ab-1", date(2020, 1, 1), "A", None, 120.5, 77.0, False, None),
+        ("ha-2", date(2020, 1, 2), "R", date(2019, 12, 30), None, None, False, None),
+        ("ab-3", None, "U", None, None, None, True, "date=yesterday; price=x"),
     ]
     minimum = delivered.read_daily_minimum(spark, str(tmp_path / "a.csv"))
     assert minimum.columns == ["property_ID", "date", "status"]
@@ -95,4 +96,31 @@ def test_quarantined_rows_come_back_typed(spark, tmp_path):
     rows = [("ab-1", date(2020, 1, 1), "A", None, 100.0, None), (None, None, "U", date(2020, 1, 2), None, 5.0), ('ab-"q', None, None, None, None, None)]
     schema = "property_ID string, date date, status string, booked_date date, price double, res_ID double"
     path = tables.write_quarantine(spark.createDataFrame(rows, schema), str(tmp_path / "error_2020"))
-    assert {tuple(r) for r in delivered.read_backlog(spark, path).collect()} == set(rows)
+    assert {tuple(r)[:6] for r in delivered.read_backlog(spark, path).collect()} == set(rows)
+
+
+def test_a_quarantined_fault_stays_a_fault(spark, tmp_path):
+    read = delivered.read_daily(spark, write(tmp_path / "a.csv", ["ab-1,2020-01-01,A,,free,,,,,"]), header=False)
+    for k in range(2):
+        read = delivered.read_backlog(spark, tables.write_quarantine(read, str(tmp_path / f"error_{k}")))
+        (row,) = read.collect()
+        assert row.parse_error and row.faulty_texts == "price=free" and row.price is None
+
+
+def test_nested_columns_reach_the_quarantine(spark, tmp_path):
+    df = spark.range(1).selectExpr("id", "array(1, 2) as list", "struct(id as a) as pair")
+    path = tables.write_quarantine(df, str(tmp_path / "nested"))
+    assert tuple(spark.read.option("header", True).option("escape", '"').csv(path).first()) == ("0", "[1,2]", '{"a":0}')
+
+
+def test_late_rows_are_merged_into_their_months(spark, tmp_path):
+    path, keys = str(tmp_path / "daily"), ["property_ID", "start_date"]
+    schema = "property_ID string, start_date date, price double"
+    make = lambda rows: spark.createDataFrame([(i, date(2020, m, d), p) for i, m, d, p in rows], schema)
+    tables.merge_months(make([("a", 1, 1, 1.0), ("b", 1, 2, 2.0), ("c", 2, 1, 3.0), ("d", 3, 1, 4.0)]), path, "start_date", keys)
+    late = make([("a", 1, 1, 9.0), ("e", 1, 5, 5.0), ("f", 2, 9, 6.0)])
+    for _ in range(2):
+        tables.merge_months(late, path, "start_date", keys)
+        stored = {(r.property_ID, r.price, r.year_month) for r in tables.read_table(spark, path).collect()}
+        assert stored == {("a", 9.0, "2020_01"), ("b", 2.0, "2020_01"), ("e", 5.0, "2020_01"), ("c", 3.0, "2020_02"), ("f", 6.0, "2020_02"),
+                          ("d", 4.0, "2020_03")}
