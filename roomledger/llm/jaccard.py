@@ -445,10 +445,13 @@ def clusters(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
 def cut_in_blocks(found: DataFrame) -> DataFrame:
     """Rows (leader, low, high, node): leaders with their nodes, large ones as every pair of their blocks."""
     nodes = found.select("leader", "node").union(found.select("leader", F.col("leader").alias("node")).distinct())
-    pieces = nodes.groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).alias("pieces"))
-    own = F.pmod(F.xxhash64("node"), F.col("pieces"))
+    # Both sides are written tables, so the rows of a leader of very many can be split in the join.
+    nodes = materialize(nodes, "members")
+    large = nodes.groupBy("leader").agg(F.ceil(F.count("*") / MEMBERS).alias("pieces")).filter("pieces > 1")
+    large = materialize(large, "large-leaders")
     return (
-        nodes.join(pieces, "leader").withColumn("own", own)
+        nodes.join(large, "leader", "left").withColumn("pieces", F.coalesce("pieces", F.lit(1).cast("long")))
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
         .select("leader", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
     )
