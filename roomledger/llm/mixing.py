@@ -9,6 +9,8 @@ stops at its target; what rounding leaves over follows at the end.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ SHARE = 1.5
 REPEATS = 2
 BLOCK = 256
 BUCKET_DIGITS = 3  # hex digits of the shuffle key: 4096 buckets of each source's stream
-CHUNK = 65536  # slots ranked together
+CHUNK = 1024  # slots ranked together, at least; as many as there are such chunks in a long mix
 CELLS = 4096  # of the table that finds a point's source
 GOLDEN = 0.6180339887498949
 
@@ -110,6 +112,7 @@ def schedule(sources: DataFrame) -> DataFrame:
         (F.col("end") / F.col("total")).alias("high"),
     )
     n_slots = shares.agg(F.max("total")).first()[0] or 0
+    chunk = max(CHUNK, math.isqrt(n_slots))
     j = F.col("id") + 1
     wide = F.shiftright(j, 20).cast("double") * ((GOLDEN * (1 << 20)) % 1.0)
     point = F.pmod(wide + F.pmod(j, F.lit(1 << 20)) * GOLDEN, F.lit(1.0))
@@ -118,7 +121,7 @@ def schedule(sources: DataFrame) -> DataFrame:
     last = F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1)).cast("int")
     cells = shares.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS).cast("int"), last)))
     fallen = points.join(cells, "cell").filter((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
-    fallen = fallen.select("position", "source_no", "slots", F.floor(F.col("position") / CHUNK).alias("chunk"))
+    fallen = fallen.select("position", "source_no", "slots", F.floor(F.col("position") / chunk).alias("chunk"))
     ahead = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counted = fallen.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     bases = counted.withColumn("base", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
