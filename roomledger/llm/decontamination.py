@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomledger.session import materialize
@@ -70,9 +70,9 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         lambda found, w: found.when(F.col("width") == w, window_hashes(F.col("words"), w)), range(1, WINDOW), F.when(F.lit(False), None)
     ).otherwise(window_hashes(F.col("words")))
     placed = sized.select("item_id", "width", "valued", F.posexplode(by_width).alias("item_pos", "hash")).filter("hash IS NOT NULL")
-    counts = placed.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    counted = F.count("*").over(Window.partitionBy("item_id")).alias("n_windows")  # one item's windows
     slots = F.filter(F.slice("valued", F.col("item_pos") + 1, F.col("width")), lambda w: _is_slot(F.substring(w, 1, 1)))
-    return placed.select("item_id", "width", "hash", "item_pos", slots.alias("slots")).join(counts, "item_id")
+    return placed.select("item_id", "width", "hash", "item_pos", slots.alias("slots"), counted)
 
 
 def _document_windows(docs: DataFrame, widths: list[int], values: bool) -> DataFrame:

@@ -68,7 +68,38 @@ QUERIES = {
     "op10_source_mix": source_mix,
 }
 
+TEMPLATE_SQL = r"""
+    regexp_replace(regexp_replace(text, '([\p{L}\p{N},;:)] )\p{Lu}\p{Ll}+', '\1ⓐ', 'g'), '([\p{L}\p{N},;:)ⓐ] )\p{Lu}\p{Ll}+', '\1ⓐ', 'g')
+"""
+
 ORACLES = {
+    # No item of the given benchmark has a placeholder, so none of its slots needs comparing here.
+    "op4_template_leaks": rf"""
+        WITH named AS (
+            SELECT 'd' AS kind, doc_id AS id, {TEMPLATE_SQL} AS t FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)
+            UNION ALL SELECT 'b', item_id, {TEMPLATE_SQL} FROM benchmark WHERE text IS NOT NULL
+        ), joined AS (
+            SELECT kind, id, regexp_replace(regexp_replace(t, '([0-9])[.,]([0-9])', '\1\2', 'g'), '([0-9])[.,]([0-9])', '\1\2', 'g') AS t FROM named
+        ), counted AS (
+            SELECT kind, id, row_number() OVER () AS r, regexp_replace(regexp_replace(regexp_replace(
+                t, '([0-9] ?)(?:{decontamination.UNITS})([^\p{{L}}]|$)', '\1 ⓤ \2', 'g'), '([0-9])%', '\1 ⓤ ', 'g'), '[0-9]+', ' ⓝ ', 'g') AS t FROM joined
+        ), worded AS (
+            SELECT kind, id, r, list_filter(string_split_regex(lower(t), '[^\p{{L}}\p{{N}}ⓝⓤⓐ]+'), lambda w: w <> '') AS words FROM counted
+        ), windows AS (
+            SELECT kind, id, r, i, words[i:i + 5] AS run FROM (
+                SELECT kind, id, r, words, unnest(generate_series(1, len(words) - 5)) AS i FROM worded)
+        ), literal AS (
+            SELECT kind, id, r, i, array_to_string(run, ' ') AS run FROM windows
+            WHERE len(list_filter(run, lambda w: w IN ('ⓝ', 'ⓤ', 'ⓐ'))) <= 2
+        ), items AS (
+            SELECT id AS item_id, run, count(*) OVER (PARTITION BY id) AS n_windows FROM literal WHERE kind = 'b'
+        ), matched AS (
+            SELECT d.id AS doc_id, d.r, item_id, n_windows, count(*) AS n_matched
+            FROM (SELECT DISTINCT id, r, run FROM literal WHERE kind = 'd') d JOIN items USING (run) GROUP BY ALL
+        )
+        SELECT doc_id, item_id, n_matched::BIGINT AS n_matched, n_windows::BIGINT AS n_windows, n_matched::DOUBLE / n_windows AS covered
+        FROM matched WHERE n_matched::DOUBLE / n_windows >= 0.4
+    """,
     "op7_repetition_rules": r"""
         WITH texts AS (
             SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text,

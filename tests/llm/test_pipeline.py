@@ -108,5 +108,5 @@ def test_queries_run_over_whole_tables(spark, name):
 
 
 def test_what_sql_can_say_is_said():
-    assert set(ORACLES) == {"op7_repetition_rules", "op10_source_mix"}
+    assert set(ORACLES) == {"op4_template_leaks", "op7_repetition_rules", "op10_source_mix"}
     assert "pipeline" in entry_points.queries() and "pipeline" not in entry_points.oracle_sql()
