@@ -29,7 +29,7 @@ LANDMARKS = 128
 RIDGE = 1e-3
 UNKNOWN = "und"
 LEAST_SCORE = 0.1  # a text like no learned language scores about 0
-TABLE = 0x30000  # code points with letters of their own; what lies beyond holds none
+TABLE = 0x32400  # code points looked up; beyond them there are no letters
 CHARS = 1 << 20  # of texts scanned at once
 
 
