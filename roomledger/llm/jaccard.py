@@ -410,6 +410,19 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     return part
 
 
+def linked_pairs(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Every link among some sets, as indexes of both ends: nothing is passed over."""
+    found: list[tuple[int, int]] = []
+
+    def leaf(i: np.ndarray, j: np.ndarray) -> None:
+        found.extend((a, b) for a, b in zip(i.tolist(), j.tolist()) if links(sets[a], sets[b]))
+
+    never = lambda a, b: np.zeros(len(a[0]), bool)
+    compare([signature(s) for s in sets], np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64), leaf, never)
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
 def links(a: np.ndarray, b: np.ndarray) -> bool:
     if len(a) > len(b):
         a, b = b, a
@@ -497,8 +510,11 @@ def _filter_places(doc_ids: pa.Array) -> list[np.ndarray]:
     return [(mixed(mixed(value) * MULTIPLIER + np.uint64(k)) % np.uint64(FILTER_BITS)).astype(np.int64) for k in (1, 2)]
 
 
-def connected(docs: DataFrame, partners: DataFrame, rows: DataFrame) -> DataFrame:
-    """Step 4. Rows (a, b): node b is connected with node a, the first of its links' group under some leader."""
+def connected(docs: DataFrame, partners: DataFrame, rows: DataFrame, every: bool = False) -> DataFrame:
+    """Step 4. Rows (a, b): node b is connected with node a, the first of its links' group under some leader.
+
+    With ``every`` the rows are all links instead.
+    """
     nodes = partners.select("node").distinct()
     ids = nodes.join(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node").select("doc_id")
     shared = docs.sparkSession.sparkContext.broadcast(wanted_ids(ids))
@@ -514,11 +530,18 @@ def connected(docs: DataFrame, partners: DataFrame, rows: DataFrame) -> DataFram
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (nodes, coded) in clusters(batches, ["node", "shingles"]):
-            part = linked([np.cumsum(from_planes(s), dtype=np.uint64) for s in coded])
-            own = np.flatnonzero(part != np.arange(len(part)))
-            if len(own):
-                names = np.array(nodes)
-                yield pa.RecordBatch.from_arrays([pa.array(names[part[own]]), pa.array(names[own])], ["a", "b"])
+            own_sets, names = [np.cumsum(from_planes(s), dtype=np.uint64) for s in coded], np.array(nodes)
+            if every:
+                ends = linked_pairs(own_sets)
+            else:
+                part = linked(own_sets)
+                moved = np.flatnonzero(part != np.arange(len(part)))
+                ends = part[moved], moved
+            if len(ends[0]):
+                a, b = names[ends[0]], names[ends[1]]
+                if every:
+                    a, b = np.minimum(a, b), np.maximum(a, b)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     whole = map_batches(docs.select("doc_id", "text"), sets, "node long, shingles binary").dropDuplicates(["node"])
     shipped = _by_cluster(partners.join(whole, "node"))
@@ -574,6 +597,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return grouped_rows(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def jaccard_join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, rows (a, b) of nodes with a < b, and the members of the nodes, rows (doc_id, n_shingles, node).
+
+    Documents of one node have equal sets and are linked with each other and
+    with all documents of linked nodes. The links of a group of near copies
+    grow with its square; where components will do, ``jaccard_components``
+    finds them without. Rows without words have a null node.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows, often = describe(docs)
+    partners = drop_lonely(shared_shingles(docs, often), rows)
+    return connected(docs, partners, rows, every=True), rows.select("doc_id", "n_shingles", "node")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: of the least id and, among its texts, the least hash.
 

@@ -43,6 +43,22 @@ def test_components_equal_those_of_all_pairs(spark, seed):
     assert found(spark, texts) == want
 
 
+def test_the_join_has_every_link(spark):
+    texts = [(k, t) for k, (_, t) in enumerate(near_copies(7, 90))]
+    edges, members = jaccard.jaccard_join(spark.createDataFrame(texts, "doc_id long, text string"))
+    of, node = {}, {}
+    for r in members.collect():
+        of.setdefault(r.node, []).append(r.doc_id)
+        node[r.doc_id] = r.node
+    sets = [shingles(t) for _, t in texts]
+    assert all(node[i] == node[j] if sets[i] == sets[j] else node[i] != node[j] for i in range(90) for j in range(i))
+    found = {(r.a, r.b) for r in edges.collect()}
+    assert edges.count() == len(found)
+    want = {tuple(sorted((node[i], node[j]))) for i in range(90) for j in range(i)
+            if sets[i] != sets[j] and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert len(want) > 20 and found == want
+
+
 def test_blocks_of_very_common_shingles_and_large_leaders_lose_nothing(spark, monkeypatch):
     texts = near_copies(5, 100)
     for name, value in (("GROUP", 4), ("MEMBERS", 3), ("OFTEN", 1), ("PAIRED", 2), ("CHUNK", 2000)):
