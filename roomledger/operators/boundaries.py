@@ -216,7 +216,7 @@ def locate(
     the index is a written table.
     """
     keyed = points.withColumn("cx", geo.grid(F.col("x"), cell)).withColumn("cy", geo.grid(F.col("y"), cell))
-    found = lookup_join(keyed, index, ["cx", "cy"], "left", weight=F.col("weight"), stored=stored)
+    found = lookup_join(keyed, index, ["cx", "cy"], "left", stored=stored)
     x, y = F.col("x"), F.col("y")
     tested = F.transform("parts", lambda part: _tested(part, x, y))
     hits = F.filter(F.transform(tested, _hit), lambda hit: F.coalesce(hit["distance"] <= reach, F.lit(False)))

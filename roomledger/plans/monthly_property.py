@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
@@ -13,6 +13,7 @@ from roomledger.functions.columns import clean_title, country_alias, derive_host
 from roomledger.operators import boundaries, geocode, hulls, locations, regions, routing, scrapes
 from roomledger.operators.dates import fill_created_new, fill_from_history
 from roomledger.session import materialize
+from roomledger.sources import tables
 
 LOCATION = ["property_ID", "latitude", "longitude", "country", "region", "city"]
 
@@ -28,6 +29,20 @@ class LastMonth:
     history: DataFrame
 
 
+STATE = ["location_table", "region_list", "scrapes", "region_hulls"]
+
+
+def save_month(state: dict[str, DataFrame], root: str, label: str) -> None:
+    """Keep what the next month starts from, the tables ``STATE``, as the month's snapshot; a rerun replaces it."""
+    for name in STATE:
+        tables.write_snapshot(state[name], root, name, label)
+
+
+def load_month(spark: SparkSession, root: str, label: str, history: DataFrame) -> LastMonth:
+    """The state that ``save_month`` kept for a month, with the stored ranges as history."""
+    return LastMonth(**{name: tables.read_snapshot(spark, root, name, label) for name in STATE}, history=history)
+
+
 @dataclass
 class Boundaries:
     """Stored grid indexes of the boundary sets; build them once per set."""

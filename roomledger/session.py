@@ -22,20 +22,20 @@ SETTINGS = {
 
 
 # What one shuffle task should get of the largest input.
-TASK_BYTES = 256 * 1024**2
+TASK_BYTES = 512 * 1024**2
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the run-time settings the operators count on to a session.
 
-    With the size of the largest input, shuffles get enough partitions for it;
-    adaptive execution joins up those that turn out small.
+    With the size of the largest input, shuffles start with enough partitions
+    for it; adaptive execution joins up those that turn out small.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // TASK_BYTES))
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     return spark
 
 

@@ -62,7 +62,8 @@ def _faulty(text: Column, kind: str) -> Column:
 
 
 def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool) -> DataFrame:
-    reader = spark.read.option("header", header).option("multiLine", multi_line)
+    # Parts whose header differs from the first one's are an error, not read by place.
+    reader = spark.read.option("header", header).option("multiLine", multi_line).option("enforceSchema", False)
     reader = reader.option("escape", '"').option("nullValue", "NA").option("emptyValue", "")
     return reader.csv(path)
 
@@ -86,13 +87,14 @@ def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFr
     )
 
 
-def read_property(spark: SparkSession, path: str) -> DataFrame:
+def read_property(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """The property file: 35 of its columns, found by name, with ``parse_error``.
 
     Titles may hold line breaks, so a file is one split; deliver large months
-    as many files.
+    as many files, or without such breaks and with ``multi_line`` off, when
+    files of any size are split. All parts must have the same header.
     """
-    text = _read_text(spark, path, header=True, multi_line=True)
+    text = _read_text(spark, path, header=True, multi_line=multi_line)
     return _apply_types(text, fixed.PROPERTY_COLUMNS)
 
 

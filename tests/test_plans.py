@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 from roomledger.catalog import queries as Q
 from roomledger.catalog import standins as S
-from roomledger.operators import hosts, ranges, routing
+from roomledger.operators import hosts, ranges, routing, scrapes
 from roomledger.plans import monthly_daily, monthly_property, replay
 from roomledger.session import materialize
 from roomledger.sources import delivered, tables
@@ -113,6 +113,29 @@ def test_property_run_conserves_listings(monthly):
     assert finished["location_table"].columns == monthly_property.LOCATION
 
 
+def test_a_months_state_is_saved_and_loaded(spark, monthly, tmp_path):
+    _, _, prepared, located, finished = monthly
+    state = {"location_table": finished["location_table"], "region_list": prepared["region_list"],
+             "scrapes": located["scrapes"], "region_hulls": located["region_hulls"]}
+    for _ in range(2):
+        monthly_property.save_month(state, str(tmp_path), "2024_01")
+    history = S.history(spark, SF)
+    loaded = monthly_property.load_month(spark, str(tmp_path), "2024_01", history)
+    assert loaded.history is history
+    for name, saved in state.items():
+        found = getattr(loaded, name)
+        assert sorted(found.columns) == sorted(saved.columns) and found.count() == saved.count()
+
+
+def test_scrapes_of_the_month_take_part(spark):
+    """A new scrape replaces the listing's earlier ones, one without a result takes no part."""
+    old = spark.sql("select 'ab-1' property_ID, 'x' city, 'r' region, 'Peru' country, '1' raw, date'2024-01-01' date")
+    new = spark.sql("select 'ab-1' property_ID, 'y' city, 'r' region, 'Chile' country, '2' raw, date'2024-01-09' date"
+                    " union all select 'ab-2', 'z', 'r', 'Cuba', null, date'2024-01-09'")
+    merged = scrapes.merge_scrapes(old, new)
+    assert {(r.property_ID, r.country) for r in merged.collect()} == {("ab-1", "Chile")}
+
+
 def test_property_run_settles_every_region(monthly):
     located = materialize(monthly[3]["property"])
     assert located.filter("country is null and (region is not null or city is not null)").count() == 0

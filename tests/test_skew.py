@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from roomledger.functions.joins import keep_in, keep_not_in, lookup_join, upsert
+from roomledger.functions.joins import keep_in, keep_not_in, lookup_join, salted, upsert
 from roomledger.operators import boundaries
 from roomledger.operators.routing import route_daily
 from roomledger.plans.monthly_daily import daily_ranges
@@ -23,20 +23,28 @@ def test_salted_lookup_equals_broadcast(spark, how, null_safe):
     facts = spark.range(900).withColumn("key", key)
     lookup = spark.sql("select * from values ('hot', 1), ('k1', 2), ('k4', 3), (null, 4) as t(key, value)")
     small = lookup_join(facts, lookup, ["key"], how, null_safe=null_safe)
-    large = lookup_join(facts, lookup, ["key"], how, null_safe=null_safe, limit=0, salts=4)
+    large = lookup_join(facts, lookup, ["key"], how, null_safe=null_safe, limit=0, piece=50)
     assert small.columns == large.columns
     assert rows(small) == rows(large)
     assert "Broadcast" in small._jdf.queryExecution().executedPlan().toString()
 
 
-def test_salt_spreads_the_hot_key(spark):
+def test_only_the_hot_key_is_cut_and_copied(spark):
     facts = spark.range(3000).withColumn("key", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")))
     lookup = spark.range(10).select(F.col("id").alias("key"), F.lit(1).alias("value"))
-    joined = lookup_join(facts, lookup, ["key"], "left", limit=0, salts=8)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-    salts = facts.select(F.pmod(F.xxhash64(*facts.columns), F.lit(8)).alias("s"), "key")
-    assert salts.filter("key = 0").select("s").distinct().count() == 8
+    left, right = salted(facts, lookup, ["key"], 130)
+    assert {(r.key, r["count"]) for r in right.groupBy("key").count().collect()} == {(0, 8), *((k, 1) for k in range(1, 10))}
+    pieces = [r["count"] for r in left.filter("key = 0").groupBy("_salt").count().collect()]
+    assert len(pieces) == 8 and max(pieces) < 200
+    assert left.filter("key > 0 and _salt > 0").count() == 0
+
+
+def test_facts_without_a_key_are_not_shuffled(spark):
+    facts = spark.range(100).withColumn("key", F.when(F.col("id") % 3 > 0, F.col("id")))
+    lookup = spark.range(10).select(F.col("id").alias("key"), F.lit(1).alias("value"))
+    joined = lookup_join(facts, lookup, ["key"], "left", limit=0)
+    assert "isnotnull" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 100 and joined.filter("value is null and key is null").count() == 34
 
 
 def test_hot_listing_is_split_in_the_routing_join(spark, settings):
@@ -90,7 +98,7 @@ def test_locating_survives_an_index_beyond_the_broadcast_limit(spark, monkeypatc
     index = boundaries.boundary_index(square, cell=20_000.0)
     small = boundaries.locate(points, index, cell=20_000.0)
     lookup = boundaries.lookup_join
-    monkeypatch.setattr(boundaries, "lookup_join", lambda *a, **k: lookup(*a, **{**k, "limit": 0, "salts": 4}))
+    monkeypatch.setattr(boundaries, "lookup_join", lambda *a, **k: lookup(*a, **{**k, "limit": 0, "piece": 4}))
     large = boundaries.locate(points, index, cell=20_000.0)
     assert rows(small) == rows(large)
     assert small.filter("size(hits) > 0").count() > 100

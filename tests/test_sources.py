@@ -46,6 +46,19 @@ def test_property_file_is_read_by_name_and_type(spark, tmp_path):
     assert delivered.parse_errors(read).count() == 3
 
 
+def test_parts_of_a_property_file_share_a_header(spark, tmp_path):
+    for k in range(2):
+        write(tmp_path / f"same/part-{k}.csv", [HEADER, property_line(property_ID=f"ab-{k}", country="Peru", region="Lima")])
+    for multi_line in (True, False):
+        rows = delivered.read_property(spark, str(tmp_path / "same"), multi_line=multi_line).collect()
+        assert sorted((r.property_ID, r.country, r.region, r.parse_error) for r in rows) == [("ab-0", "Peru", "Lima", False), ("ab-1", "Peru", "Lima", False)]
+    write(tmp_path / "other/part-0.csv", [HEADER, property_line(property_ID="ab-0")])
+    swapped = ",".join(reversed(HEADER.split(",")))
+    write(tmp_path / "other/part-1.csv", [swapped, property_line(property_ID="ab-1")])
+    with pytest.raises(Exception, match="(?i)header"):
+        delivered.read_property(spark, str(tmp_path / "other")).collect()
+
+
 def test_daily_file_is_read_by_position(spark, tmp_path):
     body = ["ab-1,2020-01-01,A,,120.5,99,CAD,77,1,", "ha-2,2020-01-02,R,2019-12-30,,,,,,h2", "ab-3,yesterday,U,,x,,,,,"]
     header = ",".join(raw for raw, _, _ in fixed.DAILY_COLUMNS)
