@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomledger.llm.batches import map_batches
+from roomledger.functions.joins import stored_bytes
+from roomledger.llm.batches import map_batches, shuffle_width
 from roomledger.llm.words import MULTIPLIER, grouped, mixed, scan_words, window_hashes
 from roomledger.session import materialize
 
@@ -41,6 +42,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 CHUNK = 1 << 22  # shingles looked at together by a task
 OFTEN = 3  # nodes of a chunk in which a shingle counts as seen often
 ORDERED = 1 << 17  # shingles that the order puts last, those seen most; it bounds what is broadcast
+PART_BYTES = 64 << 20  # of documents for each part of the shingles that a task holds at once
 GROUP = 1 << 16  # nodes that share a shingle, compared as one block
 PAIRED = 8  # nodes that share a shingle, paired instead of put under one leader
 MEMBERS = 2048  # nodes of a block under a leader
@@ -178,7 +180,9 @@ def shared_shingles(docs: DataFrame, often: DataFrame) -> DataFrame:
     most = often.orderBy(F.desc("nodes"), "shingle").limit(ORDERED).collect()  # bounded, and results do not depend on it
     last = np.array(sorted((r["shingle"] % (1 << 64), r["nodes"]) for r in most), np.uint64).reshape(-1, 2)
     shared = spark.sparkContext.broadcast((last[:, 0].copy(), -(-last[:, 1].astype(np.int64) // GROUP)))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width, size = shuffle_width(spark), stored_bytes(docs)
+    # A plan that does not know its size says so by a number beyond all files.
+    parts = max(width, min(size // PART_BYTES, 1 << 20)) if size < 1 << 60 else width
 
     def emit(nodes: list, sizes: list, shingles: list, limits: list) -> Iterator[pa.RecordBatch]:
         counts = np.array([len(s) for s in shingles])
@@ -218,21 +222,28 @@ def shared_shingles(docs: DataFrame, often: DataFrame) -> DataFrame:
         if nodes:
             yield from emit(nodes, sizes, names, limits)
 
+    def led(*columns: list) -> pa.RecordBatch:
+        found = leaders(*(np.concatenate(c) for c in columns))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["leader", "node", "n_leader", "n_node"])
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, limit, node, size = [], [], [], []
+        part, name, limit, node, size = None, [], [], [], []
         for batch in batches:
             for row in batch.to_pylist():
+                if row["part"] != part and name:
+                    yield led(name, node, size, limit)
+                    name, limit, node, size = [], [], [], []
+                part = row["part"]
                 owner = from_planes(row["owner"]).astype(np.int64)
                 name.append(np.cumsum(from_planes(row["names"]), dtype=np.uint64))
                 limit.append(from_planes(row["limits"]).astype(np.int64))
                 node.append(np.frombuffer(row["nodes"], np.int64)[owner])
                 size.append(from_planes(row["sizes"]).astype(np.int64)[owner])
         if name:
-            found = leaders(*(np.concatenate(x) for x in (name, node, size, limit)))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["leader", "node", "n_leader", "n_node"])
+            yield led(name, node, size, limit)
 
     blobs = map_batches(docs.select("text"), work, "part long, names binary, owner binary, limits binary, nodes binary, sizes binary")
-    found = map_batches(blobs.repartition(parts, "part"), gather, "leader long, node long, n_leader long, n_node long")
+    found = map_batches(blobs.repartition(width, "part").sortWithinPartitions("part"), gather, "leader long, node long, n_leader long, n_node long")
     return materialize(found.distinct(), "leaders")
 
 

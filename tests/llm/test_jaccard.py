@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings as profile, strategies as st
 
 from roomledger.llm import jaccard
+from roomledger.session import materialize
 from tests.llm.cases import components, empty, messy, shingles
 
 
@@ -31,7 +32,7 @@ def near_copies(seed, n=140):
 
 
 def found(spark, texts):
-    df = spark.createDataFrame(texts, "doc_id long, text string")
+    df = materialize(spark.createDataFrame(texts, "doc_id long, text string"))
     return Counter(tuple(r) for r in jaccard.jaccard_components(df).collect())
 
 
@@ -61,7 +62,7 @@ def test_the_join_has_every_link(spark):
 
 def test_blocks_of_very_common_shingles_and_large_leaders_lose_nothing(spark, monkeypatch):
     texts = near_copies(5, 100)
-    for name, value in (("GROUP", 4), ("MEMBERS", 3), ("OFTEN", 1), ("PAIRED", 2), ("CHUNK", 2000)):
+    for name, value in (("GROUP", 4), ("MEMBERS", 3), ("OFTEN", 1), ("PAIRED", 2), ("CHUNK", 2000), ("PART_BYTES", 2000)):
         monkeypatch.setattr(jaccard, name, value)
     assert found(spark, texts) == components(texts)
 
