@@ -39,6 +39,19 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+# Steps written by this process and not removed yet.
+STEPS: list[str] = []
+
+
+def remove_steps(spark: SparkSession) -> int:
+    """Delete the steps that ``materialize`` has written, at the end of a run: nothing read from them may be used any more."""
+    removed = len(STEPS)
+    while STEPS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(STEPS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in spark.checkpoint.dir.
 
@@ -66,5 +79,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_run_dir(spark, label)
+    STEPS.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,8 +3,10 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from roomledger import fixed_values as fixed
+from roomledger import session
 from roomledger.sources import delivered, tables
 
 
@@ -120,6 +122,16 @@ def test_a_quarantined_fault_stays_a_fault(spark, tmp_path):
         assert row.parse_error and row.faulty_texts == "price=free" and row.price is None
 
 
+def test_steps_are_removed_at_the_end_of_a_run(spark, monkeypatch):
+    monkeypatch.setattr(session, "STEPS", [])
+    step = session.materialize(spark.range(3))
+    (path,) = session.STEPS
+    assert step.count() == 3 and spark.read.parquet(path).count() == 3
+    assert session.remove_steps(spark) == 1 and session.STEPS == []
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
 def test_nested_columns_reach_the_quarantine(spark, tmp_path):
     df = spark.range(1).selectExpr("id", "array(1, 2) as list", "struct(id as a) as pair")
     path = tables.write_quarantine(df, str(tmp_path / "nested"))
