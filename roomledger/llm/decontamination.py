@@ -27,12 +27,20 @@ UNITS = (
     "seconds?|days?|weeks?|months?|years?|dollars?|euros?|pounds?|cents?|percent|degrees?"
 )
 SEPARATOR = f"[^\\p{{L}}\\p{{N}}{NUMBER}{UNIT}{NAME}]+"
+# A capitalised word within a sentence, to its end or to a digit: McDonald and YouTube are one name.
+NAMED = "(?<=[\\p{L}\\p{N},;:)] )\\p{Lu}\\p{Ll}[\\p{L}\\p{N}&&[^0-9]]*"
+# Placeholder signs in a text are no placeholders; the small form of İ would be cut in two.
+SIGNS = f"{NUMBER}{UNIT}{NAME}ⓃⓊⒶİ"
+
+
+def _without_signs(text: Column) -> Column:
+    return F.when(text.rlike(f"[{SIGNS}]"), F.translate(text, SIGNS, " " * 6 + "I")).otherwise(text)
 
 
 def template_words(text: Column, values: bool = False) -> Column:
     """The words of a text's template; with ``values`` each placeholder is followed by what it stands for."""
     kept = "$0" if values else ""
-    named = F.regexp_replace(text, "(?<=[\\p{L}\\p{N},;:)] )\\p{Lu}\\p{Ll}+", NAME + kept)
+    named = F.regexp_replace(_without_signs(text), NAMED, NAME + kept)
     joined = F.regexp_replace(named, "(?<=[0-9])[.,](?=[0-9])", "")
     united = F.regexp_replace(joined, f"(?<=[0-9] ?)(?:{UNITS})(?!\\p{{L}})|(?<=[0-9])%", f" {UNIT}{kept} ")
     counted = F.regexp_replace(united, "[0-9]+", f" {NUMBER}{kept} ")

@@ -23,6 +23,16 @@ def test_templates(spark):
     assert words.w == [re.sub("^([ⓐⓝⓤ]).*", r"\1", w) for w in words.v]
 
 
+def test_templates_of_mixed_case_names(spark):
+    texts = ["eats at McDonald today", "on YouTube, LinkedIn and GitHub; a PhD there", "the Covid19a wave of 5 Ab²c", "in İstanbul near O'Neill",
+             "a sign ⓐnna and Ⓝine ⓤ of 3 km", "von MacBook-Pro zu iPhone", "by Zu\u0308rich"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in rows.select("text", D.template_words(F.col("text")).alias("w"), F.transform(D.template_words(F.col("text"), True), D.kind_of).alias("k")).collect():
+        assert r.w == r.k, r.text
+    item = "Once more the McDonald costs were too high"
+    assert leaks(spark, ["They said: once more the McDonald costs were too high.", "once more the YouTube costs were too high"], [(1, item)]) == {(0, 1), (1, 1)}
+
+
 def test_questions_with_other_names_and_numbers_are_found(spark):
     other = ITEM.replace("Anna", "Carla").replace("Berta", "Doris").replace("12", "30").replace(" 5 ", " 7 ")
     texts = [ITEM, "before it. " + other + " after it", other.replace("keeps 30", "keeps 31").replace("So Carla", "So Emma"),
