@@ -2,7 +2,9 @@
 
 Texts become words in which a placeholder stands for every number, unit after
 a number, and capitalised word within a sentence. Windows of ``WINDOW`` words
-are hash-joined with the benchmark's. Where an item has placeholders, what
+are hash-joined with the benchmark's, and so are windows of the words as they
+are, without case: copies of items that have few literal words, or too few for
+a window of the template, are found by these. Where an item has placeholders, what
 they stand for is compared along the best alignment: each value of the item
 must stand for one value of the document and the other way round, so a
 question with other numbers and names is found, a chance likeness is not.
@@ -48,6 +50,11 @@ def template_words(text: Column, values: bool = False) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
+def plain_words(text: Column) -> Column:
+    """The words of a text as they are, without case."""
+    return F.filter(F.split(F.lower(_without_signs(text)), SEPARATOR), lambda w: w != "")
+
+
 def kind_of(word: Column) -> Column:
     """A word of a template with values, without its value."""
     return F.when(word.rlike(f"^[{NUMBER}{UNIT}{NAME}]"), F.substring(word, 1, 1)).otherwise(word)
@@ -57,11 +64,13 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NUMBER, UNIT, NAME)
 
 
-def window_hashes(words: Column, width: int = WINDOW) -> Column:
-    """The hash of the window that starts at each word; null where too few of its words are literal."""
+def window_hashes(words: Column, width: int = WINDOW, plain: bool = False) -> Column:
+    """The hash of the window that starts at each word; null where too few of its words are literal, unless they are ``plain``."""
 
     def at(i: Column) -> Column:
         window = [F.get(words, i + k) for k in range(width)]
+        if plain:
+            return F.xxhash64(*window)
         slots = reduce(lambda a, b: a + b, [_is_slot(w).cast("int") for w in window])
         return F.when(slots <= max(0, width - LITERAL), F.xxhash64(*window))
 
@@ -74,19 +83,32 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     words = benchmark.select("item_id", template_words(F.col("text"), values=True).alias("valued"))
     words = words.withColumn("words", F.transform("valued", kind_of))
     sized = words.withColumn("width", F.least(F.size("words"), F.lit(WINDOW))).filter("width > 0")
-    by_width = reduce(
-        lambda found, w: found.when(F.col("width") == w, window_hashes(F.col("words"), w)), range(1, WINDOW), F.when(F.lit(False), None)
-    ).otherwise(window_hashes(F.col("words")))
-    placed = sized.select("item_id", "width", "valued", F.posexplode(by_width).alias("item_pos", "hash")).filter("hash IS NOT NULL")
+    placed = sized.select("item_id", "width", "valued", F.posexplode(_by_width(False)).alias("item_pos", "hash")).filter("hash IS NOT NULL")
     counted = F.count("*").over(Window.partitionBy("item_id")).alias("n_windows")  # one item's windows
     slots = F.filter(F.slice("valued", F.col("item_pos") + 1, F.col("width")), lambda w: _is_slot(F.substring(w, 1, 1)))
     return placed.select("item_id", "width", "hash", "item_pos", slots.alias("slots"), counted)
 
 
-def _document_windows(docs: DataFrame, widths: list[int], values: bool) -> DataFrame:
-    """Per document and width the hashes of its windows."""
-    words = docs.withColumn("valued", template_words(F.col("text"), values))
-    words = words.withColumn("words", F.transform("valued", kind_of) if values else F.col("valued"))
+def _by_width(plain: bool) -> Column:
+    """The hashes of the windows of ``words``, each as long as ``width`` says."""
+    return reduce(
+        lambda found, w: found.when(F.col("width") == w, window_hashes(F.col("words"), w, plain)), range(1, WINDOW), F.when(F.lit(False), None)
+    ).otherwise(window_hashes(F.col("words"), plain=plain))
+
+
+def item_copies(benchmark: DataFrame) -> DataFrame:
+    """Rows (item_id, item_text, width, hash, n_windows, n_here): every window of plain words, counted per id and text."""
+    words = benchmark.select("item_id", "text").distinct().select(
+        "item_id", F.xxhash64("text").alias("item_text"), plain_words(F.col("text")).alias("words"))
+    sized = words.withColumn("width", F.least(F.size("words"), F.lit(WINDOW))).filter("width > 0")
+    placed = sized.select("item_id", "item_text", "width", F.size("words").alias("size"), F.explode(_by_width(True)).alias("hash"))
+    n_windows = (F.col("size") - F.col("width") + 1).cast("long").alias("n_windows")
+    return placed.groupBy("item_id", "item_text", "width", "hash", n_windows).agg(F.count("*").alias("n_here"))
+
+
+def _document_windows(docs: DataFrame, widths: list[int]) -> DataFrame:
+    """Per document and width the hashes of its template's windows."""
+    words = docs.withColumn("valued", template_words(F.col("text"), values=True)).withColumn("words", F.transform("valued", kind_of))
     each = F.array(*[F.struct(F.lit(w).alias("width"), window_hashes(F.col("words"), w).alias("hashes")) for w in widths])
     return words.select("doc_id", "text_hash", "valued", F.explode(each).alias("w")).select("doc_id", "text_hash", "valued", "w.*")
 
@@ -96,29 +118,48 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     An item is held if at least ``COVERED`` of its windows are found and, where
     it has placeholders in them, they stand for values one to one along the
-    alignment with most windows. Items without a window of enough literal
-    words are never held; null or empty texts hold nothing; null ids are kept,
-    rows equal in id and text count once; other columns are not read; empty
-    tables give an empty result.
+    alignment with most windows. It is also held if as many of the windows of
+    its plain words are found; the figures are then of these windows, if its
+    template is not held. An item of fewer words than a window is one window.
+    Items without words are never held; null or empty texts hold nothing; null
+    ids are kept, rows equal in id and text count once; other columns are not
+    read; empty tables give an empty result.
     """
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     windows = materialize(item_windows(benchmark.select("item_id", "text")), "item-windows")
-    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())  # at most WINDOW
-    widths = widths or [WINDOW]
     known = windows.groupBy("width", "hash", "item_id", "n_windows").agg(
-        F.count("*").alias("n_here"), F.max(F.size("slots") > 0).alias("slotted"))
+        F.count("*").alias("n_here"), F.max(F.size("slots") > 0).alias("slotted")).withColumns(
+        {"plain": F.lit(False), "item_text": F.lit(None).cast("long")})
+    copies = item_copies(benchmark).withColumns({"plain": F.lit(True), "slotted": F.lit(False)})
     # The size of the written table decides whether the benchmark's side is sent to all tasks.
-    known = materialize(known, "item-hashes")
-    found = _document_windows(texts, widths, values=False).select(
-        "doc_id", "text_hash", "width", F.explode(F.array_distinct("hashes")).alias("hash")).filter("hash IS NOT NULL")
+    known = materialize(known.unionByName(copies), "item-hashes")
+    widths: dict[bool, list[int]] = {False: [], True: []}
+    for r in known.select("plain", "width").distinct().orderBy("width").collect():  # at most twice WINDOW
+        widths[r["plain"]].append(r["width"])
+    found = _found_windows(texts, widths)
     pair = ["doc_id", "text_hash", "item_id"]
-    held = found.join(known, ["width", "hash"]).groupBy(*pair, "n_windows").agg(
+    met = found.join(known, ["plain", "width", "hash"]).dropDuplicates([*pair, "plain", "item_text", "width", "hash"])
+    held = met.groupBy(*pair, "plain", "item_text", "n_windows").agg(
         F.sum("n_here").alias("n_matched"), F.max("slotted").alias("slotted"))
     covered = F.least(F.col("n_matched") / F.col("n_windows"), F.lit(1.0))
     likely = materialize(held.withColumn("covered", covered).filter(F.col("covered") >= COVERED), "likely-leaks")
-    plain, slotted = likely.filter("NOT slotted"), likely.filter("slotted")
-    agreeing = slotted.alias("l").join(_agreeing(texts, windows, widths, slotted.select(*pair)).alias("r"), _same(pair), "left_semi")
-    return plain.union(agreeing).select(*pair, "n_matched", "n_windows", "covered")
+    sure, slotted = likely.filter("NOT slotted"), likely.filter("slotted")
+    agreeing = slotted.alias("l").join(
+        _agreeing(texts, windows, widths[False] or [WINDOW], slotted.select(*pair)).alias("r"), _same(pair), "left_semi")
+    figures = F.struct("n_matched", "n_windows", "covered")
+    each = sure.union(agreeing).groupBy(*pair).agg(F.max_by(figures, F.struct(~F.col("plain"), F.col("covered"), F.col("n_windows"))).alias("figures"))
+    return each.select(*pair, "figures.*")
+
+
+def _found_windows(texts: DataFrame, widths: dict[bool, list[int]]) -> DataFrame:
+    """Rows (doc_id, text_hash, plain, width, hash) of the windows of each document, of its template and of its plain words."""
+    each = [
+        F.struct(F.lit(plain).alias("plain"), F.lit(w).alias("width"), F.array_distinct(window_hashes(F.col("plain_words" if plain else "words"), w, plain)).alias("hashes"))
+        for plain in (False, True) for w in widths[plain] or [WINDOW]
+    ]
+    words = texts.withColumns({"words": template_words(F.col("text")), "plain_words": plain_words(F.col("text"))})
+    every = words.select("doc_id", "text_hash", F.explode(F.array(*each)).alias("w"))
+    return every.select("doc_id", "text_hash", "w.plain", "w.width", F.explode("w.hashes").alias("hash")).filter("hash IS NOT NULL")
 
 
 def _same(columns: list[str]) -> Column:
@@ -131,7 +172,7 @@ def _agreeing(texts: DataFrame, windows: DataFrame, widths: list[int], pairs: Da
     document = ["doc_id", "text_hash"]
     own = texts.alias("l").join(pairs.select(*document).distinct().alias("r"), _same(document), "left_semi")
     own = own.dropDuplicates(document)
-    placed = _document_windows(own, widths, values=True).select(
+    placed = _document_windows(own, widths).select(
         *document, "valued", "width", F.posexplode("hashes").alias("pos", "hash")).filter("hash IS NOT NULL")
     slots = F.filter(F.slice("valued", F.col("pos") + 1, F.col("width")), lambda w: _is_slot(F.substring(w, 1, 1)))
     met = placed.select(*document, "width", "hash", "pos", slots.alias("here")).join(windows, ["width", "hash"])

@@ -52,6 +52,23 @@ def test_all_planted_passages_and_nothing_else(spark):
     assert {r.doc_id for r in left.collect()} == set(texts) - {d for d, _ in want}
 
 
+def test_copies_of_items_with_few_literal_words_are_found(spark):
+    items = ["What is 12 plus 15?", "Who wrote Hamlet?", "Add 3 km, 5 km, 7 km and 9 km to 11 km.", "Where did Anna Berta Carla Doris meet?", "Why?"]
+    texts = [f"Here it goes, Question: {t} Then the answer." for t in items]
+    others = ["What is 12 plus 16? Who wrote Faust? Add 4 km, 6 km, 8 km and 9 km to 12 km. Where did Emma Berta Carla Fiona meet?", "12 plus", ""]
+    assert leaks(spark, texts + others, list(enumerate(items))) == {(i, i) for i in range(len(items))}
+    # Items of one id, or without one, are judged one by one.
+    assert leaks(spark, texts, [(None, items[0]), (None, items[2]), (1, items[1]), (1, items[1]), (1, items[3])]) == {(0, None), (2, None), (1, 1), (3, 1)}
+
+
+def test_figures_are_of_the_template_where_it_is_held(spark):
+    docs = spark.createDataFrame([(0, ITEM), (0, ITEM), (1, "What is 12 plus 15?")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, ITEM), (8, "what is 12 plus 15")], "item_id long, text string")
+    rows = {r.doc_id: (r.item_id, r.n_matched, r.n_windows, r.covered) for r in D.contaminated(docs, items).collect()}
+    n = rows[0][2]
+    assert rows == {0: (7, n, n, 1.0), 1: (8, 1, 1, 1.0)}
+
+
 def test_short_items_and_messy_rows(spark):
     short = "one two three four"
     assert leaks(spark, ["zero one two three four five", "one two four"], [(1, short), (2, None), (3, ""), (4, "...")]) == {(0, 1)}
