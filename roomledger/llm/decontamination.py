@@ -5,7 +5,7 @@ a number, and capitalised word within a sentence. Windows of ``WINDOW`` words
 are hash-joined with the benchmark's, and so are windows of the words as they
 are, without case: copies of items that have few literal words, or too few for
 a window of the template, are found by these. Where an item has placeholders, what
-they stand for is compared along the best alignment: each value of the item
+they stand for is compared along each alignment: each value of the item
 must stand for one value of the document and the other way round, so a
 question with other numbers and names is found, a chance likeness is not.
 """
@@ -117,8 +117,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows (doc_id, text_hash, item_id, n_matched, n_windows, covered) of documents that hold a benchmark item.
 
     An item is held if at least ``COVERED`` of its windows are found and, where
-    it has placeholders in them, they stand for values one to one along the
-    alignment with most windows. It is also held if as many of the windows of
+    it has placeholders in them, they stand for values one to one along an
+    alignment that has as many of the windows, or along one of those with most
+    windows. It is also held if as many of the windows of
     its plain words are found; the figures are then of these windows, if its
     template is not held. An item of fewer words than a window is one window.
     Items without words are never held; null or empty texts hold nothing; null
@@ -168,7 +169,7 @@ def _same(columns: list[str]) -> Column:
 
 
 def _agreeing(texts: DataFrame, windows: DataFrame, widths: list[int], pairs: DataFrame) -> DataFrame:
-    """The pairs (doc_id, text_hash, item_id) whose placeholders agree along the alignment with most windows."""
+    """The pairs (doc_id, text_hash, item_id) whose placeholders agree along an alignment with most windows or with ``COVERED`` of them."""
     document = ["doc_id", "text_hash"]
     own = texts.alias("l").join(pairs.select(*document).distinct().alias("r"), _same(document), "left_semi")
     own = own.dropDuplicates(document)
@@ -177,14 +178,16 @@ def _agreeing(texts: DataFrame, windows: DataFrame, widths: list[int], pairs: Da
     slots = F.filter(F.slice("valued", F.col("pos") + 1, F.col("width")), lambda w: _is_slot(F.substring(w, 1, 1)))
     met = placed.select(*document, "width", "hash", "pos", slots.alias("here")).join(windows, ["width", "hash"])
     met = met.alias("l").join(pairs.alias("r"), _same([*document, "item_id"]), "left_semi")
-    aligned = met.groupBy(*document, "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    aligned = met.groupBy(*document, "item_id", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.count("*").alias("n"),
         # One element per placeholder of the item at most: a set of the pairs on one alignment.
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("slots", "here")))).alias("pairs"),
     )
-    best = aligned.groupBy(*document, "item_id").agg(F.max_by("pairs", F.struct("n", -F.col("shift"))).alias("pairs"))
     theirs, ours = (F.size(F.array_distinct(F.col(f"pairs.{c}"))) for c in ("slots", "here"))
-    return best.filter((theirs == F.size("pairs")) & (ours == F.size("pairs"))).select(*document, "item_id")
+    one_to_one = (theirs == F.size("pairs")) & (ours == F.size("pairs"))
+    best = aligned.groupBy(*document, "item_id", "n_windows").agg(F.max("n").alias("most"), F.max(F.when(one_to_one, F.col("n"))).alias("agreed"))
+    enough = (F.col("agreed") == F.col("most")) | (F.col("agreed") / F.col("n_windows") >= COVERED)
+    return best.filter(enough).select(*document, "item_id")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -40,6 +40,14 @@ def test_questions_with_other_names_and_numbers_are_found(spark):
     assert leaks(spark, texts) == {(0, 7), (1, 7)}
 
 
+def test_any_agreeing_alignment_holds_an_item(spark):
+    other = ITEM.replace("Anna", "Carla").replace("Berta", "Doris").replace("12", "30").replace(" 5 ", " 7 ")
+    wrong = other.replace("keeps 30", "keeps 31").replace("So Carla", "So Emma")
+    part = "and gives 7 km to Doris before the long trip home today. So Carla keeps 30."
+    texts = [f"{wrong} And now {other}", f"{wrong} And now {wrong}", f"{wrong} And now {part}", f"{part} And now {wrong}"]
+    assert leaks(spark, texts) == {(0, 7), (2, 7), (3, 7)}
+
+
 def test_all_planted_passages_and_nothing_else(spark):
     docs, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     bare = lambda t: " ".join(re.findall(r"\w+", t.lower()))
