@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomledger.llm import decontamination, extraction, jaccard, language, mixing, packed, pseudonyms, repetition, sharding, tokencounts
+from roomledger.llm import (
+    bpe, decontamination, extraction, jaccard, language, manifest, mixing, packed, pseudonyms, repetition, sharding, tokencounts, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +57,18 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
+def tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.code_both_ways(_table(spark, sf_dir, "documents"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "op2_jaccard_join": jaccard_join,
@@ -66,12 +80,73 @@ QUERIES = {
     "op8_separator_scan": separator_scan,
     "op9_simple8b_files": token_files,
     "op10_source_mix": source_mix,
+    "op11_whitening": embedding_whitening,
+    "op12_tree_bpe": tree_bpe,
+    "op13_merkle_manifest": merkle_manifest,
 }
 
 TEMPLATE_SQL = r"""
     regexp_replace(regexp_replace(text, '([\p{L}\p{N},;:)] )\p{Lu}\p{Ll}+', '\1ⓐ', 'g'), '([\p{L}\p{N},;:)ⓐ] )\p{Lu}\p{Ll}+', '\1ⓐ', 'g')
 """
 
+
+def _merkle_sql(levels: int = 6, above: int = 4) -> str:
+    """The manifest in SQL for up to 16^levels documents a source and 16^above sources.
+
+    ``k`` is the source with a sign before it, and empty for null, so that
+    null comes first; crc32 folds the digits of the id, eight shifts a byte.
+    """
+    def field(name: str) -> str:
+        return f"coalesce(strlen({name}::VARCHAR)::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+    def tree(name: str, group: str, depth: int) -> str:
+        return "".join(f""", {name}r{k} AS (
+            SELECT {group}, pos // 16 AS up, n, list(digest ORDER BY pos) AS run FROM {name}{k} GROUP BY ALL
+        ), {name}{k + 1} AS (
+            SELECT {group}, up AS pos, (n + 15) // 16 AS n,
+                   CASE WHEN n > 1 THEN sha256(array_to_string(run, '')) ELSE run[1] END AS digest FROM {name}r{k}
+        )""" for k in range(depth))
+
+    def climb(name: str, group: str, depth: int, start: str) -> str:
+        """Fold every row through the runs of its tree, gathering siblings."""
+        steps, before = "", start
+        for k in range(depth):
+            own = f"w.pos // {16 ** k} % 16"
+            steps += f""", {name}w{k} AS (
+            SELECT w.* EXCLUDE (siblings, folded),
+                   CASE WHEN r.n > 1 THEN siblings || array_to_string(run[1:{own}] || run[{own} + 2:], '') ELSE siblings END AS siblings,
+                   CASE WHEN r.n > 1 THEN sha256(array_to_string(run[1:{own}] || [folded] || run[{own} + 2:], '')) ELSE folded END AS folded
+            FROM {before} w JOIN {name}r{k} r ON {' AND '.join([f'w.{group} = r.{group}', f'w.pos // {16 ** (k + 1)} = r.up'])}
+        )"""
+            before = f"{name}w{k}"
+        return steps
+
+    first, lowered = (f"sha256({' || '.join(field(c) if c != 'text' else field(t) for c in manifest.FIELDS)})"
+                      for t in ("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))
+    shifts = ", ".join(["-1"] * 8)
+    return f"""
+        WITH hashed AS (
+            SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '+' || source END AS k, {first} AS leaf, {lowered} AS lowered,
+                   xor(list_reduce(flatten([[4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                       lambda c: [ascii(c)::BIGINT, {shifts}]))]),
+                       lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) AS crc
+            FROM documents
+        ), ranked AS (
+            SELECT *, CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END AS shown,
+                   row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS n
+            FROM hashed
+        ), s0 AS (SELECT k, pos, n, leaf AS digest FROM ranked){tree("s", "k", levels)}
+        , a0 AS (SELECT 0 AS g, k, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS n, digest FROM s{levels}){tree("a", "g", above)}
+        , start AS (SELECT doc_id, k, pos, leaf, shown AS folded, '' AS siblings FROM ranked){climb("s", "k", levels, "start")}
+        , middle AS (
+            SELECT w.* EXCLUDE (pos), a0.g, a0.pos, a0.digest AS subroot FROM sw{levels - 1} w JOIN a0 USING (k)
+        ){climb("a", "g", above, "middle")}
+        SELECT doc_id, leaf, subroot, a{above}.digest AS root, sha256(siblings) AS proof_sha256, folded AS folded_root,
+               folded = a{above}.digest AS verified
+        FROM aw{above - 1} CROSS JOIN a{above}
+    """
+
+
 ORACLES = {
     # No item of the given benchmark has a placeholder, so none of its slots needs comparing here.
     "op4_template_leaks": rf"""
@@ -169,4 +244,5 @@ ORACLES = {
                 + greatest(0, least(source_size + start + size, floor(target)) - source_size - start))::BIGINT AS taken
         FROM placed
     """,
+    "op13_merkle_manifest": _merkle_sql(),
 }
