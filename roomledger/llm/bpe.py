@@ -14,9 +14,9 @@ none sees what lies past such a cut.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -34,9 +34,10 @@ from roomledger.llm.batches import map_batches
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LEAF_BYTES = 32  # of a match that are merged without cutting them
 LEAF_CHARS = 1 << 16  # of a text that are encoded from chunk to chunk
-KNOWN_CHUNKS, KNOWN_CHARS = 1 << 19, 48  # kept by a worker at most, and the longest of them
+KNOWN, KNOWN_CHARS = 1 << 19, 48  # chunks and matches that a worker keeps at most, and the longest of them
 KNOWN_PAIRS = 1 << 19
 STABLE_CUT = re.compile(r"(?<!\s) ")
+UNSTABLE_SPACE = re.compile(r"\s ")
 OWN = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
@@ -58,16 +59,17 @@ class TreeCoder:
                 self.token[int(rank)] = base64.b64decode(word)
         self.rank = {word: rank for rank, word in self.token.items()}
         self.matches = regex.compile(pattern)
-        self.chunks: dict[str, bytes] = {}
+        self.after_space: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     # Matches
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of a few bytes: the lowest rank first, the leftmost of equal ones."""
-        n = len(data)
         if data in self.rank:
             return [self.rank[data]]
+        n = len(data)
         past = list(range(1, n + 1))  # where the part that begins here ends; 0 once it is merged away
         before = list(range(-1, n))
         waiting = [(r, i, i + 2) for i in range(n - 1) if (r := self.rank.get(data[i:i + 2])) is not None]
@@ -124,22 +126,25 @@ class TreeCoder:
 
     def encode_chunk(self, chunk: str) -> bytes:
         """The ids between two stable cuts, match by match."""
-        known = self.chunks.get(chunk)
-        if known is not None:
-            return known
-        ids = [i for match in self.matches.findall(chunk) for i in self.encode_match(match.encode())]
-        packed = np.array(ids, "<u4").tobytes()
-        if len(chunk) <= KNOWN_CHARS:
-            if len(self.chunks) >= KNOWN_CHUNKS:
-                self.chunks.clear()
-            self.chunks[chunk] = packed
+        known = self.known
+        return b"".join([known.get(m) or self._packed(m) for m in self.matches.findall(chunk)])
+
+    def _packed(self, match: str) -> bytes:
+        ids = self.encode_match(match.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        _keep(self.known, match, packed)
         return packed
 
     def leaf(self, text: str) -> Encoded:
-        head, *rest = STABLE_CUT.split(text)
-        pieces = [self.encode_chunk(head)] if head else []
-        pieces += [self.encode_chunk(" " + chunk) for chunk in rest]
-        return Encoded(text, (b"".join(pieces),))
+        head, *rest = STABLE_CUT.split(text) if UNSTABLE_SPACE.search(text) else text.split(" ")
+        known = self.after_space
+        pieces = [known.get(chunk) or self._after_space(chunk) for chunk in rest]
+        return Encoded(text, (self.encode_chunk(head) + b"".join(pieces),))
+
+    def _after_space(self, chunk: str) -> bytes:
+        packed = self.encode_chunk(" " + chunk)
+        _keep(self.after_space, chunk, packed)
+        return packed
 
     def join(self, a: Encoded, b: Encoded) -> Encoded:
         """The text of both and its ids: the chunks that touch the cut are encoded again as one, all others stand."""
@@ -186,6 +191,13 @@ class TreeCoder:
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
 
+def _keep(known: dict[str, bytes], text: str, packed: bytes) -> None:
+    if len(text) <= KNOWN_CHARS:
+        if len(known) >= KNOWN:
+            known.clear()
+        known[text] = packed
+
+
 def _without_last(pieces: tuple[bytes, ...], n: int) -> tuple[bytes, ...]:
     kept = list(pieces)
     while n:

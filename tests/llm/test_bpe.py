@@ -72,11 +72,11 @@ def test_long_texts_without_words(text):
 
 
 def test_known_chunks_are_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "KNOWN_CHUNKS", 10)
+    monkeypatch.setattr(bpe, "KNOWN", 10)
     monkeypatch.setattr(bpe, "KNOWN_PAIRS", 10)
     tree = bpe.TreeCoder(public_tokenizers.path(bpe.VOCABULARY))
     text = " ".join(f"word{k}x" * (k % 9 + 1) for k in range(500))
-    assert tree.encode(text) == want(text) and len(tree.chunks) <= 10 and len(tree.pairs) <= 10
+    assert tree.encode(text) == want(text) and len(tree.known) <= 10 and len(tree.after_space) <= 10 and len(tree.pairs) <= 10
 
 
 def test_messy_rows(spark):
