@@ -75,19 +75,19 @@ def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], object])
     return STORED[key]
 
 
-def _country_index(spark: SparkSession, sf: str) -> DataFrame:
+def _country_index(spark: SparkSession, sf: str) -> boundaries.GridIndex:
     first, second = S.countries(spark, sf), S.alternatives(spark, sf)
     return _once(spark, sf, "countries", lambda: geocode.geocode_index(first, second, cell=S.CELL))
 
 
-def _subdivision_steps(spark: SparkSession, sf: str) -> list[boundaries.Search]:
+def _subdivision_search(spark: SparkSession, sf: str) -> boundaries.NearestSearch:
     strips = S.subdivisions(spark, sf)
-    return _once(spark, sf, "subdivisions", lambda: boundaries.search_steps(strips, S.STEPS))
+    return _once(spark, sf, "subdivisions", lambda: boundaries.nearest_search(strips, cell=S.CELL))
 
 
 def _located(spark: SparkSession, sf: str) -> DataFrame:
     points = boundaries.with_xy(S.listings(spark, sf))
-    return boundaries.locate(points, _country_index(spark, sf), cell=S.CELL, stored=True)
+    return boundaries.locate(points, _country_index(spark, sf))
 
 
 def _geocoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,7 +104,7 @@ def _resolved(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf: str) -> DataFrame:
-    return regions.compare_regions(_resolved(spark, sf), _subdivision_steps(spark, sf), _single(spark, sf))
+    return regions.compare_regions(_resolved(spark, sf), _subdivision_search(spark, sf), _single(spark, sf))
 
 
 def _hulls(spark: SparkSession, sf: str) -> DataFrame:
@@ -727,7 +727,7 @@ def _near_shipments(spark: SparkSession, sf: str) -> DataFrame:
     near = S.places(spark, sf).select(F.lit(geocode.MAIN).alias("layer"), F.col("part").alias("name"), "part", "ring")
     index = boundaries.boundary_index(near, cell=100.0, reach=50.0)
     points = S.hull_points(spark, sf).select("property_ID", F.lit(None).cast("string").alias("country"), "x", "y")
-    return boundaries.locate(points, index, cell=100.0, reach=50.0)
+    return boundaries.locate(points, index)
 
 
 @query
@@ -765,7 +765,7 @@ def boundary_index(spark: SparkSession, sf: str) -> DataFrame:
     """Listings inside each polygon, decided by the cells of a finer index than the cascade's."""
     index = boundaries.boundary_index(S.countries(spark, sf), cell=150_000.0, reach=0.0)
     points = boundaries.with_xy(S.listings(spark, sf))
-    found = boundaries.locate(points, index, cell=150_000.0, reach=0.0)
+    found = boundaries.locate(points, index)
     return found.select(F.inline("hits")).groupBy("name").agg(F.count("*").alias("n"))
 
 
@@ -800,7 +800,7 @@ def region_validate_scrape(spark: SparkSession, sf: str) -> DataFrame:
 
 def _written_back(spark: SparkSession, sf: str) -> DataFrame:
     resolved = materialize(_resolved(spark, sf), "resolved")
-    return regions.resolve_subdivisions(resolved, _subdivision_steps(spark, sf), _single(spark, sf))
+    return regions.resolve_subdivisions(resolved, _subdivision_search(spark, sf), _single(spark, sf))
 
 
 @query

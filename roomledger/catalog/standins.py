@@ -26,7 +26,6 @@ OKRUGS = [s for spellings in fixed.REGION_SPELLINGS["Russia"].values() for s in
 # Month the stand-ins play in, and the cell that suits their long straight edges.
 LABEL = "2024_01"
 CELL = 250_000.0
-STEPS = ((CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9))
 
 
 def pick(values: list[str], index: str) -> str:

@@ -3,16 +3,17 @@
 Boundaries are rows (name, ring) with one row per ring, rings being arrays of
 struct<x,y> in EPSG:3857. Several rings of one part may be islands or holes.
 
-The index has one row per grid cell with everything needed to decide a point
-of the cell: per polygon the edges within reach of the cell, and the heights
-at which the number of edges further right changes parity. Locating points is
-then one equi-join on the cell and one projection, whatever the polygons.
+The index is a quadtree of cells with everything needed to decide a point of
+the cell: per polygon the edges within reach of the cell, and the heights at
+which the number of edges further right changes parity. A point looks up the
+level of its cell; locating it is then one equi-join and one projection,
+whatever the polygons.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,11 +21,24 @@ from pyspark.sql import functions as F
 from roomledger import fixed_values as fixed
 from roomledger.functions import geometry as geo
 from roomledger.functions.columns import canonical, is_true, not_among
-from roomledger.functions.joins import keep_in, lookup_join
+from roomledger.functions.joins import BROADCAST_BYTES, keep_in, keep_not_in, lookup_join, stored_bytes
 from roomledger.session import materialize
 
 CELL = 50_000.0
 POLYGON = ["layer", "name", "part"]
+IN_CELL = [*POLYGON, "cy", "cx"]
+CELL_KEY = ["cell_level", "cell_x", "cell_y"]
+EDGE = "struct<x1:double,y1:double,x2:double,y2:double,dx:double,dy:double>"
+# Most edges and flips of a row of an index, and how often a cell is cut at most.
+MOST_ITEMS = 1024
+DEEPEST = 12
+# Cells with more than one in so many of all lookups are hot.
+HOT_ROWS = 1000
+# Edges of a block, and the squares that a search for the nearest narrows, from all of the plane.
+BLOCK_EDGES = 256
+SIDES = (2.0**25, 2.0**21, 2.0**17)
+# Rounding of distances, in metres.
+SLACK = 1e-3
 HITS = "array<struct<layer:string,name:string,inside:boolean,distance:double>>"
 
 
@@ -77,12 +91,9 @@ def ring_edges(boundaries: DataFrame) -> DataFrame:
     return rings.select(layer.alias("layer"), F.col("name"), part.alias("part"), F.inline(edges))
 
 
-def _edges_by_row(edges: DataFrame, cell: float, margin: float) -> DataFrame:
-    """Each edge in every grid row within the margin, with the columns it reaches there."""
+def _with_columns(rows: DataFrame, cell: float, margin: float) -> DataFrame:
+    """Edges in a grid row ``cy`` with the columns they reach there, ``from_cx`` to ``to_cx``."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = edges.withColumn(
-        "cy", F.explode(F.sequence(geo.grid(low - margin, cell), geo.grid(high + margin, cell)))
-    )
     bottom = F.greatest(low, F.col("cy") * F.lit(cell) - margin)
     top = F.least(high, (F.col("cy") + 1) * F.lit(cell) + margin)
     slope = (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
@@ -93,49 +104,34 @@ def _edges_by_row(edges: DataFrame, cell: float, margin: float) -> DataFrame:
     )
 
 
+def _edges_by_row(edges: DataFrame, cell: float, margin: float) -> DataFrame:
+    """Each edge in every grid row within the margin, with the columns it reaches there."""
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = F.explode(F.sequence(geo.grid(low - margin, cell), geo.grid(high + margin, cell)))
+    return _with_columns(edges.withColumn("cy", rows), cell, margin)
+
+
 def _odd(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur an odd number of times."""
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") % 2 == 1).drop("_n")
 
 
-def _edges_by_cell(by_row: DataFrame) -> DataFrame:
-    """Per polygon and cell, the edges within reach."""
-    near = by_row.withColumn("cx", F.explode(F.sequence("from_cx", "to_cx")))
-    edge = F.struct("x1", "y1", "x2", "y2", "dx", "dy")
-    return near.groupBy(*POLYGON, "cy", "cx").agg(F.collect_list(edge).alias("edges"))
-
-
-def _cells(parts: DataFrame) -> DataFrame:
-    size = F.size("edges") + F.coalesce(F.size("flips"), F.lit(0)) + 1
-    cells = parts.groupBy("cx", "cy").agg(
-        F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"), F.sum(size).alias("weight")
-    )
-    return cells
+def _edge_items(near: DataFrame) -> DataFrame:
+    return near.select(*IN_CELL, F.struct("x1", "y1", "x2", "y2", "dx", "dy").alias("edge"), F.lit(None).cast("double").alias("flip"))
 
 
-def outline_index(boundaries: DataFrame, *, cell: float, reach: float) -> DataFrame:
-    """An index of edges only, for points known to lie outside of all polygons."""
-    near = _edges_by_cell(_edges_by_row(ring_edges(boundaries), cell, reach + 1.0))
-    # without flips no parity is known, and only distances count
-    return _cells(near.withColumn("flips", F.lit(None).cast("array<double>")))
+def _flip_items(flips: DataFrame, flip: Column) -> DataFrame:
+    return flips.select(*IN_CELL, F.lit(None).cast(EDGE).alias("edge"), flip.alias("flip"))
 
 
-def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH) -> DataFrame:
-    """The grid index of boundaries: (cx, cy, parts, weight).
+def _items(boundaries: DataFrame, cell: float, margin: float) -> DataFrame:
+    """What a point has to look at, a row each: layer, name, part, cy, cx, and an edge near the cell or the height of a flip.
 
-    ``parts`` has one entry per polygon that covers or comes near the cell:
-    layer, name, part, edges, flips. A point of the cell is inside when the
-    number of flips above it plus the number of edges its ray towards +x
-    crosses is odd. Edges are taken whole, so the test gives exactly the
-    answer of casting the ray against the full polygon. ``weight`` is the size
-    of a row in edges. Boundaries seldom change: store the index and reuse it.
+    A polygon that holds a whole cell has one flip there, at infinity.
     """
-    margin = reach + 1.0
     row_key = [*POLYGON, "cy"]
-    cell_key = [*POLYGON, "cy", "cx"]
     by_row = _edges_by_row(ring_edges(boundaries), cell, margin)
-
-    near = _edges_by_cell(by_row)
+    near = by_row.withColumn("cx", F.explode(F.sequence("from_cx", "to_cx")))
 
     # Ends of edges inside or above a row, the latter moved to its top. Ends
     # shared by two edges that start in the same column cancel, which leaves
@@ -149,21 +145,126 @@ def boundary_index(boundaries: DataFrame, *, cell: float = CELL, reach: float =
     # Cells between two cells with edges are wholly inside or outside: the
     # first one of each gap is decided and stands for the rest.
     along = Window.partitionBy(*row_key).orderBy("cx")
-    spans = near.select(*cell_key).withColumn("next_cx", F.lead("cx").over(along))
+    border = near.select(*IN_CELL).distinct()
+    spans = border.withColumn("next_cx", F.lead("cx").over(along))
     gaps = spans.filter(F.col("next_cx") - F.col("cx") > 1)
     gaps = gaps.select(*row_key, (F.col("cx") + 1).alias("cx"), (F.col("next_cx") - 1).alias("last_cx"))
-    wanted = near.select(*cell_key, F.lit(None).cast("long").alias("last_cx")).unionByName(gaps)
+    wanted = border.select(*IN_CELL, F.lit(None).cast("long").alias("last_cx")).unionByName(gaps)
     flips = wanted.join(ends, row_key).filter(F.col("from_cx") > F.col("cx"))
-    flips = _odd(flips, [*cell_key, "last_cx", "y"])
-    flips = flips.groupBy(*cell_key, "last_cx").agg(F.collect_list("y").alias("flips"))
+    flips = _odd(flips, [*IN_CELL, "last_cx", "y"])
+
+    crossed = flips.filter(F.col("last_cx").isNull())
+    held = _odd(flips.filter(F.col("last_cx").isNotNull()), [*IN_CELL, "last_cx"])
+    held = held.select(*row_key, F.explode(F.sequence("cx", "last_cx")).alias("cx"))
+    return _edge_items(near).unionByName(_flip_items(crossed, F.col("y"))).unionByName(_flip_items(held, F.lit(float("inf"))))
+
+
+def _quarters(items: DataFrame, cell: float, margin: float) -> DataFrame:
+    """The items of cells cut in four; ``cell`` is the side of a quarter.
 
-    border = near.join(flips.filter(F.col("last_cx").isNull()).drop("last_cx"), cell_key, "left")
-    border = border.withColumn("flips", F.coalesce("flips", F.array().cast("array<double>")))
-    inner = flips.filter(F.col("last_cx").isNotNull() & (F.size("flips") % 2 == 1))
-    inner = inner.select(*row_key, F.explode(F.sequence("cx", "last_cx")).alias("cx"))
-    inner = inner.withColumn("edges", F.array().cast(near.schema["edges"].dataType))
-    inner = inner.withColumn("flips", F.array(F.lit(float("inf"))))
-    return _cells(border.unionByName(inner))
+    A quarter follows from its own cell: of the edges near the cell, those
+    left of the quarter do not matter, those right of it leave their ends as
+    flips, and flips of the cell are those of its quarters.
+    """
+    rows = F.array(2 * F.col("cy"), 2 * F.col("cy") + 1)
+    columns = F.array(2 * F.col("cx"), 2 * F.col("cx") + 1)
+    cut = items.withColumn("cy", F.explode(rows)).withColumn("cx", F.explode(columns))
+    floor_y = F.col("cy") * F.lit(cell)
+    top_y = (F.col("cy") + 1) * F.lit(cell)
+
+    edges = cut.filter(F.col("edge").isNotNull()).select(*IN_CELL, "edge.*")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    edges = edges.filter((geo.grid(low - margin, cell) <= F.col("cy")) & (F.col("cy") <= geo.grid(high + margin, cell)))
+    edges = _with_columns(edges, cell, margin)
+    near = edges.filter(F.col("cx").between(F.col("from_cx"), F.col("to_cx")))
+
+    ends = edges.filter(F.col("from_cx") > F.col("cx")).select(*IN_CELL, F.explode(F.array("y1", "y2")).alias("y"))
+    known = cut.filter(F.col("flip") < float("inf")).select(*IN_CELL, F.col("flip").alias("y"))
+    flips = ends.unionByName(known).filter(F.col("y") > floor_y).withColumn("y", F.least("y", top_y))
+    flips = _odd(flips, [*IN_CELL, "y"])
+
+    # Without an edge nearby a quarter is wholly inside or outside.
+    border = near.select(*IN_CELL).distinct()
+    crossed = keep_in(flips, border, *IN_CELL, unique=True)
+    held = _odd(keep_not_in(flips, border, *IN_CELL, unique=True), IN_CELL)
+    held = held.unionByName(cut.filter(F.col("flip") == float("inf")).select(*IN_CELL))
+    return _edge_items(near).unionByName(_flip_items(crossed, F.col("y"))).unionByName(_flip_items(held, F.lit(float("inf"))))
+
+
+@dataclass
+class GridIndex:
+    """A stored index: its cells with what points have to look at there.
+
+    ``cells`` has rows (cell_level, cell_x, cell_y, piece, pieces, parts,
+    weight); ``parts`` has one entry per polygon that covers or comes near the
+    cell: layer, name, part, edges, flips. ``cut`` has the keys of the cells
+    that are cut in four.
+    """
+
+    cells: DataFrame
+    cut: DataFrame
+    cell: float
+    reach: float
+    depth: int
+    pieces: int
+
+
+def _cells(items: DataFrame, most: int, crowded: bool) -> DataFrame:
+    """Rows of an index from items of cells with ``cell_level``; a crowded cell is several rows."""
+    keyed = items.withColumnRenamed("cx", "cell_x").withColumnRenamed("cy", "cell_y")
+    piece = F.lit(0)
+    if crowded:
+        in_cell = Window.partitionBy(*CELL_KEY).orderBy(*POLYGON, "edge", "flip")
+        piece = F.floor((F.row_number().over(in_cell) - 1) / most).cast("int")
+    parts = keyed.withColumn("piece", piece).groupBy(*CELL_KEY, "piece", *POLYGON).agg(
+        F.collect_list("edge").alias("edges"), F.collect_list("flip").alias("flips"), F.count("*").alias("n")
+    )
+    rows = parts.groupBy(*CELL_KEY, "piece").agg(
+        F.collect_list(F.struct(*POLYGON, "edges", "flips")).alias("parts"), F.sum("n").alias("weight")
+    )
+    pieces = F.lit(1)
+    if crowded:
+        pieces = (F.max("piece").over(Window.partitionBy(*CELL_KEY)) + 1).cast("int")
+    return rows.withColumn("pieces", pieces)
+
+
+def boundary_index(
+    boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH, most: int = MOST_ITEMS
+) -> GridIndex:
+    """The stored grid index of boundaries, an adaptive quadtree of cells.
+
+    A point of a cell is inside a polygon when the number of flips above it
+    plus the number of edges its ray towards +x crosses is odd. Edges are
+    taken whole, so the test gives exactly the answer of casting the ray
+    against the full polygon. Cells with more than ``most`` edges and flips
+    are cut in four, again and again. Cells that are small beside the reach
+    have the same edges within it as their neighbours, so cutting them would
+    not help: what is crowded there is divided over several rows, of which a
+    point reads all. No row has more than ``most`` edges and flips. Boundaries
+    seldom change: keep the index and reuse it.
+    """
+    margin = reach + 1.0
+    spark = boundaries.sparkSession
+    items = materialize(_items(boundaries, cell, margin), "index-items")
+    side, level, most_here = cell, 0, 0
+    leaves, cut = [], []
+    while True:
+        weights = items.groupBy("cx", "cy").agg(F.count("*").alias("n"))
+        most_here = weights.agg(F.max("n")).first()[0] or 0
+        if most_here <= most or side <= max(reach, cell / 2**DEEPEST):
+            break
+        heavy = materialize(weights.filter(F.col("n") > most).select("cx", "cy"), "index-cut")
+        leaves.append(keep_not_in(items, heavy, "cx", "cy", unique=True).withColumn("cell_level", F.lit(level)))
+        cut.append(heavy.select(F.lit(level).alias("cell_level"), F.col("cx").alias("cell_x"), F.col("cy").alias("cell_y")))
+        side, level = side / 2, level + 1
+        quarters = _quarters(keep_in(items, heavy, "cx", "cy", unique=True), side, margin)
+        items = materialize(quarters, "index-items")
+    crowded = most_here > most
+    leaves.append(items.withColumn("cell_level", F.lit(level)))
+    rows = materialize(_cells(reduce(DataFrame.unionByName, leaves), most, crowded), "index")
+    none = spark.createDataFrame([], "cell_level int, cell_x long, cell_y long")
+    divided = materialize(reduce(DataFrame.unionByName, cut), "index-cut") if cut else none
+    return GridIndex(rows, divided, cell, reach, level, -(-most_here // most) if crowded else 1)
 
 
 # --- points -----------------------------------------------------------------
@@ -175,7 +276,7 @@ def with_xy(points: DataFrame, longitude: str = "longitude", latitude: str = "la
 
 
 def _tested(part: Column, x: Column, y: Column) -> Column:
-    """A polygon of the cell with the parity of its crossings and its distance."""
+    """A polygon of the cell with its crossings and its distance, as far as this row of the cell knows them."""
     above = F.size(F.filter(part["flips"], lambda flip: flip > y))
     crossed = F.aggregate(
         part["edges"], F.lit(0), lambda n, edge: n + F.when(geo.crosses(edge, x, y), 1).otherwise(0)
@@ -183,13 +284,14 @@ def _tested(part: Column, x: Column, y: Column) -> Column:
     return F.struct(
         part["layer"].alias("layer"),
         part["name"].alias("name"),
-        ((above + crossed) % 2 == 1).alias("odd"),
+        part["part"].alias("part"),
+        (above + crossed).alias("crossed"),
         geo.nearest_edge(part["edges"], x, y).alias("away"),
     )
 
 
 def _hit(tested: Column) -> Column:
-    inside = is_true(tested["odd"]) | is_true(tested["away"] <= geo.ON_LINE)
+    inside = is_true(tested["crossed"] % 2 == 1) | is_true(tested["away"] <= geo.ON_LINE)
     return F.struct(
         tested["layer"].alias("layer"),
         tested["name"].alias("name"),
@@ -198,73 +300,189 @@ def _hit(tested: Column) -> Column:
     )
 
 
+def _addressed(points: DataFrame, index: GridIndex) -> DataFrame:
+    """Points with the key of their cell: down from the whole cell for as long as it is cut."""
+
+    def at(level: int) -> list[Column]:
+        side = index.cell / 2**level
+        return [F.lit(level), geo.grid(F.col("x"), side), geo.grid(F.col("y"), side)]
+
+    found = points
+    for name, value in zip(CELL_KEY, at(0)):
+        found = found.withColumn(name, value)
+    for level in range(index.depth):
+        known = lookup_join(found, index.cut.withColumn("_cut", F.lit(True)), CELL_KEY, "left", stored=True)
+        deeper = [F.when(F.col("_cut"), value).otherwise(F.col(name)).alias(name) for name, value in zip(CELL_KEY, at(level + 1))]
+        found = known.select(*points.columns, *deeper)
+    return found
+
+
+def _met(points: DataFrame, index: GridIndex, limit: int) -> DataFrame:
+    """Addressed points with the rows of their cell, a row each.
+
+    An index beyond the broadcast limit is shuffled with the points by cell.
+    Crowded cells, each with more than one in ``HOT_ROWS`` of all pairs, are
+    ``HOT_ROWS`` rows of at most the index's ``most`` edges: these are sent to
+    all tasks, so their points stay where they are and no row is copied per
+    piece of a hot cell.
+    """
+    extra = [c for c in index.cells.columns if c not in CELL_KEY]
+    if stored_bytes(index.cells) <= limit:
+        return lookup_join(points, index.cells, CELL_KEY, "left", stored=True, limit=limit)
+    placed = points.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    loads = placed.groupBy(*CELL_KEY).agg(F.count("*").alias("n"))
+    loads = materialize(loads.join(index.cells.select(*CELL_KEY, "pieces").distinct(), CELL_KEY), "cell-loads")
+    pairs = loads.agg(F.sum(F.col("n") * F.col("pieces"))).first()[0] or 0
+    hot = materialize(loads.filter(F.col("n") * HOT_ROWS > pairs).select(*CELL_KEY), "hot-cells")
+    in_hot = F.broadcast(hot)
+    sent = index.cells.join(in_hot, CELL_KEY, "left_semi")
+    near = placed.join(in_hot, CELL_KEY, "left_semi").join(F.broadcast(sent), CELL_KEY)
+    others = placed.join(in_hot, CELL_KEY, "left_anti")
+    # only cells with points take part in the shuffle
+    rest = others.join(index.cells.join(in_hot, CELL_KEY, "left_anti").hint("shuffle_hash"), CELL_KEY, "left")
+    nowhere = points.filter(F.col("x").isNull() | F.col("y").isNull())
+    columns = [*points.columns, *extra]
+    return near.select(*columns).unionByName(rest.select(*columns)).unionByName(nowhere, allowMissingColumns=True)
+
+
 def locate(
-    points: DataFrame,
-    index: DataFrame,
-    *,
-    cell: float = CELL,
-    reach: float = fixed.REACH,
-    stored: bool = False,
-    column: str = "hits",
+    points: DataFrame, index: GridIndex, *, column: str = "hits", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Adds an array of the polygons that hold each point or lie within reach.
 
     Entries are struct<layer, name, inside, distance>, distance 0 when inside;
-    points on the line are inside. Points without any get an empty array.
-    The points are not shuffled while the index fits a broadcast; beyond that
-    crowded cells are split by the salt of lookup_join. ``stored`` says that
-    the index is a written table.
+    points on the line are inside. Points without any, or without coordinates,
+    get an empty array. The points are not shuffled while the index fits a
+    broadcast and no cell has several rows.
     """
-    keyed = points.withColumn("cx", geo.grid(F.col("x"), cell)).withColumn("cy", geo.grid(F.col("y"), cell))
-    found = lookup_join(keyed, index, ["cx", "cy"], "left", stored=stored)
     x, y = F.col("x"), F.col("y")
+    kept = points.columns
+    numbered = points.withColumn("_id", F.monotonically_increasing_id()) if index.pieces > 1 else points
+    met = _met(_addressed(numbered, index), index, limit)
     tested = F.transform("parts", lambda part: _tested(part, x, y))
-    hits = F.filter(F.transform(tested, _hit), lambda hit: F.coalesce(hit["distance"] <= reach, F.lit(False)))
-    return found.select(*points.columns, F.coalesce(hits, F.array().cast(HITS)).alias(column))
+
+    def within(hits: Column) -> Column:
+        near = F.filter(hits, lambda hit: F.coalesce(hit["distance"] <= index.reach, F.lit(False)))
+        return F.coalesce(near, F.array().cast(HITS)).alias(column)
+
+    if index.pieces == 1:
+        return met.select(*kept, within(F.transform(tested, _hit)))
+    several = F.coalesce(F.col("pieces"), F.lit(1)) > 1
+    alone = met.filter(~several).select(*kept, within(F.transform(tested, _hit)))
+    # The rows of a crowded cell each know some of the edges: crossings add up, the least distance counts.
+    apart = met.filter(several).select("_id", *kept, F.explode(tested).alias("_t"))
+    whole = apart.groupBy("_id", *kept, "_t.layer", "_t.name", "_t.part").agg(
+        F.sum("_t.crossed").alias("crossed"), F.min("_t.away").alias("away")
+    )
+    hit = _hit(F.struct("layer", "name", "crossed", "away"))
+    together = whole.groupBy("_id", *kept).agg(F.collect_list(hit).alias("_hits"))
+    return alone.unionByName(together.select(*kept, within(F.col("_hits"))))
+
+
+# --- the nearest polygon, however far -----------------------------------------
 
 
 @dataclass
-class Search:
-    """One step of a search for the nearest polygon: a stored index and its grid."""
+class NearestSearch:
+    """A stored index for polygons within reach, and all edges in blocks with their boxes for what is farther."""
 
-    index: DataFrame
-    cell: float
-    reach: float
+    index: GridIndex
+    blocks: DataFrame
+
+
+def edge_blocks(boundaries: DataFrame, size: int = BLOCK_EDGES) -> DataFrame:
+    """Stretches of at most ``size`` edges: block, layer, name, edges, and their box x0, y0, x1, y1."""
+    layer = F.col("layer") if "layer" in boundaries.columns else F.lit("")
+    n = F.size("ring")
+    starts = boundaries.filter(n > 0).select(
+        layer.alias("layer"), "name", "ring", F.explode(F.sequence(F.lit(0), n - 1, F.lit(size))).alias("start")
+    )
+    edges = F.transform(
+        F.sequence("start", F.least(F.col("start") + size, n) - 1),
+        lambda i: geo.as_edge(F.get("ring", i), F.get("ring", (i + 1) % n)),
+    )
+    cut = starts.select("layer", "name", edges.alias("edges"))
 
+    def end(least: bool, axis: str) -> Column:
+        over = F.array_min if least else F.array_max
+        both = F.least if least else F.greatest
+        return both(*[over(F.transform("edges", lambda e: e[f"{axis}{k}"])) for k in (1, 2)])
 
-def search_steps(
-    boundaries: DataFrame, steps: Sequence[tuple[float, float]] = ((CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9))
-) -> list[Search]:
-    """Stored indexes for widening searches, given as (cell, reach).
+    return cut.select(
+        F.monotonically_increasing_id().alias("block"), "layer", "name", "edges",
+        end(True, "x").alias("x0"), end(True, "y").alias("y0"), end(False, "x").alias("x1"), end(False, "y").alias("y1"),
+    )
 
-    The last step has all edges in every cell, so it finds a polygon however
-    far. From the second on, points are known to be outside: edges suffice.
-    """
-    found = []
-    for number, (cell, reach) in enumerate(steps):
-        build = boundary_index if number == 0 else outline_index
-        found.append(Search(materialize(build(boundaries, cell=cell, reach=reach), "index"), cell, reach))
-    return found
 
+def nearest_search(boundaries: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH) -> NearestSearch:
+    """What ``nearest`` needs to know of polygons, stored."""
+    index = boundary_index(boundaries, cell=cell, reach=reach)
+    return NearestSearch(index, materialize(edge_blocks(boundaries), "edge-blocks"))
 
-def nearest(points: DataFrame, steps: list[Search], *, layer: str | None = None) -> DataFrame:
-    """Adds ``near_name``, the nearest polygon however far, and ``near_hits``.
+
+def _between(side: float) -> tuple[Column, Column]:
+    """Bounds of the distance from any point of the square (qx, qy) to the nearest edge of a block."""
+
+    def apart(q: str, low: str, high: str) -> tuple[Column, Column]:
+        start, end = F.col(q) * F.lit(side), (F.col(q) + 1) * F.lit(side)
+        gap = F.greatest(F.col(low) - end, start - F.col(high), F.lit(0.0))
+        return gap, F.greatest(F.abs(F.col(high) - start), F.abs(end - F.col(low)))
+
+    (near_x, far_x), (near_y, far_y) = apart("qx", "x0", "x1"), apart("qy", "y0", "y1")
+    return F.hypot(near_x, near_y), F.hypot(far_x, far_y)
+
+
+def nearest_blocks(points: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Of each square of ``SIDES[-1]`` with points: the blocks that may be nearest to one, as layer, qx, qy, block.
+
+    Squares are narrowed from all of the plane. A block stays a candidate of a
+    square while it may be nearer than the block whose farthest corner is
+    nearest; smaller squares ask their own square's candidates only.
+    """
+    boxes = blocks.select("layer", "block", "x0", "y0", "x1", "y1")
+    found = None
+    for number, side in enumerate(SIDES):
+        squares = points.select("layer", geo.grid(F.col("x"), side).alias("qx"), geo.grid(F.col("y"), side).alias("qy")).distinct()
+        if number == 0:
+            asked = squares.join(boxes, "layer")  # all of the plane is a few squares
+        else:
+            ratio = int(SIDES[number - 1] / side)
+            above = found.withColumnRenamed("qx", "_qx").withColumnRenamed("qy", "_qy")
+            mine = squares.withColumn("_qx", F.floor(F.col("qx") / ratio)).withColumn("_qy", F.floor(F.col("qy") / ratio))
+            asked = mine.join(above, ["layer", "_qx", "_qy"]).drop("_qx", "_qy")
+        low, high = _between(side)
+        bounded = asked.withColumn("_low", low).withColumn("_high", high)
+        least = bounded.groupBy("layer", "qx", "qy").agg(F.min("_high").alias("_least"))
+        kept = bounded.join(least, ["layer", "qx", "qy"]).filter(F.col("_low") <= F.col("_least") + SLACK)
+        found = materialize(kept.drop("_low", "_high", "_least"), "nearest-blocks")
+    return found.select("layer", "qx", "qy", "block")
+
+
+def nearest(points: DataFrame, search: NearestSearch, *, layer: str | None = None) -> DataFrame:
+    """Adds ``near_name``, the nearest polygon however far, and ``near_hits``, those within reach.
 
     Inside counts as distance 0; equal distances go to the smallest name.
-    ``layer`` names a column that polygons and points must share. Only points
-    without a polygon within one step's reach have a cell in the next step.
-    ``near_hits`` are the hits of the first step.
+    ``layer`` names a column that polygons and points must share. A point
+    without a polygon in reach meets the blocks of edges that may be nearest
+    to its square, and takes the least distance of all of them. Points without
+    coordinates, or of a layer without polygons, have none.
     """
-    found = points.withColumn("near_name", F.lit(None).cast("string"))
-    for number, step in enumerate(steps):
-        open_x = F.when(F.col("near_name").isNull(), F.col("_x"))
-        looked = found.withColumnRenamed("x", "_x").withColumn("x", open_x)
-        hits = "near_hits" if number == 0 else "_hits"
-        looked = locate(looked, step.index, cell=step.cell, reach=step.reach, stored=True, column=hits)
-        mine = F.col(hits)
-        if layer is not None:
-            mine = F.filter(mine, lambda hit: hit["layer"] == F.col(layer))
-        best = F.array_min(F.transform(mine, lambda hit: F.struct(hit["distance"].alias("d"), hit["name"].alias("n"))))
-        looked = looked.withColumn("near_name", F.coalesce("near_name", best["n"]))
-        found = looked.drop("x", "_hits").withColumnRenamed("_x", "x")
-    return found
+    kept = points.columns
+    own = F.col(layer) if layer is not None else F.lit("")
+    mine = F.filter("near_hits", lambda hit: hit["layer"] == own) if layer is not None else F.col("near_hits")
+    best = F.array_min(F.transform(mine, lambda hit: F.struct(hit["distance"].alias("d"), hit["name"].alias("n"))))
+    reached = locate(points, search.index, column="near_hits").withColumn("near_name", best["n"])
+    reached = materialize(reached.withColumn("_id", F.monotonically_increasing_id()), "reached")
+    placed = F.col("near_name").isNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    lost = reached.filter(placed).select("_id", own.alias("layer"), "x", "y")
+    blocks = search.blocks if layer is not None else search.blocks.withColumn("layer", F.lit(""))
+    near = nearest_blocks(lost, blocks)
+    side = SIDES[-1]
+    asked = lost.withColumn("qx", geo.grid(F.col("x"), side)).withColumn("qy", geo.grid(F.col("y"), side))
+    pairs = lookup_join(asked, near, ["layer", "qx", "qy"], "inner", stored=True).select("_id", "x", "y", "block")
+    measured = pairs.join(blocks.select("block", "name", "edges"), "block").select(
+        "_id", F.struct(geo.nearest_edge(F.col("edges"), F.col("x"), F.col("y")).alias("d"), F.col("name").alias("n")).alias("far")
+    )
+    closest = measured.groupBy("_id").agg(F.min("far").alias("far")).select("_id", F.col("far.n").alias("_far"))
+    found = reached.join(closest, "_id", "left").withColumn("near_name", F.coalesce("near_name", "_far"))
+    return found.select(*kept, "near_hits", "near_name")

@@ -8,20 +8,19 @@ from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
 from roomledger.functions.columns import country_exception, is_true, null_where
-from roomledger.operators.boundaries import CELL, boundary_index, locate
-from roomledger.session import materialize
+from roomledger.operators.boundaries import CELL, GridIndex, boundary_index, locate
 
 MAIN, ALTERNATIVE = "main", "alternative"
 
 
 def geocode_index(
     countries: DataFrame, alternatives: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH
-) -> DataFrame:
+) -> GridIndex:
     """One stored index over both boundary sets, told apart by ``layer``."""
     both = countries.withColumn("layer", F.lit(MAIN)).unionByName(
         alternatives.withColumn("layer", F.lit(ALTERNATIVE)), allowMissingColumns=True
     )
-    return materialize(boundary_index(both, cell=cell, reach=reach), "index")
+    return boundary_index(both, cell=cell, reach=reach)
 
 
 def _pass(hit: Column, claimed: Column) -> Column:
@@ -108,10 +107,8 @@ def resolve_country(validated: DataFrame) -> DataFrame:
     )
 
 
-def locate_countries(
-    property: DataFrame, index: DataFrame, scrapes: DataFrame, *, cell: float = CELL, reach: float = fixed.REACH
-) -> DataFrame:
+def locate_countries(property: DataFrame, index: GridIndex, scrapes: DataFrame) -> DataFrame:
     """All steps in order on points with x and y: one spatial join, one scrape join."""
-    located = geocode_cascade(locate(property, index, cell=cell, reach=reach, stored=True))
+    located = geocode_cascade(locate(property, index))
     resolved = resolve_country(validate_scrape(compare_scrape(located, scrapes)))
     return resolved.select(*property.columns)

@@ -20,7 +20,7 @@ from roomledger import fixed_values as fixed
 from roomledger.functions.columns import not_among
 from roomledger.functions.geometry import ring_area
 from roomledger.functions.joins import keep_not_in, lookup_join
-from roomledger.operators.boundaries import CELL, boundary_index, locate
+from roomledger.operators.boundaries import CELL, GridIndex, boundary_index, locate
 
 RING = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 HULL_KEYS = ["country", "region"]
@@ -178,7 +178,7 @@ def refresh_hulls(points: DataFrame, hulls: DataFrame, min_listings: int = fixed
     return convex_hulls(own.unionByName(_corner_rows(hulls)), HULL_KEYS)
 
 
-def hull_index(hulls: DataFrame, *, cell: float = CELL) -> DataFrame:
+def hull_index(hulls: DataFrame, *, cell: float = CELL) -> GridIndex:
     """Grid index of hulls, which are polygons like any other."""
     as_polygons = hulls.select(
         F.col("country").alias("layer"), F.col("region").alias("name"), F.col("region").alias("part"), "ring"
@@ -188,7 +188,7 @@ def hull_index(hulls: DataFrame, *, cell: float = CELL) -> DataFrame:
 
 def holding_hulls(points: DataFrame, hulls: DataFrame, *, cell: float = CELL) -> DataFrame:
     """Adds ``regions``: the regions of the point's own country whose hull holds it."""
-    located = locate(points, hull_index(hulls, cell=cell), cell=cell, reach=0.0)
+    located = locate(points, hull_index(hulls, cell=cell))
     own = F.filter("hits", lambda hit: hit["inside"] & (hit["layer"] == F.col("country")))
     return located.withColumn("regions", F.transform(own, lambda hit: hit["name"])).drop("hits")
 

@@ -14,7 +14,7 @@ def place_join(points: DataFrame, places: DataFrame, *, cell: float = CELL, keep
 
     ``keep_all=False`` leaves out points in no place.
     """
-    located = locate(points, boundary_index(places, cell=cell, reach=0.0), cell=cell, reach=0.0)
+    located = locate(points, boundary_index(places, cell=cell, reach=0.0))
     names = F.transform(F.filter("hits", lambda hit: hit["inside"]), lambda hit: hit["name"])
     located = located.withColumn("_names", names).drop("hits")
     unpack = F.explode_outer("_names") if keep_all else F.explode("_names")

@@ -14,15 +14,15 @@ from roomledger.functions.columns import (
     scraped_region_alias,
 )
 from roomledger.functions.joins import lookup_join
-from roomledger.operators.boundaries import Search, nearest
+from roomledger.operators.boundaries import NearestSearch, nearest
 
 
-def compare_regions(property: DataFrame, subdivisions: list[Search], scrapes: DataFrame) -> DataFrame:
+def compare_regions(property: DataFrame, subdivisions: NearestSearch, scrapes: DataFrame) -> DataFrame:
     """Supplied, geocoded and scraped region side by side.
 
-    For listings of the countries that have subdivision boundaries, given as
-    search steps over polygons whose ``layer`` is the country. A listing takes the nearest subdivision, which
-    is the one it lies in where there is one.
+    For listings of the countries that have subdivision boundaries: polygons
+    whose ``layer`` is the country. A listing takes the nearest subdivision,
+    which is the one it lies in where there is one.
     """
     listed = property.filter(F.col("country").isin(fixed.SUBDIVIDED_COUNTRIES))
     located = nearest(listed, subdivisions, layer="country")
@@ -58,7 +58,7 @@ def settle_region(validated: DataFrame) -> DataFrame:
     return validated.withColumn("region", region).withColumn("city", null_where(F.col("scrape_valid"), F.col("city")))
 
 
-def resolve_subdivisions(property: DataFrame, subdivisions: list[Search], scrapes: DataFrame) -> DataFrame:
+def resolve_subdivisions(property: DataFrame, subdivisions: NearestSearch, scrapes: DataFrame) -> DataFrame:
     """Write the settled regions of Canada and the United States back to all listings."""
     compared = compare_regions(property, subdivisions, scrapes)
     settled = settle_region(validate_region(mark_agreement(compared))).select(*property.columns)

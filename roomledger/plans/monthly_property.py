@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +46,8 @@ def load_month(spark: SparkSession, root: str, label: str, history: DataFrame) -
 class Boundaries:
     """Stored grid indexes of the boundary sets; build them once per set."""
 
-    countries: DataFrame
-    subdivisions: list[boundaries.Search]
-    cell: float
+    countries: boundaries.GridIndex
+    subdivisions: boundaries.NearestSearch
 
 
 def index_boundaries(
@@ -58,13 +56,12 @@ def index_boundaries(
     subdivisions: DataFrame,
     *,
     cell: float = boundaries.CELL,
-    steps: Sequence[tuple[float, float]] = ((boundaries.CELL, fixed.REACH), (1e6, 1e6), (1e9, 1e9)),
 ) -> Boundaries:
     """Indexes of two raw country sets and of the subdivisions (layer = country)."""
     main = boundaries.country_boundaries(countries)
     second = boundaries.alternative_boundaries(alternatives, main)
     index = geocode.geocode_index(main, second, cell=cell)
-    return Boundaries(index, boundaries.search_steps(subdivisions, steps), cell)
+    return Boundaries(index, boundaries.nearest_search(subdivisions, cell=cell))
 
 
 def clean_property(delivered: DataFrame) -> dict[str, DataFrame]:
@@ -120,14 +117,14 @@ def locate_property(
     merged = last.scrapes if new_scrapes is None else materialize(scrapes.merge_scrapes(last.scrapes, new_scrapes), "merged-scrapes")
     single = materialize(scrapes.single_scrape(merged.filter(F.col("raw").isNotNull())), "scrapes")
     points = boundaries.with_xy(check)
-    placed = materialize(geocode.locate_countries(points, maps.countries, single, cell=maps.cell), "countries")
+    placed = materialize(geocode.locate_countries(points, maps.countries, single), "countries")
     routing.assert_rowcount(check, placed)
     placed = regions.resolve_subdivisions(placed, maps.subdivisions, single)
     placed = regions.harmonize_regions(regions.purge_spurious_regions(materialize(placed, "regions")))
     placed = regions.region_country_vote(materialize(placed, "harmonized"))
     placed = materialize(placed, "voted")
     refreshed = materialize(hulls.refresh_hulls(placed, last.region_hulls), "hulls")
-    placed = hulls.region_from_hull(placed, refreshed, cell=maps.cell).drop("x", "y")
+    placed = hulls.region_from_hull(placed, refreshed, cell=maps.countries.cell).drop("x", "y")
     return {"property": placed, "region_hulls": refreshed, "scrapes": merged}
 
 

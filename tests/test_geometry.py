@@ -71,7 +71,7 @@ def test_index_equals_brute_force_and_nearest_finds_all(spark, seed, cell):
     points |= {1000 + i: xy for i, xy in enumerate(corners)}
     df = spark.createDataFrame([(i, *xy) for i, xy in points.items()], "id long, x double, y double")
     polygons = spark.createDataFrame(rows, POLYGONS)
-    located = boundaries.locate(df, boundaries.boundary_index(polygons, cell=cell), cell=cell)
+    located = boundaries.locate(df, boundaries.boundary_index(polygons, cell=cell))
     hits = 0
     for r in located.collect():
         truth = {n: v for n, v in brute(edges, *points[r.id]).items() if v[1] <= 5000}
@@ -79,12 +79,95 @@ def test_index_equals_brute_force_and_nearest_finds_all(spark, seed, cell):
         assert all(abs(h.distance - truth[h.name][1]) < 1e-6 for h in r.hits)
         hits += len(truth)
     assert hits > 200
-    steps = boundaries.search_steps(polygons, ((cell, 5000.0), (3e5, 3e5), (1e9, 1e9)))
-    for r in boundaries.nearest(df, steps).collect():
+    search = boundaries.nearest_search(polygons, cell=cell)
+    for r in boundaries.nearest(df, search).collect():
         truth = brute(edges, *points[r.id])
         assert r.near_name == min((v[1], n) for n, v in truth.items())[1]
 
 
+def widest(index):
+    """The most edges and flips that a row of an index has, counted in the row."""
+    inner = F.aggregate("parts", F.lit(0), lambda n, part: n + F.size(part["edges"]) + F.size(part["flips"]))
+    return index.cells.agg(F.max(inner)).first()[0]
+
+
+@pytest.mark.parametrize("most, cell, limit", [(12, CELL, boundaries.BROADCAST_BYTES), (4, CELL, 0), (25, 300_000.0, 0)])
+def test_cells_cut_in_four_equal_brute_force(spark, monkeypatch, most, cell, limit):
+    """Cells of few edges, on several levels and, beside the reach, in several rows."""
+    monkeypatch.setattr(boundaries, "HOT_ROWS", 10)
+    rows = star_shapes(5)
+    edges = edges_of(rows)
+    dice = random.Random(9)
+    points = {i: (dice.uniform(-7e5, 7e5), dice.uniform(-7e5, 7e5)) for i in range(400)}
+    corners = [(a["x"], a["y"]) for row in rows for a in row[3]]
+    points |= {1000 + i: xy for i, xy in enumerate(corners)}
+    points |= {3000 + i: (x + dice.uniform(-6e3, 6e3), y + dice.uniform(-6e3, 6e3)) for i, (x, y) in enumerate(corners)}
+    points |= {5000: (None, 1.0), 5001: (None, None)} | {6000 + i: corners[0] for i in range(50)}
+    df = spark.createDataFrame([(i, *xy) for i, xy in points.items()], "id long, x double, y double")
+    index = boundaries.boundary_index(spark.createDataFrame(rows, POLYGONS), cell=cell, most=most)
+    assert index.depth >= 1 and widest(index) <= most
+    found = boundaries.locate(df, index, limit=limit).collect()
+    assert len(found) == len(points)
+    for r in found:
+        x, y = points[r.id]
+        truth = {} if x is None else {n: v for n, v in brute(edges, x, y).items() if v[1] <= 5000}
+        assert {h.name: h.inside for h in r.hits} == {n: v[0] for n, v in truth.items()}
+        assert all(abs(h.distance - truth[h.name][1]) < 1e-6 for h in r.hits) and len(r.hits) == len(truth)
+
+
+def coast(vertices):
+    """A jagged ring, as a query makes it: no vertex list passes through the driver."""
+    turn = f"i * {2 * math.pi / vertices}"
+    far = f"(4e5 + 2e4 * sin(90 * {turn}) + 300 * sin(7001 * {turn}))"
+    return f"""
+        SELECT 'm' AS layer, 'coast' AS name, 'coast' AS part,
+               transform(sequence(0, {vertices - 1}), i -> named_struct('x', {far} * cos({turn}), 'y', {far} * sin({turn}))) AS ring
+    """
+
+
+def test_a_coast_of_200000_vertices_has_bounded_rows(spark):
+    outline = spark.sql(coast(200_000))
+    index = boundaries.boundary_index(outline)
+    assert widest(index) <= boundaries.MOST_ITEMS and index.cells.count() > 200
+    probes = spark.sql("SELECT i AS id, 25 * i AS turn_i FROM range(8000) AS t(i)").selectExpr(
+        "id", f"turn_i * {2 * math.pi / 200_000} AS turn").selectExpr(
+        "id", "turn", "4e5 + 2e4 * sin(90 * turn) + 300 * sin(7001 * turn) AS far").selectExpr(
+        "id", "far + (id % 5 - 2) * 2000 AS r", "turn", "far").selectExpr("id", "r * cos(turn) AS x", "r * sin(turn) AS y", "r - far AS out")
+    found = boundaries.locate(probes, index).collect()
+    assert len(found) == 8000
+    for r in found:
+        if abs(r.out) >= 2000:  # the probes on the line itself may lie a hair inside or outside
+            assert len(r.hits) == 1 and r.hits[0].inside == (r.out < 0)
+            assert r.hits[0].inside or r.hits[0].distance <= r.out + 1e-6
+    blocks = boundaries.edge_blocks(outline)
+    assert blocks.agg(F.max(F.size("edges"))).first()[0] <= boundaries.BLOCK_EDGES
+
+
+@pytest.mark.parametrize("limit", [0, None])
+def test_nearest_of_a_layer_however_far(spark, monkeypatch, limit):
+    """Small blocks; some layers have no polygon, some points no coordinates; equal distances go to the least name."""
+    if limit is not None:
+        lookup = boundaries.lookup_join
+        monkeypatch.setattr(boundaries, "lookup_join", lambda *a, **k: lookup(*a, **{**k, "limit": 0, "piece": 7}))
+    dice = random.Random(4)
+    rows = [(f"L{n % 3}", f"P{n}", "p", ring([(x * 6 + n * 3e5, y * 6 - n * 2e5) for x, y in square(0, 0, 1e4)])) for n in range(9)]
+    rows += [("twin", "Z", "p", ring(square(0, 0, 100))), ("twin", "A", "p", ring(square(0, 0, 100)))]
+    polygons = spark.createDataFrame(rows, POLYGONS)
+    points = [(i, f"L{i % 4}", dice.uniform(-2e7, 2e7), dice.uniform(-3e7, 3e7)) for i in range(300)]
+    points += [(400, "L0", None, 1.0), (401, None, 5e6, 5e6), (402, "twin", -9e6, 50.0), (403, "L1", 3e5, -2e5)]
+    df = spark.createDataFrame(points, "id long, layer string, x double, y double")
+    monkeypatch.setattr(boundaries, "BLOCK_EDGES", 3)
+    search = boundaries.NearestSearch(
+        boundaries.boundary_index(polygons, cell=CELL), boundaries.materialize(boundaries.edge_blocks(polygons, 3), "edge-blocks")
+    )
+    found = {r.id: r.near_name for r in boundaries.nearest(df, search, layer="layer").collect()}
+    for i, layer, x, y in points:
+        edges = edges_of([row for row in rows if row[0] == layer])
+        want = None if x is None or not edges else min((v[1], n) for n, v in brute(edges, x, y).items())[1]
+        assert found[i] == want
+    assert len(found) == len(points) and found[402] == "A"
+
+
 def test_line_corner_hole_and_reach(spark):
     rows = [("m", "A", "A", ring(square(0, 0, 100_000))), ("m", "A", "A", ring(square(40_000, 40_000, 20_000)))]
     probes = {
@@ -93,7 +176,7 @@ def test_line_corner_hole_and_reach(spark):
     }
     df = spark.createDataFrame([(k, *v) for k, v in probes.items()], "id string, x double, y double")
     index = boundaries.boundary_index(spark.createDataFrame(rows, POLYGONS), cell=CELL)
-    found = {r.id: [(h.inside, round(h.distance)) for h in r.hits] for r in boundaries.locate(df, index, cell=CELL).collect()}
+    found = {r.id: [(h.inside, round(h.distance)) for h in r.hits] for r in boundaries.locate(df, index).collect()}
     assert found == {"line": [(True, 0)], "corner": [(True, 0)], "hole": [], "body": [(True, 0)],
                      "4.9 km": [(False, 4900)], "5.1 km": [], "far": []}
 
@@ -115,7 +198,7 @@ def test_cascade_passes_ties_and_scrapes(spark):
         [r[:4] for r in rows], "property_ID string, country string, x double, y double"
     ).withColumn("region", F.lit("r")).withColumn("city", F.lit("c"))
     index = geocode.geocode_index(countries, others, cell=CELL)
-    located = boundaries.locate(df, index, cell=CELL, stored=True)
+    located = boundaries.locate(df, index)
     found = {r.property_ID: (r.geo_pass, r.country_geo) for r in geocode.geocode_cascade(located).collect()}
     assert found == {r[0]: r[4:] for r in rows}
     tied = {r.property_ID: r.candidates for r in geocode.tied(located, 3).collect()}
@@ -123,7 +206,7 @@ def test_cascade_passes_ties_and_scrapes(spark):
     scrapes = spark.createDataFrame([
         ("nearer B", "A"), ("claimed", "B"), ("nowhere", "A"), ("second set", "D"), ("near second", "D"), ("null claim", None),
     ], "property_ID string, country_scrape string")
-    final = {r.property_ID: (r.country, r.region) for r in geocode.locate_countries(df, index, scrapes, cell=CELL).collect()}
+    final = {r.property_ID: (r.country, r.region) for r in geocode.locate_countries(df, index, scrapes).collect()}
     assert final["nearer B"] == ("A", "r") and final["claimed"] == ("C", "r") and final["nowhere"] == (None, None)
     assert final["second set"] == ("A", "r") and final["near second"] == ("D", "r") and final["null claim"] == ("A", "r")
 
@@ -141,7 +224,7 @@ def test_parts_merge_drop_and_rename(spark):
         ("Morocco", "Western Sahara"), ("Peru", "Peru")}
     index = boundaries.boundary_index(first, cell=100.0, reach=0.0)
     probe = spark.createDataFrame([(1, 12.0, 2.0)], "id long, x double, y double")
-    assert [h.name for h in boundaries.locate(probe, index, cell=100.0, reach=0.0).first().hits] == ["Cyprus"]
+    assert [h.name for h in boundaries.locate(probe, index).first().hits] == ["Cyprus"]
 
 
 def test_hulls_hold_their_points_and_survive_degenerate_groups(spark):

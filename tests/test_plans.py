@@ -94,7 +94,7 @@ def monthly(spark):
         history=S.history(spark, SF),
     )
     maps = monthly_property.index_boundaries(
-        S.countries(spark, SF), S.alternatives(spark, SF), S.subdivisions(spark, SF), cell=S.CELL, steps=S.STEPS)
+        S.countries(spark, SF), S.alternatives(spark, SF), S.subdivisions(spark, SF), cell=S.CELL)
     prepared = monthly_property.prepare_property(cleaned["property"], S.nights(spark, SF), state, S.LABEL)
     located = monthly_property.locate_property(prepared["check"], state, maps)
     finished = monthly_property.finish_property(prepared["kept"], located["property"])

@@ -89,16 +89,16 @@ def test_upsert_replaces_all_rows_of_a_key(spark):
     assert sorted((r.k, r.v) for r in upsert(base, new, "k").collect()) == [("a", 9), ("b", 3)]
 
 
-def test_locating_survives_an_index_beyond_the_broadcast_limit(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [2, 20, 1000])
+def test_locating_survives_an_index_beyond_the_broadcast_limit(spark, monkeypatch, hot):
     square = spark.sql(
         "select 'm' as layer, 'A' as name, 'A' as part, array(named_struct('x', 0D, 'y', 0D), named_struct('x', 1e5D, 'y', 0D),"
         " named_struct('x', 1e5D, 'y', 1e5D), named_struct('x', 0D, 'y', 1e5D)) as ring"
     )
     points = spark.range(500).selectExpr("id", "id * 400D - 5e4 as x", "if(id % 3 = 0, 5e4D, id * 300D) as y")
     index = boundaries.boundary_index(square, cell=20_000.0)
-    small = boundaries.locate(points, index, cell=20_000.0)
-    lookup = boundaries.lookup_join
-    monkeypatch.setattr(boundaries, "lookup_join", lambda *a, **k: lookup(*a, **{**k, "limit": 0, "piece": 4}))
-    large = boundaries.locate(points, index, cell=20_000.0)
+    small = boundaries.locate(points, index)
+    monkeypatch.setattr(boundaries, "HOT_ROWS", hot)
+    large = boundaries.locate(points, index, limit=0)
     assert rows(small) == rows(large)
     assert small.filter("size(hits) > 0").count() > 100
