@@ -212,6 +212,16 @@ PARTS = {
             ORDER BY status DESC, booked_date DESC NULLS LAST, price DESC, res_ID DESC NULLS LAST) AS rn FROM (
         SELECT n.*, CASE WHEN n.status = 'U' OR n.date < l.created OR n.date > l.scraped THEN 'inactive' ELSE 'active' END AS route
         FROM v_replay_nights n JOIN v_replay_dated l ON n.property_ID = l.property_ID WHERE n.date IS NOT NULL AND n.status IS NOT NULL)) WHERE rn = 1""",
+    "v_replay_property": """SELECT l.property_ID,
+            CASE WHEN (l.created IS NULL OR l.scraped IS NULL) AND f.first_active IS NOT NULL THEN f.first_active ELSE l.created END AS created, l.scraped
+        FROM v_later l LEFT JOIN v_replay_first f ON l.property_ID = f.property_ID""",
+    # a month's nights as if all listings had been known when it came
+    "v_known_nights": """SELECT route, property_ID, date, status, booked_date, price, res_ID FROM v_plan_unique
+        UNION ALL SELECT route, property_ID, date, status, booked_date, price, res_ID FROM v_replay_unique""",
+    "v_known_hosts": """SELECT n.route, l.host_ID, l.listing_type, l.housing, n.date, count(*) AS count FROM v_known_nights n JOIN (
+            SELECT property_ID, host_ID, listing_type, housing FROM v_listings UNION ALL
+            SELECT DISTINCT 'ab-new' || user_id, 'a' || user_id, 'BUILDING', user_id % 4 < 2 FROM events WHERE user_id % 10 = 3
+        ) l ON n.property_ID = l.property_ID GROUP BY ALL""",
     "v_replay_left": """SELECT property_ID, date, CASE WHEN property_ID IS NULL THEN 'no listing id' WHEN date IS NULL THEN 'no date'
             WHEN status IS NULL THEN 'no status' ELSE 'unknown listing' END AS reason
         FROM v_routed WHERE route = 'error' AND (property_ID IS NULL OR date IS NULL OR status IS NULL OR property_ID NOT IN (SELECT property_ID FROM v_later))""",
@@ -384,6 +394,12 @@ SELECTS = {
     "host_merge": f"SELECT {HOST} FROM v_merged",
     "semi_host": f"""SELECT {HOST} FROM v_shipped_host_ranges h WHERE EXISTS (SELECT 1 FROM v_listings l
         WHERE regexp_replace(l.host_ID, '^a', 'h') IS NOT DISTINCT FROM h.host_ID)""",
+    "replay_stored": f"""SELECT CASE route WHEN 'active' THEN 'daily' ELSE 'daily_inactive' END AS output, property_ID AS id, start_date, end_date,
+            CAST(1 AS BIGINT) AS n, strftime(start_date, '%Y_%m') AS year_month
+            FROM ({islands('v_known_nights', 'route, property_ID', 'status, booked_date, price, res_ID', month=True)})
+        UNION ALL SELECT CASE route WHEN 'active' THEN 'host' ELSE 'host_inactive' END, host_ID, start_date, end_date, count, strftime(start_date, '%Y_%m')
+            FROM ({islands('v_known_hosts', 'route, host_ID, listing_type, housing', 'count', month=True)})
+        UNION ALL SELECT 'property', property_ID, created, scraped, 1, NULL FROM v_replay_property""",
     "backlog_replay": """SELECT e.event_id, e.property_ID, e.date, CASE WHEN l.property_ID IS NULL THEN 'stays' WHEN e.date IS NULL OR e.status IS NULL THEN 'error'
         WHEN e.status = 'U' OR e.date < l.created OR e.date > l.scraped THEN 'inactive' ELSE 'active' END AS route
         FROM v_routed e LEFT JOIN v_later l ON e.property_ID = l.property_ID WHERE e.route = 'error'""",

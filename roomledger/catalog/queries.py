@@ -269,6 +269,25 @@ def replay_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*daily, left])
 
 
+@query
+def replay_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The four stored tables after a month and, its unknown listings now known, the replay of its backlog."""
+    root = new_run_dir(spark, "replay")
+    first = monthly_daily.monthly_daily(S.nights(spark, sf), materialize(S.listings(spark, sf), "property"))
+    replay.merge_daily(first, root)
+    later = materialize(S.later_listings(spark, sf), "property")
+    again = replay.replay_backlog(first["error"], later, first["host"], first["host_inactive"])
+    replay.store_replay(again, root, S.LABEL)
+    found = []
+    for name in ("daily", "daily_inactive", "host", "host_inactive"):
+        key, n = ("host_ID", "count") if name.startswith("host") else ("property_ID", "1L")
+        found.append(tables.read_table(spark, f"{root}/{name}").selectExpr(
+            f"'{name}' as output", f"{key} as id", "start_date", "end_date", f"{n} as n", "year_month"))
+    dated = tables.read_table(spark, f"{root}/property").selectExpr(
+        "'property' as output", "property_ID as id", "created as start_date", "scraped as end_date", "1L as n", "cast(null as string) as year_month")
+    return reduce(DataFrame.unionByName, [*found, dated])
+
+
 @query
 def orphan_accumulate(spark: SparkSession, sf: str) -> DataFrame:
     nights = S.nights(spark, sf).select("property_ID", "date", "status")

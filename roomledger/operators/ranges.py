@@ -61,6 +61,47 @@ def expand_ranges(ranges: DataFrame) -> DataFrame:
     return ranges.select(*rest, F.explode(F.sequence("start_date", "end_date")).alias("date"))
 
 
+def cut_at_months(ranges: DataFrame) -> DataFrame:
+    """Ranges in pieces of one calendar month each."""
+    first = F.trunc("start_date", "month")
+    months = F.explode(F.sequence(first, F.trunc("end_date", "month"), F.expr("interval 1 month")))
+    cut = ranges.withColumn("_month", months)
+    return cut.withColumn("start_date", F.greatest("start_date", "_month")).withColumn(
+        "end_date", F.least("end_date", F.last_day("_month"))
+    ).drop("_month")
+
+
+def overlay_ranges(stored: DataFrame, late: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """Stored ranges with late ones laid over them, as maximal ranges within months.
+
+    On days that both have the late one counts. Each side's ranges of a key
+    must not overlap. A range is two events, its start and the day after its
+    end; between two events what holds does not change, so a key's window has
+    two rows per range at most and nothing is expanded to nights. Pieces that
+    touch and agree in all attributes become one; none crosses a month.
+    """
+    held = F.struct(*attributes)
+    sides = []
+    for name, side in (("late", late), ("stored", stored)):
+        begins = F.struct(F.col("start_date").alias("date"), F.lit(1).alias("on"), held.alias("held"))
+        ends = F.struct(F.date_add("end_date", 1).alias("date"), F.lit(0).alias("on"), F.lit(None).cast(side.select(held.alias("h")).schema["h"].dataType).alias("held"))
+        events = cut_at_months(side).select(*keys, F.inline(F.array(begins, ends)))
+        # where one range ends and the next begins, the beginning counts
+        sides.append(events.groupBy(*keys, "date").agg(F.max(F.struct("on", "held")).alias("now")).withColumn("side", F.lit(name)))
+    days = sides[0].unionByName(sides[1]).groupBy(*keys, "date").agg(
+        *[F.max(F.when(F.col("side") == name, F.col("now"))).alias(name) for name in ("late", "stored")]
+    )
+    order = Window.partitionBy(*keys).orderBy("date")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    state = days.select(*keys, "date", *[F.last(name, ignorenulls=True).over(so_far).alias(name) for name in ("late", "stored")])
+    best = F.when(F.col("late.on") == 1, F.col("late")).when(F.col("stored.on") == 1, F.col("stored"))
+    state = state.select(*keys, "date", best.alias("now"))
+    goes_on = F.lag("now").over(order).eqNullSafe(F.col("now")) & (F.row_number().over(order) > 1)
+    changed = state.withColumn("_same", goes_on & (F.col("now").isNull() | (F.dayofmonth("date") != 1))).filter(~F.col("_same"))
+    ranges = changed.withColumn("end_date", F.date_sub(F.lead("date").over(order), 1)).filter(F.col("now").isNotNull())
+    return ranges.select(*keys, F.col("date").alias("start_date"), "end_date", "now.held.*")
+
+
 def sum_over_time(ranges: DataFrame, keys: list[str], amount: str) -> DataFrame:
     """Sum the amounts of overlapping ranges per key and day, as maximal ranges.
 

@@ -51,14 +51,33 @@ def merge_months(df: DataFrame, path: str, day: str, keys: list[str]) -> None:
     that dies can be repeated. Months without late rows are not touched.
     """
     late = materialize(df.withColumn("year_month", F.date_format(day, "yyyy_MM")), "late")
-    months = [r["year_month"] for r in late.select("year_month").distinct().collect()]  # calendar months, a few hundred at most
+    stored = read_months(late, path, months_of(late))
+    rows = materialize(upsert(stored, late, *keys, null_safe=True), "merged")
+    write_months(rows, path, keys)
+
+
+def months_of(rows: DataFrame) -> list[str]:
+    """The months of rows with ``year_month``: calendar months, a few hundred at most."""
+    return sorted(r["year_month"] for r in rows.select("year_month").distinct().collect())
+
+
+def read_months(like: DataFrame, path: str, months: list[str]) -> DataFrame:
+    """The stored rows of some months; none where nothing is stored yet."""
+    return read_or_empty(like, path).filter(F.col("year_month").isin(months))
+
+
+def read_or_empty(like: DataFrame, path: str) -> DataFrame:
+    """A stored table, or no rows in the shape of ``like`` where it is not there yet."""
     try:
-        stored = read_table(df.sparkSession, path).filter(F.col("year_month").isin(months))
+        return read_table(like.sparkSession, path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        stored = late.limit(0)
-    rows = materialize(upsert(stored, late, *keys, null_safe=True), "merged")
+        return like.limit(0)
+
+
+def write_months(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Replace the months that ``rows``, a written copy with ``year_month``, has; other months stay."""
     spread = _clustered(rows, ["year_month", *LOCALITY], keys)
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_month").parquet(path)
 

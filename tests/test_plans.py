@@ -144,3 +144,25 @@ def test_property_run_settles_every_region(monthly):
     assert ours.count() > 0 and ours.filter(~F.col("region").isin(names) | F.col("region").isNull()).count() == 0
     worklist = monthly[2]["worklist"].filter("priority = 1 and (created is null or created < date'2024-01-01')")
     assert worklist.count() == 0
+
+
+def test_a_replay_stored_twice_changes_nothing_and_keeps_other_rows(spark, listings, tmp_path):
+    """Hosts, nights and filled listings of a replay are stored; a second run, or one after a crash between tables, gives the same."""
+    nights, root = S.nights(spark, SF), str(tmp_path)
+    first = monthly_daily.monthly_daily(nights, listings)
+    replay.merge_daily(first, root)
+    later = materialize(S.later_listings(spark, SF))
+    again = replay.replay_backlog(first["error"], later, first["host"], first["host_inactive"])
+
+    def stored():
+        names = ("daily", "daily_inactive", "host", "host_inactive")
+        return {name: {tuple(r) for r in tables.read_table(spark, f"{root}/{name}").collect()} for name in names}
+
+    before = stored()
+    replay.store_replay(again, root, S.LABEL)
+    once = stored()
+    replay.store_replay(again, root, S.LABEL)
+    assert stored() == once
+    new = {r.property_ID for r in again["daily"].collect()}
+    assert before["daily"] < once["daily"] and {r[0] for r in once["daily"] - before["daily"]} == new
+    assert {r.property_ID for r in tables.read_table(spark, f"{root}/property").collect()} == {r.property_ID for r in later.collect()}

@@ -125,3 +125,33 @@ def test_cross_platform_hosts_with_none_one_and_two_links(spark):
     listed = spark.createDataFrame(rows, "property_ID string, host_ID string, ab_host string, ha_host string")
     found = hosts.cross_platform_hosts(listed).collect()
     assert [(r.property_ID, r.linked_ab_host) for r in found] == [("1", "a1")]
+
+
+def test_overlay_equals_laying_nights_over_nights(spark):
+    """Late nights win, ranges that touch and agree become one, none crosses a month; nulls are values like others."""
+    dice = random.Random(11)
+    day0 = date(2024, 1, 10)
+    rows = {"stored": [], "late": []}
+    nights: dict[tuple, tuple] = {}
+    for side in ("stored", "late"):
+        for key in ("a", "b", None, "only " + side):
+            at = dice.randint(0, 10)
+            while at < 120:
+                last = at + dice.choice([0, 0, 3, 12, 45])
+                held = (dice.choice(["x", "y", None]), dice.choice([1, None]))
+                rows[side].append((key, day0 + timedelta(at), day0 + timedelta(last), *held))
+                nights.update({(key, day0 + timedelta(d)): held for d in range(at, last + 1)})
+                at = last + 1 + dice.choice([0, 0, 1, 6])
+    schema = "key string, start_date date, end_date date, status string, price int"
+    made = ranges.overlay_ranges(*[spark.createDataFrame(rows[s], schema) for s in ("stored", "late")], ["key"], ["status", "price"])
+    found = made.collect()
+    back = {}
+    for r in found:
+        assert (r.start_date.year, r.start_date.month) == (r.end_date.year, r.end_date.month)
+        for d in range((r.end_date - r.start_date).days + 1):
+            assert back.setdefault((r.key, r.start_date + timedelta(d)), (r.status, r.price)) == (r.status, r.price)
+    assert back == nights and sum((r.end_date - r.start_date).days + 1 for r in found) == len(nights)
+    starts = sum(nights.get((k, d - timedelta(1)), "none") != held or d.day == 1 for (k, d), held in nights.items())
+    assert len(found) == starts
+    again = ranges.overlay_ranges(made, spark.createDataFrame(rows["late"], schema), ["key"], ["status", "price"])
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in found}
