@@ -1,11 +1,13 @@
 """Language of whole texts by string kernels.
 
-A text is the set of its letter n-grams of 1 to 4 letters, hashed to
-``FEATURES`` places. The kernel of two texts is the number of n-grams they
-share over the geometric mean of their set sizes. Texts are mapped by their
-kernels with ``LANDMARKS`` labelled texts (Nyström), and one-versus-rest
-kernel ridge regression on these is learned from a bounded sample of labelled
-texts. A batch is scored by two matrix products.
+A piece of a text is the set of its letter n-grams of 1 to 4 letters, hashed
+to ``FEATURES`` places. The kernel of two pieces is the number of n-grams they
+share over the geometric mean of their set sizes. Pieces are mapped by their
+kernels with labelled landmarks (Nyström), and one-versus-rest kernel ridge
+regression on these is learned from a bounded sample of labelled texts. A
+batch of pieces is scored by two matrix products, and a text by the mean of
+all its pieces, weighed by their letters: the set of a whole long text would
+hold nearly every n-gram, whatever its language.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +26,11 @@ from roomledger.llm.batches import map_batches
 
 FEATURES = 1 << 13
 ORDERS = (1, 2, 3, 4)
-SAMPLE = 3000  # labelled texts learned from, at most
-LANDMARKS = 128
+PIECE = 1024  # letters and spaces of a piece
+SAMPLE = 3000  # labelled texts learned from, at most; they are dealt to the languages
+LANDMARKS = 128  # or one per language, if there are more
+LANGUAGES = 512  # learned at most, the most frequent ones
+SCORED = 1024  # pieces scored at once
 RIDGE = 1e-3
 UNKNOWN = "und"
 LEAST_SCORE = 0.1  # a text like no learned language scores about 0
@@ -49,31 +54,45 @@ def _letters() -> np.ndarray:
     return table
 
 
-def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per text the places of its n-grams (0 or 1 each), and whether it has a letter.
-
-    Runs of other characters count as one space, as do both ends.
-    """
+def _symbols(text: str) -> Iterator[tuple[np.ndarray, bool]]:
+    """The letters of a text in blocks, runs of other characters and both ends as one 0; and if a block is the last."""
     table = _letters()
-    found, lettered = np.zeros((len(texts), FEATURES), np.uint8), np.zeros(len(texts), bool)
-    for i, text in enumerate(texts):
-        row = found[i]
-        for low in range(0, max(len(text), 1), CHARS):
-            # Pieces overlap, so no n-gram is lost between them.
-            piece = text[max(0, low - max(ORDERS)):low + CHARS]
-            codes = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)
-            letters = table[np.minimum(codes, TABLE - 1)]
-            lettered[i] |= bool(letters.any())
-            space = np.concatenate(([0], letters, [0])).astype(np.uint32)
-            space = space[(space != 0) | np.append(True, space[:-1] != 0)]
-            value = np.zeros(len(space), np.uint32)
-            for n in ORDERS:
-                if len(space) < n:
-                    break
-                value = value[:len(space) - n + 1] * np.uint32(0x01000193) ^ space[n - 1:]
-                spread = (value + np.uint32(n)) * np.uint32(0x9E3779B1)
-                row[spread >> np.uint32(32 - 13)] = 1
-    return found, lettered
+    last = 0
+    yield np.zeros(1, np.uint32), False
+    for low in range(0, len(text), CHARS):
+        codes = np.frombuffer(text[low:low + CHARS].encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters = table[np.minimum(codes, TABLE - 1)]
+        block = letters[(letters != 0) | np.append(last != 0, letters[:-1] != 0)]
+        last = letters[-1]
+        yield block, False
+    yield np.zeros(int(last != 0), np.uint32), True
+
+
+def pieces(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pieces of a whole text in groups: places of their n-grams (0 or 1 each) by piece, and their letters.
+
+    An n-gram belongs to the piece it begins in, so none is lost or made up
+    where a piece ends.
+    """
+    beyond = max(ORDERS) - 1
+    held = np.zeros(0, np.uint32)
+    for block, last in _symbols(text):
+        held = np.concatenate((held, block))
+        whole = max(len(held) - beyond, 0) // PIECE
+        n = -(-len(held) // PIECE) if last else whole
+        if not n:
+            continue
+        begin = len(held) if last else whole * PIECE
+        found = np.zeros((n, FEATURES), np.uint8)
+        value = np.zeros(len(held), np.uint32)
+        for order in ORDERS:
+            if len(held) < order:
+                break
+            value = value[:len(held) - order + 1] * np.uint32(0x01000193) ^ held[order - 1:]
+            spread = (value[:begin] + np.uint32(order)) * np.uint32(0x9E3779B1)
+            found[np.arange(len(spread)) // PIECE, spread >> np.uint32(32 - 13)] = 1
+        yield found, np.add.reduceat(held[:begin] != 0, np.arange(n) * PIECE, dtype=np.int64)
+        held = held[begin:]
 
 
 @dataclass
@@ -96,8 +115,9 @@ def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def fit(places: np.ndarray, labels: list[str], n_landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Learn from labelled sets; landmarks are dealt to the languages in turn, in the order of the rows."""
+    """Learn from labelled sets; landmarks are dealt to the languages in turn, in the order of the rows, at least one to each."""
     languages = sorted(set(labels))
+    n_landmarks = max(n_landmarks, len(languages))
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros((0, 0), np.float32))
     of = np.array([languages.index(x) for x in labels])
@@ -114,33 +134,77 @@ def fit(places: np.ndarray, labels: list[str], n_landmarks: int = LANDMARKS, rid
     return Model(languages, (marks / sizes[:, None]).T.astype(np.float32).copy(), weights.astype(np.float32))
 
 
-def _texts(batch: pa.RecordBatch) -> list[str]:
-    return [t or "" for t in batch.column("text").to_pylist()]
+def scored(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Per text its score for every language, the mean of its pieces by their letters, and its letters.
+
+    ``SCORED`` pieces, or those of one block of a text, are held at a time.
+    """
+    total, weight = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
+    waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def settle() -> None:
+        if waiting:
+            owner = np.concatenate([np.full(len(sizes), i) for i, _, sizes in waiting])
+            sizes = np.concatenate([sizes for _, _, sizes in waiting])
+            if model.languages:
+                np.add.at(total, owner, model.scores(np.concatenate([rows for _, rows, _ in waiting])) * sizes[:, None])
+            np.add.at(weight, owner, sizes)
+            waiting.clear()
+
+    for i, text in enumerate(texts):
+        for rows, sizes in pieces(text):
+            if sum(len(w[2]) for w in waiting) + len(sizes) > SCORED:
+                settle()
+            waiting.append((i, rows, sizes))
+    settle()
+    return total / np.maximum(weight, 1)[:, None], weight
+
+
+def _quotas(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """The sample dealt to the languages: all of a rare one, equal shares of the others."""
+    quotas, left = {}, sample
+    for k, (language, n) in enumerate(sorted(counts.items(), key=lambda item: (item[1], item[0]))):
+        quotas[language] = min(n, left // (len(counts) - k))
+        left -= quotas[language]
+    return quotas
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from ``sample`` labelled documents that are not held out: the least by a hash of the id.
+    """Learn from up to ``sample`` labelled documents that are not held out, dealt to the ``LANGUAGES`` most frequent languages.
 
-    Tasks send the sets of n-grams, ``FEATURES`` bits a text, not the texts.
+    A language's documents are the least by a hash of the id, and one piece of
+    each is learned from, chosen by the hash. Tasks send the sets of n-grams,
+    ``FEATURES`` bits a text, not the texts.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
-    order = [F.xxhash64("doc_id"), F.xxhash64("text"), F.col("lang")]
-    chosen = labelled.select("text", "lang", *(c.alias(f"by{k}") for k, c in enumerate(order)))
-    bound = [chosen[f"by{k}"] for k in range(3)]
-    least = chosen.select(*bound).orderBy(*bound).limit(sample).agg(F.max(F.struct(*bound)).alias("m")).first()["m"]
-    if least is None:
+    labelled = labelled.select("text", "lang", F.xxhash64("doc_id").alias("by0"), F.xxhash64("text").alias("by1"))
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    quotas = _quotas({r["lang"]: r["count"] for r in counts}, sample)
+    if not quotas:
         return fit(np.zeros((0, FEATURES), np.uint8), [])
-    upto = F.struct(*bound) <= F.struct(*[F.lit(least[f"by{k}"]).alias(f"by{k}") for k in range(3)])
+    # About four times as many as wanted lie below a language's bound, for ids that occur more than once.
+    low, span = -(1 << 63), 1 << 64
+    bounds = [(r["lang"], quotas[r["lang"]], low + min(span - 1, 4 * quotas[r["lang"]] * span // r["count"])) for r in counts]
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, quota int, bound long"))  # LANGUAGES rows
+    near = labelled.join(wanted, "lang").filter(F.col("by0") <= F.col("bound"))
+    in_language = Window.partitionBy("lang").orderBy("by0", "by1")
+    chosen = near.select("lang", "quota", "by0", "by1").distinct().withColumn("rank", F.row_number().over(in_language))
+    keys = F.broadcast(chosen.filter(F.col("rank") <= F.col("quota")).select("lang", "by0", "by1"))  # ``sample`` rows at most
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, lettered = presence(_texts(batch))
-            bits = np.packbits(places, axis=1)
-            columns = [batch.column("by0"), batch.column("by1"), batch.column("lang"), pa.array(b.tobytes() for b in bits)]
-            yield pa.RecordBatch.from_arrays(columns, ["by0", "by1", "lang", "bits"]).filter(pa.array(lettered))
+            bits = []
+            for text, by in zip(batch.column("text").to_pylist(), batch.column("by0").to_pylist()):
+                groups = [(np.packbits(rows, axis=1), sizes) for rows, sizes in pieces(text)]
+                rows, sizes = (np.concatenate(part) for part in zip(*groups))
+                long = np.flatnonzero(sizes >= sizes.max() / 2)
+                bits.append(rows[long[by % len(long)]].tobytes() if sizes.any() else None)
+            columns = [*(batch.column(c) for c in ("by0", "by1", "lang")), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["by0", "by1", "lang", "bits"])
 
     schema = "by0 long, by1 long, lang string, bits binary"
-    rows = map_batches(chosen.filter(upto), sets, schema).dropDuplicates().limit(sample).collect()
+    texts = near.join(keys, ["lang", "by0", "by1"]).select("text", "lang", "by0", "by1")
+    rows = map_batches(texts, sets, schema).filter(F.col("bits").isNotNull()).dropDuplicates().collect()
     rows.sort(key=lambda r: (r["by0"], r["by1"], r["lang"]))
     bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), FEATURES // 8)
     return fit(np.unpackbits(bits, axis=1), [r["lang"] for r in rows])
@@ -160,9 +224,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            places, lettered = presence([t or "" for t in batch.column(text_at).to_pylist()])
+            scores, letters = scored([t or "" for t in batch.column(text_at).to_pylist()], model)
+            lettered = letters > 0
             if model.languages:
-                scores = np.clip(model.scores(places), 0, 1)
+                scores = np.clip(scores, 0, 1)
                 best = np.where(lettered, scores.argmax(axis=1), len(model.languages))
                 value = np.where(lettered, scores.max(axis=1), 0.0)
             else:
@@ -186,10 +251,11 @@ def keep_identified(docs: DataFrame, sample: int = SAMPLE, least: float = LEAST_
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, lettered = presence([t or "" for t in batch.column(text_at).to_pylist()])
+            scores, letters = scored([t or "" for t in batch.column(text_at).to_pylist()], shared.value)
+            kept = letters > 0
             if shared.value.languages:
-                lettered &= shared.value.scores(places).max(axis=1) >= least
-            yield batch.filter(pa.array(lettered))
+                kept &= scores.max(axis=1) >= least
+            yield batch.filter(pa.array(kept))
 
     return map_batches(docs, keep, docs.schema)
 

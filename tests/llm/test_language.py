@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 
 from roomledger.llm import language
 from tests.llm.cases import empty, messy
@@ -16,19 +17,65 @@ def grams(text):
     return {spaced[i:i + n] for n in language.ORDERS for i in range(len(spaced) - n + 1)}
 
 
-def test_sets_are_those_of_the_text_also_across_pieces(monkeypatch):
-    texts = ["Größe und Maß, 12 Äpfel!", "a", "", "x" * 50 + " y" * 50, "!?", "\U0001f600ab"]
-    whole, lettered = language.presence(texts)
-    assert lettered.tolist() == [True, True, False, True, False, True]
-    assert (whole.sum(axis=1) <= [len(grams(t)) for t in texts]).all()
-    for text, row in zip(texts, whole):  # one gram alone marks nothing that the whole text does not
-        for gram in grams(text):
-            assert len(gram) > 4 or row.sum() > 0
-    monkeypatch.setattr(language, "CHARS", 7)
-    pieces, again = language.presence(texts)
-    assert again.tolist() == lettered.tolist()
-    # a cut adds the ends of pieces, and loses nothing inside
-    assert ((pieces == 1) | (whole == 0)).all()
+def sets_of(text):
+    found = [rows for rows, _ in language.pieces(text)]
+    sizes = [n for _, part in language.pieces(text) for n in part.tolist()]
+    return np.concatenate(found), sizes
+
+
+@pytest.mark.parametrize("piece, chars", [(8, 5), (8, 1000), (13, 7), (1024, 3), (1024, 1 << 20)])
+def test_pieces_have_the_grams_of_the_text_and_no_others(monkeypatch, piece, chars):
+    texts = ["Größe und Maß, 12 Äpfel!", "a", "", "x" * 50 + " y" * 50, "!?", "\U0001f600ab", "   ", " a  b ", "ab" * 8]
+    whole = {t: sets_of(t)[0].max(axis=0) for t in texts}
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "CHARS", chars)
+    for text in texts:
+        rows, sizes = sets_of(text)
+        assert (rows.max(axis=0) == whole[text]).all()
+        assert sum(sizes) == sum(c.isalpha() for c in text) and max(sizes) <= piece
+        assert whole[text].sum() <= len(grams(text)) and (rows.sum() > 0)
+        spaced = " " + " ".join("".join(c.lower() if c.isalpha() else " " for c in text).split()) + " "
+        assert len(rows) == -(-(len(spaced) if spaced.strip() else 1) // piece)
+
+
+def invented(seed, n_words=40_000):
+    """A language of random words: its syllables are its own, its vocabulary is rich."""
+    rng = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    syllables = ["".join(rng.choice(letters, rng.integers(1, 4))) for _ in range(120)]
+    return ["".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(n_words)]
+
+
+def test_long_texts_of_rich_vocabularies_are_told_apart():
+    rng = np.random.default_rng(1)
+    words = {f"l{k}": np.array(invented(k)) for k in range(4)}
+
+    def text(name, n):
+        return " ".join(rng.choice(words[name], n))
+
+    sets, labels = [], []
+    for name in words:
+        for _ in range(60):
+            rows, _ = sets_of(text(name, int(rng.integers(5, 400))))
+            sets.append(rows[0])
+            labels.append(name)
+    model = language.fit(np.array(sets), labels)
+    for n, times in ((10, 100), (100, 50), (1000, 25), (10_000, 6), (100_000, 2)):
+        drawn = [(name, text(name, n)) for name in words for _ in range(times)]
+        scores, letters = language.scored([t for _, t in drawn], model)
+        assert letters.min() > 0
+        right = [model.languages[k] == name for k, (name, _) in zip(scores.argmax(axis=1), drawn)]
+        assert np.mean(right) >= 0.95, n
+
+
+def test_rare_languages_are_learned_from(spark):
+    assert language._quotas({"a": 10, "b": 1000, "c": 500}, 300) == {"a": 10, "c": 145, "b": 145}
+    assert language._quotas({"a": 2, "b": 3}, 300) == {"a": 2, "b": 3}
+    many = [(k, "the words of a common tongue " + str(k), "common") for k in range(3000)]
+    rare = [(5000 + k, "xyzzy plugh qwzrx " * 3 + str(k), "rare") for k in range(9)]
+    docs = spark.createDataFrame(many + rare, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identify(docs, sample=60).collect()}
+    assert {found[k] for k, _, _ in rare} == {"rare"} and {found[k] for k, _, _ in many} == {"common"}
 
 
 def test_scores_are_kernel_ridge_regression():
