@@ -161,7 +161,12 @@ def segments(placed: DataFrame) -> DataFrame:
 
 
 def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target and taken, the words the mix takes of it.
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, taken, first_position and n_slots.
+
+    ``taken`` counts the words the mix takes of the row, ``n_slots`` the slots
+    of the schedule that hold some of them, and ``first_position`` is the
+    earliest of these, null for a row that is not taken: sorted by it, the
+    documents are in the order of the mix. A slot holds ``BLOCK`` words.
 
     A null text or one without words has size 0 and is not taken; a null
     source is a source of its own, last in order; null or repeated ids are
@@ -172,11 +177,12 @@ def taken_words(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     sized = materialize(sized_documents(docs), "mix-sizes")
     sources = materialize(source_targets(sized, weights, share), "mix-sources")
     cut = segments(placed_documents(sized, sources))
-    slots = schedule(sources).select("source_no", "block", F.lit(True).alias("in_mix"))
-    joined = cut.join(slots, ["source_no", "block"], "left")
-    taken = F.sum(F.when(F.col("in_mix"), F.col("part")).otherwise(F.lit(0))).alias("taken")
+    joined = cut.join(schedule(sources), ["source_no", "block"], "left")
+    held = F.when(F.col("part") > 0, F.col("position"))
+    taken = F.sum(F.when(F.col("position").isNotNull(), F.col("part")).otherwise(F.lit(0))).alias("taken")
     row = ["doc_id", "source", "bucket", "row_no", "size", "source_size", "target"]
-    return joined.groupBy(*row).agg(taken).select("doc_id", "source", "size", "source_size", "target", "taken")
+    mixed = joined.groupBy(*row).agg(taken, F.min(held).alias("first_position"), F.count(held).alias("n_slots"))
+    return mixed.drop("bucket", "row_no")
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:

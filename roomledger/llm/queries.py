@@ -54,7 +54,7 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.taken_words(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_words(docs).drop("source")
 
 
 def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,15 +234,44 @@ ORACLES = {
                                   2.0::DOUBLE * source_size)) AS target
             FROM levels
         ), placed AS (
-            SELECT doc_id, size, source_size, target,
+            SELECT doc_id, size, source_size, target, s.source, row_number() OVER () AS r,
                    (sum(size) OVER (PARTITION BY s.source ORDER BY key, size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT - size AS start
             FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ), shares AS (
+            SELECT source, ceil(floor(target) / 256)::BIGINT AS slots,
+                   sum(ceil(floor(target) / 256)::BIGINT) OVER (ORDER BY source NULLS LAST) AS upto,
+                   sum(ceil(floor(target) / 256)::BIGINT) OVER () AS total
+            FROM targets
+        ), points AS (
+            SELECT unnest(range((SELECT max(total) FROM shares)::BIGINT)) AS position
+        ), fallen AS (
+            -- the golden ratio times 1, 2, 3 ...; the first digits of large multiples apart, so that none is lost to rounding
+            SELECT position, source, slots, row_number() OVER (PARTITION BY source ORDER BY position) - 1 AS block
+            FROM points JOIN shares
+            ON fmod(((position + 1) >> 20)::DOUBLE * fmod(0.6180339887498949::DOUBLE * 1048576, 1.0::DOUBLE)
+                    + ((position + 1) % 1048576) * 0.6180339887498949::DOUBLE, 1.0::DOUBLE) >= (upto - slots)::DOUBLE / total::DOUBLE
+            AND fmod(((position + 1) >> 20)::DOUBLE * fmod(0.6180339887498949::DOUBLE * 1048576, 1.0::DOUBLE)
+                    + ((position + 1) % 1048576) * 0.6180339887498949::DOUBLE, 1.0::DOUBLE) < upto::DOUBLE / total::DOUBLE
+        ), slots AS (
+            SELECT source, block, position FROM fallen WHERE block < slots
+            UNION ALL
+            SELECT s.source, b.block, s.total::BIGINT + b.block FROM (
+                SELECT source, slots, total, unnest(range(slots)) AS block FROM shares) b JOIN shares s ON s.source IS NOT DISTINCT FROM b.source
+            WHERE b.block >= (SELECT count(*) FROM fallen f WHERE f.source IS NOT DISTINCT FROM b.source)
+        ), pieces AS (
+            SELECT r, turn * source_size + start AS low, least(turn * source_size + start + size, floor(target))::BIGINT AS high, source
+            FROM placed, (VALUES (0), (1)) AS turns (turn)
+        ), held AS (
+            SELECT r, count(*) AS n_slots, min(position) AS first_position,
+                   sum(least(high, (p.block + 1) * 256) - greatest(low, p.block * 256)) AS taken
+            FROM (SELECT r, low, high, source, unnest(range(low // 256, (high - 1) // 256 + 1)) AS block FROM pieces WHERE low < high) p
+            JOIN slots s ON s.source IS NOT DISTINCT FROM p.source AND s.block = p.block
+            GROUP BY r
         )
-        SELECT doc_id, size, source_size, target,
-               (greatest(0, least(start + size, floor(target)) - start)
-                + greatest(0, least(source_size + start + size, floor(target)) - source_size - start))::BIGINT AS taken
-        FROM placed
+        SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_position::BIGINT AS first_position,
+               coalesce(n_slots, 0)::BIGINT AS n_slots
+        FROM placed LEFT JOIN held USING (r)
     """,
     "op13_merkle_manifest": _merkle_sql(),
 }

@@ -92,3 +92,33 @@ def test_whole_documents_of_messy_rows(spark):
 def test_words_are_counted_alike(spark):
     found = messy(spark).select("text", mixing.word_count(F.col("text")).alias("n")).collect()
     assert all(r.n == len(words(r.text)) for r in found)
+
+
+def test_every_prefix_of_the_mix_is_near_the_weights(spark):
+    """The order of the query's rows is the schedule's: words of the documents begun so far, by source."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = [r for r in mixing.taken_words(docs).collect() if r.first_position is not None]
+    rows.sort(key=lambda r: r.first_position)
+    target = {r.source: r.target for r in rows}
+    total = sum(target.values())
+    slots = [r for r in mixing.schedule(mixing.source_targets(mixing.sized_documents(docs))).select("position").collect()]
+    assert min(r.first_position for r in rows) == 0 and max(r.first_position for r in rows) <= max(r.position for r in slots)
+    for share in (0.05, 0.1, 0.25, 0.5):
+        upto = share * len(slots)
+        begun = defaultdict(int)
+        for r in rows:
+            if r.first_position < upto:
+                begun[r.source] += min(r.taken, r["size"])
+        words_begun = sum(begun.values())
+        for source, want in target.items():
+            if want / total > 0.03:
+                assert begun[source] / words_begun == pytest.approx(want / total, rel=0.35)
+
+
+def test_the_points_decide_the_order(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = {(r.doc_id, r.first_position, r.taken) for r in mixing.taken_words(docs).collect()}
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0001234)
+    after = {(r.doc_id, r.first_position, r.taken) for r in mixing.taken_words(docs).collect()}
+    assert {(i, taken) for i, _, taken in before} == {(i, taken) for i, _, taken in after}
+    assert len(before & after) < 0.6 * len(before)
