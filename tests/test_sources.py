@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from roomledger import fixed_values as fixed
@@ -149,3 +150,28 @@ def test_late_rows_are_merged_into_their_months(spark, tmp_path):
         stored = {(r.property_ID, r.price, r.year_month) for r in tables.read_table(spark, path).collect()}
         assert stored == {("a", 9.0, "2020_01"), ("b", 2.0, "2020_01"), ("e", 5.0, "2020_01"), ("c", 3.0, "2020_02"), ("f", 6.0, "2020_02"),
                           ("d", 4.0, "2020_03")}
+
+
+def test_read_back_sees_other_rows_as_well_as_fewer(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.sql("select * from values ('a', 1, array(1.5D)), ('a', 1, array(1.5D)), ('b', null, null) as t(k, v, w)")
+    tables.append_month(df, path, "2020_01", ["k"])
+    stored = tables.read_table(spark, path)
+    assert tables.readback(stored, df, "2020_01").first().complete
+    others = [df.withColumn("v", F.col("v") + 1), df.withColumn("v", F.coalesce("v", F.lit(0))), df.selectExpr("k", "v", "reverse(w) w").withColumn("k", F.lit("a")),
+              df.distinct().unionByName(df.filter("k = 'b'")), df.withColumn("more", F.lit(1)), df.limit(2)]
+    for other in others:
+        assert not tables.readback(stored, other, "2020_01").first().complete
+        with pytest.raises(ValueError):
+            tables.assert_readback(stored, other, "2020_01")
+
+
+def test_an_empty_rerun_empties_its_month_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(5).withColumn("k", F.col("id"))
+    for label in ("2020_01", "2020_02"):
+        tables.append_month(df, path, label, ["k"])
+    tables.append_month(df.limit(0), path, "2020_01", ["k"])
+    stored = tables.read_table(spark, path)
+    assert {r.year_month for r in stored.select("year_month").collect()} == {"2020_02"} and stored.count() == 5
+    tables.assert_readback(stored, df.limit(0), "2020_01")
