@@ -2,10 +2,13 @@
 
 A value is found by its shape, validated (check digits, ranges, calendar), and
 sent to another valid value of the same shape: cards and account numbers keep
-a right check digit, dates stay dates, addresses stay addresses. The
-permutation depends on the key and the kind alone, so equal values get equal
-pseudonyms in all documents, and different values different ones. Marks
-between digits and the case of letters stay, and do not change the pseudonym.
+a right check digit, dates stay dates written in the same order with as many
+digits, addresses stay addresses. The permutation depends on the key and the
+kind alone, so equal values get equal pseudonyms in all documents, and
+different values different ones. Marks between digits and the case of letters
+stay, and do not change the pseudonym. Dates with two-digit days before months
+go where the same dates with the year first go; those of other shapes are
+permuted among the dates of their own shape.
 """
 
 from __future__ import annotations
@@ -15,19 +18,24 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 FIRST_DAY, DAY_SIDES = "1900-01-01", (270, 271)  # 73,170 days, up to 2100-05-01
+FIRST_YEAR, LAST_YEAR = 1900, 2100
+FIRST_LEAP, LAST_LEAP = 1904, 2096
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+ACCENTED = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ"
 # The shapes that are looked for. The first that fits counts.
-EMAIL = r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}"
+EMAIL = r"[\p{IsLatin}0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{4}"
 ADDRESS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 INSURED = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 ACCOUNT = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}"
+PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 SECRET = r"(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})"
+# Values may stand beside letters of scripts without spaces, and dates before a time of day.
 ANY = (
-    r"(?<![\p{L}\p{N}._%+@-])(?:" + "|".join(s.replace("([./])", "(?:[./])").replace(r"\1", "[./]") for s in (
-        EMAIL, DATE, ADDRESS, INSURED, ACCOUNT, SECRET, PHONE, CARD)) + r")(?![\p{L}\p{N}@]|[.-][0-9])"
+    r"(?<![\p{IsLatin}\p{N}._%+@-])(?:" + "|".join(s.replace("([./-])", "(?:[./-])").replace(r"\1", "[./-]") for s in (
+        EMAIL, DATE, ADDRESS, INSURED, ACCOUNT, SECRET, PHONE, CARD))
+    + r")(?:(?![\p{IsLatin}\p{N}@]|[.-][0-9])|(?<=[0-9]{4}-[0-9]{2}-[0-9]{2})(?=T[0-9]{2}))"
 )
 
 
@@ -58,12 +66,14 @@ def _shifted(char: Column, by: Column, letters: str) -> Column:
     def within(alphabet: str, at: Column) -> Column:
         return F.substr(F.lit(alphabet), (F.pmod(at + F.pmod(by, F.lit(len(alphabet))), F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
 
-    lower, upper = F.instr(F.lit(letters), char), F.instr(F.lit(letters.upper()), char)
-    digit = F.instr(F.lit("0123456789"), char)
-    return (
-        F.when(char == "", char).when(digit > 0, within("0123456789", digit - 1)).when(lower > 0, within(letters, lower - 1))
-        .when(upper > 0, within(letters.upper(), upper - 1)).otherwise(char)
-    )
+    classes = ["0123456789", letters, letters.upper()]
+    if letters == LETTERS:
+        classes += [ACCENTED, ACCENTED.upper()]
+    moved = F.when(char == "", char)
+    for alphabet in classes:
+        at = F.instr(F.lit(alphabet), char)
+        moved = moved.when(at > 0, within(alphabet, at - 1))
+    return moved.otherwise(char)
 
 
 def permuted_text(text: Column, key: str, kind: str, letters: str = LETTERS) -> Column:
@@ -161,23 +171,71 @@ def _insured(value: Column, key: str) -> Column:
         _padded(found["right"] % 9999 + 1, F.lit(4))))
 
 
+def _days(first: int, second: int, *, leap: bool = False) -> str:
+    """All pairs of numbers before a year that make a date, as `` 0131`` each, in order.
+
+    The numbers are written with ``first`` and ``second`` digits and are day
+    and month, or month and day; with two digits each only the pairs that must
+    be month and day count. ``leap`` asks for the pairs that are dates in leap
+    years alone.
+    """
+    months = [31, 29 if leap else 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31]
+
+    def is_date(month: int, day: int) -> bool:
+        return month <= 12 and day <= months[month - 1] and (not leap or (month, day) == (2, 29))
+
+    def fits(a: int, b: int) -> bool:
+        return is_date(a, b) and b > 12 if first == second == 2 else is_date(a, b) or is_date(b, a)
+
+    numbers = {1: range(1, 10), 2: range(1, 32)}
+    return "".join(f" {a:02}{b:02}" for a in numbers[first] for b in numbers[second] if fits(a, b))
+
+
+def _shaped_date(a: Column, b: Column, year: Column, mark: Column, key: str) -> Column:
+    """A date of two numbers and a year, permuted among all with as many digits.
+
+    The days that only leap years have are permuted among themselves.
+    """
+
+    def table(leap: bool) -> Column:
+        chosen = F.when((F.length(a) == 2) & (F.length(b) == 2), F.lit(_days(2, 2, leap=leap)))
+        for i, j in ((1, 2), (2, 1)):
+            chosen = chosen.when((F.length(a) == i) & (F.length(b) == j), F.lit(_days(i, j, leap=leap)))
+        return chosen.otherwise(F.lit(_days(1, 1, leap=leap)))
+
+    pair = F.concat(F.lit(" "), F.lpad(a, 2, "0"), F.lpad(b, 2, "0"))
+    every_year, leap_year = F.instr(table(False), pair), F.instr(table(True), pair)
+    usual = every_year > 0
+    at = F.floor((F.when(usual, every_year).otherwise(leap_year) - 1) / 5)
+    days = F.when(usual, table(False)).otherwise(table(True))
+    found = permuted_pair(
+        F.when(usual, year - FIRST_YEAR).otherwise(F.floor((year - FIRST_LEAP) / 4)), at,
+        F.when(usual, LAST_YEAR - FIRST_YEAR + 1).otherwise((LAST_LEAP - FIRST_LEAP) // 4 + 1),
+        F.floor(F.length(days) / 5), key, "shaped date")
+    new_year = F.when(usual, found["left"] + FIRST_YEAR).otherwise(found["left"] * 4 + FIRST_LEAP)
+    place = (found["right"] * 5 + 2).cast("int")
+    new_a, new_b = (F.right(F.substr(days, place + k, F.lit(2)), F.length(own)) for k, own in ((0, a), (2, b)))
+    fits = F.when(usual, year.between(FIRST_YEAR, LAST_YEAR)).otherwise(
+        (leap_year > 0) & (year % 4 == 0) & year.between(FIRST_LEAP, LAST_LEAP))
+    return F.when(fits, F.concat(new_a, mark, new_b, mark, new_year.cast("string")))
+
+
 def _date(value: Column, key: str) -> Column:
-    """Year first, or day before month; month before day where only that is a date."""
+    """Year first, or day and month before it in either order; two digits each are day before month where that is a date."""
     parts = F.split(value, "[./-]")
     iso = value.rlike("^[0-9]{4}-")
-    day_first = F.try_to_date(F.concat_ws("-", parts[2], F.lpad(parts[1], 2, "0"), F.lpad(parts[0], 2, "0")))
-    month_first = F.try_to_date(F.concat_ws("-", parts[2], F.lpad(parts[0], 2, "0"), F.lpad(parts[1], 2, "0")))
-    day = F.when(iso, F.try_to_date(value)).otherwise(F.coalesce(day_first, month_first))
+    two_digits = (F.length(parts[0]) == 2) & (F.length(parts[1]) == 2)
+    day_first = F.when(two_digits, F.try_to_date(F.concat_ws("-", parts[2], parts[1], parts[0])))
+    day = F.when(iso, F.try_to_date(value)).otherwise(day_first)
     number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
     a, b = DAY_SIDES
     found = permuted_pair(F.floor(number / b), number % b, F.lit(a), F.lit(b), key, "date")
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), (found["left"] * b + found["right"]).cast("int"))
-    mark = F.regexp_extract(value, "[./]", 0)
-    two_first = F.when(day_first.isNotNull(), F.date_format(new, "dd")).otherwise(F.date_format(new, "MM"))
-    two_next = F.when(day_first.isNotNull(), F.date_format(new, "MM")).otherwise(F.date_format(new, "dd"))
+    mark = F.regexp_extract(value, "[./-]", 0)
     written = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
-        F.concat(two_first, mark, two_next, mark, F.date_format(new, "yyyy")))
-    return F.when(number.between(0, a * b - 1), written)
+        F.concat(F.date_format(new, "dd"), mark, F.date_format(new, "MM"), mark, F.date_format(new, "yyyy")))
+    shaped = F.when(~iso, _shaped_date(parts[0], parts[1], parts[2].cast("int"), mark, key))
+    return F.when(day.isNull(), shaped).when(number.between(0, a * b - 1), written)
 
 
 def _mod97(text: Column) -> Column:

@@ -72,6 +72,40 @@ def test_permutations_are_one_to_one(spark):
     assert spark.range(35).select(pair.alias("n")).distinct().count() == 35
 
 
+@pytest.mark.parametrize(("first", "second"), [(1, 1), (1, 2), (2, 1), (2, 2)])
+def test_all_dates_of_a_shape_are_permuted_among_themselves(spark, first, second):
+    def is_date(y, m, d):
+        try:
+            return bool(date(y, m, d))
+        except ValueError:
+            return False
+
+    years = [*range(1900, 2100, 9), 1904, 2000, 2096] if (first, second) != (1, 1) else range(1900, 2101)
+    write = lambda a, b, y: f"{a:0{first}}/{b:0{second}}/{y}"
+    span = {1: range(1, 10), 2: range(1, 32)}
+    both = lambda y, a, b: is_date(y, b, a) or is_date(y, a, b)
+    values = sorted({write(a, b, y) for y in years for a in span[first] for b in span[second] if both(y, a, b)})
+    found = spark.createDataFrame([(v,) for v in values], "v string").select(P._date(F.col("v"), KEY).alias("n")).collect()
+    assert len({r.n for r in found}) == len(values)
+    for r in found:
+        a, b, y = r.n.split("/")
+        assert (len(a), len(b), len(y)) == (first, second, 4) and 1900 <= int(y) <= 2100 and both(int(y), int(a), int(b))
+    if (first, second) == (1, 1):  # the whole shape: nothing but itself can be reached
+        assert {r.n for r in found} == set(values)
+
+
+def test_values_beside_times_hyphens_and_other_scripts(spark):
+    texts = ["at 2020-01-02T10:00:00Z", "on 2020-01-02.", "联系zhang@example.com请", "to zhang@example.com", "josé.pérez@example.com",
+             "tel 555-123-4567", "born 03-12-1980", "born 03/12/1980", "29/02/2023 30-02-2020 2/29/1900"]
+    new = [r.text for r in P.pseudonymise(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), KEY).collect()]
+    assert new[0][3:13] == new[1][3:13] != "2020-01-02" and new[0].endswith("T10:00:00Z")
+    assert new[2][2:-1] == new[3][3:] != "zhang@example.com" and new[2][:2] == "联系" and new[2][-1] == "请"
+    assert re.fullmatch(r"[a-z]{3}[^\W\da-z]\.[a-z][^\W\da-z][a-z]{3}@[a-z]{7}\.com", new[4]) and "jos" not in new[4]
+    assert re.fullmatch(r"tel \d{3}-\d{3}-\d{4}", new[5]) and new[5] != texts[5]
+    assert new[6].replace("-", "/") == new[7] != texts[7]
+    assert new[8] == texts[8]  # no such days
+
+
 def test_messy_rows_and_plain_plan(spark):
     found = P.pseudonymise(messy(spark), KEY)
     assert set(found.columns) == set(messy(spark).columns)
