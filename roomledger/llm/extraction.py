@@ -20,46 +20,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roomledger.llm.batches import map_batches
-from roomledger.llm.dom import Block, blocks
+from roomledger.llm.dom import Block, Node, blocks
 from roomledger.llm.labelled_pages import labelled_pages
 
 STEPS = 200
 RATE = 0.1
 DECAY = 1e-4
-CONTEXTS = 1 << 16  # element paths whose score a worker remembers
+CONTEXTS = 1 << 16  # elements whose features a worker remembers
+NEAR = 400  # characters from a block's beginning and end that may hold cue words
+SECTIONS = frozenset("article main section nav header footer aside form".split())
 NAME = re.compile(r"[a-z]+")
 CUES = re.compile(
     r"©|cookie|subscri|sign up|log in|share|repl(?:y|ies)|comment|privacy|read more|rights reserved|terms of|advert|newsletter|accept", re.I
 )
 
 
+def element_features(tag: str, names: str) -> set[str]:
+    """Features of one of the elements around a block."""
+    found = {"in " + tag}
+    for name in NAME.findall(names):
+        name = name.rstrip("s") or name
+        found.add("named " + name)
+        if len(name) > 4:
+            found.add("begins " + name[:4])
+    return found
+
+
+def place_features(last: list[str], plain: bool) -> list[str]:
+    """Features of the innermost two elements, and of a place outside all ``SECTIONS``."""
+    return ["own " + (last[-1] if last else ""), "below " + " ".join(last)] + ["plain"] * plain
+
+
 def path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
-    """Features of the elements around a block."""
-    found = set()
-    for tag, names in path:
-        found.add("in " + tag)
-        for name in NAME.findall(names):
-            name = name.rstrip("s") or name
-            found.add("named " + name)
-            if len(name) > 4:
-                found.add("begins " + name[:4])
+    """Features of all the elements around a block."""
     tags = [tag for tag, _ in path]
-    found.add("own " + (tags[-1] if tags else ""))
-    found.add("below " + " ".join(tags[-2:]))
-    if not {"article", "main", "section", "nav", "header", "footer", "aside", "form"} & set(tags):
-        found.add("plain")
-    return sorted(found)
+    found = set().union(*(element_features(*e) for e in path))
+    return sorted(found.union(place_features(tags[-2:], not SECTIONS & set(tags))))
 
 
 def text_features(block: Block) -> list[str]:
-    """Features of a block's own text."""
+    """Features of a block's own text; cue words count at its beginning and at its end."""
     text, n = block.text, len(block.text)
     found = [f"length {min(n.bit_length(), 10)}", f"linked {3 * block.linked // n}"]
     if text[-1] in ".!?…»\"”":
         found.append("sentence")
     if text[0] == "©":
         found.append("copyright")
-    found += ["cue " + c.lower() for c in set(CUES.findall(text[:400]))]
+    ends = text if n <= 2 * NEAR else text[:NEAR] + "\n" + text[-NEAR:]
+    found += ["cue " + c for c in sorted({c.lower() for c in CUES.findall(ends)})]
     return found
 
 
@@ -71,27 +79,55 @@ class Field:
     bias: float
     moves: np.ndarray
     first: np.ndarray
-    paths: dict = field(default_factory=dict, repr=False)
-
-    def _emission(self, block: Block) -> float:
-        score = self.paths.get(block.path)
-        if score is None:
-            score = self.bias + sum(self.weights.get(f, 0.0) for f in path_features(block.path))
-            if len(self.paths) < CONTEXTS:
-                self.paths[block.path] = score
-        return score + sum(self.weights.get(f, 0.0) for f in text_features(block))
+    bits: dict[str, int] = field(default_factory=dict, repr=False)  # of features that have weights
+    elements: dict = field(default_factory=dict, repr=False)
+
+    def _element(self, tag: str, names: str) -> tuple[tuple[int, float], ...]:
+        """The features of an element as (bit, weight)."""
+        known = self.elements.get((tag, names))
+        if known is None:
+            met = sorted(f for f in element_features(tag, names) if f in self.weights)
+            known = tuple((self.bits.setdefault(f, 1 << len(self.bits)), self.weights[f]) for f in met)
+            if len(self.elements) < CONTEXTS:
+                self.elements[tag, names] = known
+        return known
+
+    def _around(self, node: Node | None, states: dict) -> tuple[int, float, bool]:
+        """Features met from the outside to ``node`` as bits, their summed weights, and whether no section is open.
+
+        ``states`` keeps those of a page, so every element is looked at once.
+        """
+        climb = []
+        while node is not None and node not in states:
+            climb.append(node)
+            node = node.above
+        met, score, plain = states[node] if node is not None else (0, 0.0, True)
+        for node in reversed(climb):
+            for bit, weight in self._element(node.tag, node.names):
+                if not met & bit:
+                    met, score = met | bit, score + weight
+            plain = plain and node.tag not in SECTIONS
+            states[node] = met, score, plain
+        return met, score, plain
+
+    def _emission(self, block: Block, states: dict | None = None) -> float:
+        node = block.inside
+        _, score, plain = self._around(node, {} if states is None else states)
+        last = [n.tag for n in (node and node.above, node) if n is not None]
+        return self.bias + score + sum(self.weights.get(f, 0.0) for f in place_features(last, plain) + text_features(block))
 
     def decode(self, page: list[Block]) -> list[int]:
         """The most likely labels of a page's blocks, by Viterbi; ties go to the earlier label."""
         if not page:
             return []
+        states: dict = {}
         (m00, m01), (m10, m11) = self.moves.tolist()
-        a, b = float(self.first[0]), float(self.first[1]) + self._emission(page[0])
+        a, b = float(self.first[0]), float(self.first[1]) + self._emission(page[0], states)
         back = []
         for block in page[1:]:
             to_a, to_b = (a + m00, b + m10), (a + m01, b + m11)
             back.append((to_a[1] > to_a[0], to_b[1] > to_b[0]))
-            a, b = max(to_a), max(to_b) + self._emission(block)
+            a, b = max(to_a), max(to_b) + self._emission(block, states)
         label = int(b > a)
         labels = [label]
         for step in reversed(back):

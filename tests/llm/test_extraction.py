@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -29,6 +30,33 @@ def test_blocks_of_untidy_pages():
     assert inner.path == (("article", "post main"), ("div", "c"), ("p", ""))
 
 
+def test_time_and_memory_grow_with_broken_pages(model):
+    n = 30_000
+    broken = ["<a " * n, '<a "' * n, '<a "' * n + ">", "<a<a" * n + ">", "<a<a" * n + "'>", "<div>a" * n, "<div class=c><b>" * n + "x",
+              "<b>" * n + "</i>" * n, "<p>" + "<b>" * n + "<hr>" * n, "<ul><li>" * n + "</ol>" * n, "<a href='\">" * n, "<!" * n, "</" * n, "<!--" * n,
+              "<script" * n, "<a <b c='" * n + "<p>x</p>", "".join(f"<div class=k{k}>a" for k in range(n))]
+    for page in broken:
+        begun = time.process_time()
+        labels = model.decode(found := blocks(page))
+        assert len(labels) == len(found) and time.process_time() - begun < 10, page[:20]
+    assert len(blocks("<div>a" * n)) == n
+    assert [b.text for b in blocks("x <a 'y <p>z</p>")] == ["x <a 'y", "z"] and [b.text for b in blocks('a <b c="> d</b>')] == ["a d"]
+
+
+def test_score_of_a_place_is_the_sum_of_its_features(model):
+    for page, _ in labelled_pages(20, seed=11):
+        states = {}
+        for b in page:
+            want = model.bias + sum(model.weights.get(f, 0.0) for f in X.path_features(b.path) + X.text_features(b))
+            assert model._emission(b, states) == pytest.approx(want)
+
+
+def test_cues_at_the_end_of_long_blocks():
+    long = "w" * 3000
+    assert "cue newsletter" in X.text_features(Block(long + " newsletter", None, 0)) and "cue advert" in X.text_features(Block("advert " + long, None, 0))
+    assert not any(f.startswith("cue") for f in X.text_features(Block(long + " advert " + long, None, 0)))
+
+
 def test_held_out_labelled_pages(model):
     pages = labelled_pages(150, seed=1234)
     wrong = sum(a != b for page, labels in pages for a, b in zip(model.decode(page), labels))
