@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roomledger import fixed_values as fixed
 from roomledger.functions.columns import is_true
+from roomledger.sources.records import read_split
 
 PROPERTY_PREFIX = "All_Property_Match_"
 DAILY_PREFIX = "All_1Month_Daily_Match_"
@@ -61,13 +62,6 @@ def _faulty(text: Column, kind: str) -> Column:
     return text.isNotNull() & is_true(tests[kind])
 
 
-def _read_text(spark: SparkSession, path: str, *, header: bool, multi_line: bool) -> DataFrame:
-    # Parts whose header differs from the first one's are an error, not read by place.
-    reader = spark.read.option("header", header).option("multiLine", multi_line).option("enforceSchema", False)
-    reader = reader.option("escape", '"').option("nullValue", "NA").option("emptyValue", "")
-    return reader.csv(path)
-
-
 def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFrame:
     """Typed clean columns without blanks around them, and ``parse_error`` for rows with a text of the wrong type.
 
@@ -90,11 +84,16 @@ def _apply_types(text: DataFrame, columns: list[tuple[str, str, str]]) -> DataFr
 def read_property(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
     """The property file: 35 of its columns, found by name, with ``parse_error``.
 
-    Titles may hold line breaks, so a file is one split; deliver large months
-    as many files, or without such breaks and with ``multi_line`` off, when
-    files of any size are split. All parts must have the same header.
+    Titles may hold line breaks; files of any size are read in many tasks all
+    the same (see ``read_split``). Without such breaks and with ``multi_line``
+    off they are read once instead of twice. All parts must have the same header.
     """
-    text = _read_text(spark, path, header=True, multi_line=multi_line)
+    options = {"escape": '"', "nullValue": "NA", "emptyValue": ""}
+    if multi_line:
+        text = read_split(spark, path, options)
+    else:
+        # Parts whose header differs from the first one's are an error, not read by place.
+        text = spark.read.options(**options).option("header", True).option("enforceSchema", False).csv(path)
     return _apply_types(text, fixed.PROPERTY_COLUMNS)
 
 

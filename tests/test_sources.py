@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from roomledger import fixed_values as fixed
 from roomledger import session
-from roomledger.sources import delivered, tables
+from roomledger.sources import delivered, records, tables
 
 
 def write(path, lines):
@@ -49,6 +50,32 @@ def test_property_file_is_read_by_name_and_type(spark, tmp_path):
     assert delivered.parse_errors(read).count() == 3
 
 
+def test_records_with_line_breaks_are_read_in_many_tasks(spark, tmp_path):
+    chance = random.Random(4)
+    cells = ["", "a", "NA", '"q, ""x"""', '"one\ntwo"', '"\n\n"', '"say ""hi""\n"', 'in"ch', "5'", ' "blank', '"' + "long\n" * 90 + '"', '"a,\n"",b"', "é"]
+    lines = ["h1,h2,h3,h4"] + [",".join([str(k), *chance.choices(cells, k=3)]) for k in range(160)]
+    for name, end in (("unix", "\n"), ("dos", "\r\n")):
+        for k in range(2):
+            (tmp_path / name).mkdir(exist_ok=True)
+            part = [lines[0], *lines[1 + 80 * k: 81 + 80 * k]]
+            (tmp_path / name / f"part-{k}.csv").write_bytes((end.join(part) + end * (2 - k)).encode())
+    options = {"escape": '"', "nullValue": "NA", "emptyValue": ""}
+    whole = spark.read.options(**options).option("header", True).option("multiLine", True)
+    want = sorted(map(tuple, whole.csv(str(tmp_path / "unix")).collect()), key=str)
+    assert len(want) == 160
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("193", before):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for name in ("unix", "dos"):
+                read = records.read_split(spark, str(tmp_path / name), options)
+                assert read.columns == ["h1", "h2", "h3", "h4"]
+                found = sorted((tuple(c and c.replace("\r\n", "\n") for c in r) for r in read.collect()), key=str)
+                assert found == want, (size, name)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_parts_of_a_property_file_share_a_header(spark, tmp_path):
     for k in range(2):
         write(tmp_path / f"same/part-{k}.csv", [HEADER, property_line(property_ID=f"ab-{k}", country="Peru", region="Lima")])
