@@ -9,6 +9,7 @@ until no edit makes the heaviest and the lightest more alike. Only the map,
 from __future__ import annotations
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,15 +111,42 @@ def load_map(stored: DataFrame, version: int | None = None) -> tuple[np.ndarray,
     return shard_of, latest
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 24, shard_of: np.ndarray | None = None, version: int = 1) -> DataFrame:
+def stored_maps(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All whole versions of the map in a folder, None without one; a version whose writing broke off does not count."""
+    try:
+        found = spark.read.schema(MAP_SCHEMA).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    whole = found.groupBy("version").agg(F.countDistinct("virtual_slot").alias("n")).filter(F.col("n") == SLOTS)
+    versions = found.join(F.broadcast(whole), "version", "left_semi")  # a row for each version
+    return None if versions.isEmpty() else versions
+
+
+def store_map(table: DataFrame, folder: str, version: int) -> DataFrame:
+    """Keep a version of the map beside the earlier ones; the same version broken off before is written anew."""
+    path = f"{folder}/version={version}"
+    table.drop("version").write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.drop("version").schema).parquet(path).withColumn("version", F.lit(version))
+
+
+def shard_documents(
+    docs: DataFrame, n_shards: int = 24, shard_of: np.ndarray | None = None, version: int = 1, maps: str | None = None
+) -> DataFrame:
     """Every row of ``docs`` with its shard and its place in the shard, sizes near equal (law ``bytes``).
 
     ``shard_of`` is the map in force (default: version 1); it is edited once
-    for the bytes that the slots hold now, and the edited map is stored.
+    for the bytes that the slots hold now, and the edited map is stored. With
+    a folder ``maps`` the latest version there is the map in force instead,
+    and the edited one is kept as the next version if any slot moves; one
+    writer at a time. Slots of shards that are no more go to the others.
     Adds ``OWN``; columns of the input by these names give way to them. A null
     text has size 8 and a null crc32, a null id hashes by its text alone,
     repeated rows share a slot and get places of their own; an empty table
     gives an empty result. ``slot`` counts from 0 without gaps in a shard.
+    Equal texts of different ids may lie in different shards: copies of one
+    text can be a third of all bytes, more than a shard may hold.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in OWN]
@@ -126,8 +154,20 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, shard_of: np.ndarray |
         *kept, record_size(F.col("text")).alias("size"), F.crc32("text").alias("text_crc32")
     ).withColumn("virtual_slot", virtual_slot(F.col("doc_id"), F.col("text_crc32")))
     size, rows = slot_weights(records)
-    edited = rebalanced(first_map(n_shards) if shard_of is None else shard_of, size, n_shards)
-    stored = materialize(map_table(spark, edited, size, rows, version + 1), "slot-map")
+    earlier = stored_maps(spark, maps) if maps is not None else None
+    if earlier is not None:
+        shard_of, version = load_map(earlier)
+    if shard_of is None:
+        shard_of = first_map(n_shards)
+    edited = rebalanced(np.where(shard_of < n_shards, shard_of, first_map(n_shards)), size, n_shards)
+    if earlier is None or not np.array_equal(edited, shard_of):
+        version += 1
+    table = map_table(spark, edited, size, rows, version)
+    # The weights of a version are those it was made for; places count the rows of now.
+    if maps is not None and (earlier is None or not np.array_equal(edited, shard_of)):
+        stored = store_map(table, maps, version)
+    else:
+        stored = materialize(table, "slot-map")
     in_shard = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     placed = stored.select(
         "virtual_slot", "shard", F.col("version").alias("map_version"),

@@ -43,6 +43,32 @@ def test_a_map_is_edited_little_and_can_grow(spark):
     assert np.array_equal(sharding.load_map(stored, 2)[0], first)
 
 
+def test_versions_of_the_map_are_kept_and_edited(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    maps = f"{tmp_path}/maps"
+    place = lambda df: {r.doc_id: (r.shard, r.slot, r.map_version) for r in df.collect()}
+    assert sharding.stored_maps(spark, maps) is None
+    first = place(sharding.shard_documents(docs, 8, maps=maps))
+    assert {v for _, _, v in first.values()} == {2} and first == place(sharding.shard_documents(docs, 8))
+    # nothing to edit, no new version
+    assert place(sharding.shard_documents(docs, 8, maps=maps)) == first
+    more = docs.unionByName(docs.selectExpr("doc_id + 1000000 as doc_id", *[c for c in docs.columns if c != "doc_id"]).limit(40))
+    second = sharding.shard_documents(more, 8, maps=maps)
+    load = [r.n for r in second.groupBy("shard").sum("size").toDF("shard", "n").collect()]
+    moved = sum(place(second)[k][0] != first[k][0] for k in first)
+    assert max(load) - min(load) < 0.02 * sum(load) / 8 and 0 < moved < len(first) / 4
+    assert {v for _, _, v in place(second).values()} == {3}
+    assert sorted(r.version for r in sharding.stored_maps(spark, maps).select("version").distinct().collect()) == [2, 3]
+    # a version whose writing broke off does not count, and fewer shards take the slots of the others
+    spark.range(5).selectExpr("int(id) virtual_slot", "0 shard", "0L bytes", "0L rows").write.parquet(f"{maps}/version=4")
+    fewer = place(sharding.shard_documents(more, 7, maps=maps))
+    assert {s for s, _, _ in fewer.values()} == set(range(7)) and {v for _, _, v in fewer.values()} == {4}
+    assert sharding.load_map(sharding.stored_maps(spark, maps))[1] == 4
+    for shard in range(7):
+        places = sorted(n for s, n, _ in fewer.values() if s == shard)
+        assert places == list(range(len(places)))
+
+
 def test_messy_rows(spark):
     found = sharding.shard_documents(messy(spark))
     assert set(messy(spark).columns) - set(sharding.OWN) <= set(found.columns) and set(sharding.OWN) <= set(found.columns)
