@@ -86,7 +86,7 @@ def read_property(spark: SparkSession, path: str, *, multi_line: bool = True) ->
 
     Titles may hold line breaks; files of any size are read in many tasks all
     the same (see ``read_split``). Without such breaks and with ``multi_line``
-    off they are read once instead of twice. All parts must have the same header.
+    off they are read once instead of three times. All parts must have the same header.
     """
     options = {"escape": '"', "nullValue": "NA", "emptyValue": ""}
     if multi_line:

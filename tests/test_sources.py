@@ -76,6 +76,16 @@ def test_records_with_line_breaks_are_read_in_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_open_quotes_end_with_their_file_and_whole_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h1,h2\n1,"open\n2,x\n')
+    (tmp_path / "b.csv").write_text('h1,h2\n\n3,y\n4,"two\nlines"\n')
+    (tmp_path / "c.csv").write_text("h1,h2")
+    read = records.read_records(spark, str(tmp_path))
+    assert sorted(r.value for r in read.collect()) == ['1,"open\n2,x', "3,y", '4,"two\nlines"']
+    final = read._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning(file") == 1 and "hashpartitioning(file" in final.split("collect_list", 1)[1]
+
+
 def test_parts_of_a_property_file_share_a_header(spark, tmp_path):
     for k in range(2):
         write(tmp_path / f"same/part-{k}.csv", [HEADER, property_line(property_ID=f"ab-{k}", country="Peru", region="Lima")])
