@@ -19,7 +19,7 @@ def leaks(spark, texts, items=((7, ITEM),)):
 def test_templates(spark):
     row = spark.createDataFrame([("Well, Anna paid 1,250.5 km to San Juan. Then THE end 7%",)], "text string")
     words = row.select(D.template_words(F.col("text"), True).alias("v"), D.template_words(F.col("text")).alias("w")).first()
-    assert words.v == ["well", "ⓐanna", "paid", "ⓝ12505", "ⓤkm", "to", "ⓐsan", "ⓐjuan", "then", "the", "end", "ⓝ7", "ⓤ"]
+    assert words.v == ["well", "ⓐanna", "paid", "ⓝ1250ⓓ5", "ⓤkm", "to", "ⓐsan", "ⓐjuan", "then", "the", "end", "ⓝ7", "ⓤ"]
     assert words.w == [re.sub("^([ⓐⓝⓤ]).*", r"\1", w) for w in words.v]
 
 
@@ -63,12 +63,47 @@ def test_all_planted_passages_and_nothing_else(spark):
 def test_copies_of_items_with_few_literal_words_are_found(spark):
     items = ["What is 12 plus 15?", "Who wrote Hamlet?", "Add 3 km, 5 km, 7 km and 9 km to 11 km.", "Where did Anna Berta Carla Doris meet?", "Why?"]
     texts = [f"Here it goes, Question: {t} Then the answer." for t in items]
-    others = ["What is 12 plus 16? Who wrote Faust? Add 4 km, 6 km, 8 km and 9 km to 12 km. Where did Emma Berta Carla Fiona meet?", "12 plus", ""]
+    others = ["Who wrote Faust? Where did Emma Berta Carla meet?", "12 plus", "What is 12 plus", ""]
     assert leaks(spark, texts + others, list(enumerate(items))) == {(i, i) for i in range(len(items))}
     # Items of one id, or without one, are judged one by one.
     assert leaks(spark, texts, [(None, items[0]), (None, items[2]), (1, items[1]), (1, items[1]), (1, items[3])]) == {(0, None), (2, None), (1, 1), (3, 1)}
 
 
+BAKER = "A baker sells 12 loaves for 3 dollars each, 5 cakes for 20 dollars each and 40 rolls for 1 dollar each. How many dollars in all?"
+
+
+def test_short_and_dense_questions_with_other_values_are_found(spark):
+    items = [(0, "What is 12 plus 15?"), (1, "Add 3 km, 5 km, 7 km and 9 km to 11 km."), (2, BAKER), (3, "Pay 3.5 or 35 or 3.5 now")]
+    texts = [
+        "So it goes. What is 13 plus 99? Say.", "what is 13 plus 13", "Add 4 km, 6 km, 8 km and 10 km to 12 km.", "Add 4 km, 6 km, 8 km and 8 km to 12 km.",
+        BAKER.replace("12", "14").replace("40", "60").replace(" 5 ", " 9 "), "They say: pay 7 or 2.5 or 7 now", "They say: pay 7 or 7 or 7 now",
+    ]
+    assert leaks(spark, texts, items) == {(0, 0), (2, 1), (4, 2), (5, 3)}
+
+
+def test_chance_likenesses_are_left_alone(spark):
+    texts = [
+        "Tickets to the museum and a meal were bought by two friends for 41 dollars. How many dollars in all?",
+        "At the zoo a family bought 3 tickets and some cakes for 7 dollars. How many dollars in all?",
+        "3 4 5 6 7 8 9 10 11 12 km 13 km 14 km and 15 km", "what is 12 of the plus 15",
+    ]
+    assert leaks(spark, texts, [(0, BAKER), (1, "Add 3 km, 5 km, 7 km and 9 km to 11 km."), (2, "What is 12 plus 15?")]) == set()
+
+
+def test_an_excerpt_of_a_long_item_is_found_by_its_run(spark):
+    words = [f"w{chr(97 + i // 8)}{chr(97 + i % 8)}" for i in range(59)]
+    texts = ["so " + " ".join(words[k : k + n]) + " it goes" for k, n in ((20, 26), (0, 13), (46, 13), (20, 12))]
+    scattered = " and ".join(" ".join(words[k : k + 7]) for k in (0, 10, 20, 30, 40))
+    assert leaks(spark, [*texts, scattered], [(1, " ".join(words))]) == {(0, 1), (1, 1), (2, 1)}
+
+
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    other = ITEM.replace("Anna", "Carla").replace("Berta", "Doris").replace("12", "30").replace(" 5 ", " 7 ")
+    more = ["a wholly different text with the same id and many more words in it " * 3, "and yet another text of the id that has its own words"]
+    for name in (7, None):
+        assert leaks(spark, [other], [(name, ITEM), *[(name, t) for t in more]]) == {(0, name)}
+
+
 def test_figures_are_of_the_template_where_it_is_held(spark):
     docs = spark.createDataFrame([(0, ITEM), (0, ITEM), (1, "What is 12 plus 15?")], "doc_id long, text string")
     items = spark.createDataFrame([(7, ITEM), (8, "what is 12 plus 15")], "item_id long, text string")
