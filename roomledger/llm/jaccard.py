@@ -501,19 +501,25 @@ def drop_lonely(found: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def wanted_ids(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``FILTER_BITS`` bits over doc_ids; what it lets through in error the next join drops."""
+    """A Bloom filter of ``FILTER_BITS`` bits over doc_ids; what it lets through in error the next join drops.
+
+    Every task sets bits of its own rows; their words are combined by number,
+    so the driver gets ``FILTER_BITS`` / 64 rows at most.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, bool)
         for batch in batches:
             for at in _filter_places(batch.column("doc_id")):
                 bits[at] = True
-        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(bits).tobytes()]})
-
-    found = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in map_batches(ids.coalesce(8), build, "bits binary").toLocalIterator():
-        found |= np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(found).astype(bool)
+        words = np.packbits(bits).view(np.int64)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(words[some], pa.int64())], ["at", "word"])
+
+    words = map_batches(ids, build, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    found = np.zeros(FILTER_BITS // 64, np.int64)
+    found[words.column("at").to_numpy()] = words.column("word").to_numpy()
+    return np.unpackbits(found.view(np.uint8)).astype(bool)
 
 
 def _filter_places(doc_ids: pa.Array) -> list[np.ndarray]:
