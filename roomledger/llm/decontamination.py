@@ -56,7 +56,8 @@ def template_words(text: Column, values: bool = False) -> Column:
 
 def plain_words(text: Column) -> Column:
     """The words of a text as they are, without case."""
-    return F.filter(F.split(F.lower(_without_signs(text)), SEPARATOR), lambda w: w != "")
+    # signs part words here as spaces do, so only the letter that would be cut in two is replaced
+    return F.filter(F.split(F.lower(F.replace(text, F.lit("İ"), F.lit("I"))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
 
 def kind_of(word: Column) -> Column:
@@ -70,8 +71,8 @@ def _is_slot(word: Column) -> Column:
 
 def window_hashes(words: Column, width: int = WINDOW) -> Column:
     """The hash of the window that starts at each word; none where there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, width)))
+    starts = F.sequence(F.lit(0), F.size(words) - width)
+    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
     return F.when(F.size(words) >= width, hashes).otherwise(F.array().cast("array<long>"))
 
 
@@ -166,7 +167,7 @@ def _windows(texts: DataFrame, widths: dict[bool, list[int]], values: bool = Fal
 
 def _found_windows(texts: DataFrame, widths: dict[bool, list[int]]) -> DataFrame:
     """Rows (doc_id, text_hash, plain, width, hash) of the windows of each document, of its template and of its plain words."""
-    return _windows(texts, widths).select("doc_id", "text_hash", "plain", "width", F.explode("hashes").alias("hash"))
+    return _windows(texts, widths).select("doc_id", "text_hash", "plain", "width", F.explode(F.array_distinct("hashes")).alias("hash"))
 
 
 def _same(columns: list[str]) -> Column:
