@@ -438,6 +438,12 @@ SELECTS = {
     "semi_boundary_names": f"""SELECT merged AS name, name AS part, count(*) AS n FROM (SELECT name, {MERGED_PART} AS merged FROM v_second_set)
         WHERE merged <> 'Macau' AND merged IN (SELECT name FROM v_first_set) GROUP BY ALL""",
     "boundary_merge": f"SELECT {MERGED_PART} AS name, count(DISTINCT name) AS parts FROM ({spread(Q._alt_boundary_texts(), 'name')}) WHERE name IS NOT NULL GROUP BY 1",
+    "boundary_dissolve": """WITH squares AS (
+            SELECT 'Land ' || (s_suppkey % 20 // 7) AS name, CAST(s_suppkey % 20 * 10 AS BIGINT) AS x, CAST(s_suppkey // 20 * 10 AS BIGINT) AS y FROM supplier
+        ), sides AS (
+            SELECT name, x AS x1, y AS y1, x + 10 AS x2, y AS y2 FROM squares UNION ALL SELECT name, x, y + 10, x + 10, y + 10 FROM squares
+            UNION ALL SELECT name, x, y, x, y + 10 FROM squares UNION ALL SELECT name, x + 10, y, x + 10, y + 10 FROM squares
+        ) SELECT name, x1, y1, x2, y2 FROM sides GROUP BY ALL HAVING count(*) = 1""",
     "boundary_active": "SELECT DISTINCT name FROM v_main_edges WHERE name IN (SELECT country FROM v_listings)",
     "country_exception": f"""SELECT country, geo, supplied, n, {exception('country', 'geo', 'supplied')} AS after FROM (
         SELECT s.country, l.country AS geo, l.region AS supplied, count(*) AS n FROM v_scrapes s JOIN v_listings l ON s.property_ID = l.property_ID GROUP BY ALL)""",

@@ -464,6 +464,13 @@ def boundary_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merged.groupBy("name").agg(F.countDistinct("part").alias("parts"))
 
 
+@query
+def boundary_dissolve(spark: SparkSession, sf: str) -> DataFrame:
+    """Outlines of the lands; the sides that two of their squares share are gone."""
+    outline = boundaries.dissolve(S.territories(spark, sf))
+    return outline.select("name", *[F.col(c).cast("long").alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
 @query
 def boundary_active(spark: SparkSession, sf: str) -> DataFrame:
     active = boundaries.active_boundaries(S.countries(spark, sf), S.listings(spark, sf))

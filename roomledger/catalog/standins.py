@@ -260,6 +260,17 @@ def subdivisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _projected(strips.selectExpr("layer", "name", f"{_ring(corners)} as lonlat"))
 
 
+def territories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares that touch, one per supplier, as parts of three lands; every other ring turns the other way."""
+    placed = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('Land ', s_suppkey % 20 div 7) as name", "s_name as part", "s_suppkey % 2 = 0 as turned",
+        "cast(s_suppkey % 20 * 10 as double) as x0", "cast(s_suppkey div 20 * 10 as double) as y0",
+    )
+    corners = """array(struct(x0 as x, y0 as y), struct(x0 + 10 as x, y0 as y),
+                       struct(x0 + 10 as x, y0 + 10 as y), struct(x0 as x, y0 + 10 as y))"""
+    return placed.selectExpr("name", "part", f"if(turned, reverse({corners}), {corners}) as ring")
+
+
 def hull_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points on integer coordinates with a country, region and city."""
     return table(spark, sf_dir, "customer").selectExpr(

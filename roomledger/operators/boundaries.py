@@ -91,6 +91,24 @@ def ring_edges(boundaries: DataFrame) -> DataFrame:
     return rings.select(layer.alias("layer"), F.col("name"), part.alias("part"), F.inline(edges))
 
 
+def dissolve(boundaries: DataFrame) -> DataFrame:
+    """Outlines of names whose parts touch, one row per edge: layer, name, x1, y1, x2, y2, dx, dy.
+
+    Parts may share corners and whole edges but not area, as in a boundary
+    set. An edge that two parts of a name share is inside and goes, whichever
+    way their rings turn; what is left bounds the union, holes included, so
+    ray casting over it and distances to it are those of the union. Edges run
+    from their lesser end; repeated parts count once, edges without length and
+    empty or null rings not at all. Edges are counted by their ends, so no
+    group grows with its name.
+    """
+    keys = [c for c in ("layer", "name", "ring") if c in boundaries.columns]
+    edges = ring_edges(boundaries.select(*keys).distinct()).filter((F.col("dx") != 0) | (F.col("dy") != 0))
+    ends = [F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2)]
+    counted = edges.groupBy("layer", "name", F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).agg(F.count("*").alias("n"))
+    return counted.filter("n % 2 = 1").select("layer", "name", geo.as_edge(F.col("a"), F.col("b")).alias("edge")).select("layer", "name", "edge.*")
+
+
 def _with_columns(rows: DataFrame, cell: float, margin: float) -> DataFrame:
     """Edges in a grid row ``cy`` with the columns they reach there, ``from_cx`` to ``to_cx``."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")

@@ -302,3 +302,21 @@ def test_places_are_joined_and_counted(spark):
         (1, "Halifax (RGM)"), (2, "Halifax (RGM)"), (2, "Halifax A (T)"), (3, "Truro"), (4, "")]
     assert {r.place: r.n for r in places.place_counts(joined).collect()} == {"Halifax": 3, None: 2}
     assert places.place_join(points, listed, cell=20.0, keep_all=False).count() == 4
+
+
+def test_dissolved_outline_is_the_outline_of_the_union(spark):
+    """Membership and distance by the outline are those of the union; the shared border is gone, a hole stays."""
+    cells = [(0, 0), (10, 0), (20, 0), (0, 10), (20, 10), (0, 20), (10, 20), (20, 20)]  # a ring of squares around a hole
+    rows = [("", "A", str(i), ring(square(x, y, 10)[:: 1 if i % 2 else -1])) for i, (x, y) in enumerate(cells)]
+    closed = square(30, 0, 10) + [(30, 0)]  # another name's square, its first corner repeated
+    rows += [rows[0], ("", "B", "b", ring(closed)), ("", "B", "empty", []), ("", "B", "null", None)]
+    out = boundaries.dissolve(spark.createDataFrame(rows, POLYGONS)).collect()
+    edges = {name: {((e.x1, e.y1), (e.x2, e.y2)) for e in out if e.name == name} for name in "AB"}
+    assert len(out) == 16 + 4 and len(edges["A"]) == 16 and len(edges["B"]) == 4
+    assert ((10.0, 0.0), (10.0, 10.0)) not in edges["A"] and ((10.0, 10.0), (10.0, 20.0)) in edges["A"]
+    dice = random.Random(5)
+    for _ in range(300):
+        x, y = dice.uniform(-5, 35), dice.uniform(-5, 35)
+        crossed = sum((a[1] > y) != (b[1] > y) and x < a[0] + (y - a[1]) * (b[0] - a[0]) / (b[1] - a[1]) for a, b in edges["A"])
+        assert crossed % 2 == any(cx < x < cx + 10 and cy < y < cy + 10 for cx, cy in cells)
+    assert boundaries.dissolve(spark.createDataFrame([], POLYGONS)).count() == 0
