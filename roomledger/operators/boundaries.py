@@ -6,17 +6,21 @@ struct<x,y> in EPSG:3857. Several rings of one part may be islands or holes.
 The index is a quadtree of cells with everything needed to decide a point of
 the cell: per polygon the edges within reach of the cell, and the heights at
 which the number of edges further right changes parity. A point looks up the
-level of its cell; locating it is then one equi-join and one projection,
-whatever the polygons.
+level of its cell; locating it is then one equi-join and one projection.
+Where cells hold many edges, points and edges meet in groups of one cell.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomledger import fixed_values as fixed
 from roomledger.functions import geometry as geo
@@ -34,6 +38,13 @@ MOST_ITEMS = 1024
 DEEPEST = 12
 # Cells with more than one in so many of all lookups are hot.
 HOT_ROWS = 1000
+# Indexes whose rows have more edges and flips than this on average test their points in groups.
+LIGHT_ITEMS = 32
+# Points of a group by the rows of its cell, points tested at once, tests of a task, and hits of a batch.
+GROUP_POINTS = 4096
+BLOCK_POINTS = 512
+TASK_TESTS = 5_000_000
+BATCH_HITS = 50_000
 # Edges of a block, and the squares that a search for the nearest narrows, from all of the plane.
 BLOCK_EDGES = 256
 SIDES = (2.0**25, 2.0**21, 2.0**17)
@@ -216,7 +227,7 @@ class GridIndex:
     ``cells`` has rows (cell_level, cell_x, cell_y, piece, pieces, parts,
     weight); ``parts`` has one entry per polygon that covers or comes near the
     cell: layer, name, part, edges, flips. ``cut`` has the keys of the cells
-    that are cut in four.
+    that are cut in four, ``items`` is the mean weight.
     """
 
     cells: DataFrame
@@ -225,6 +236,7 @@ class GridIndex:
     reach: float
     depth: int
     pieces: int
+    items: float
 
 
 def _cells(items: DataFrame, most: int, crowded: bool) -> DataFrame:
@@ -282,7 +294,8 @@ def boundary_index(
     rows = materialize(_cells(reduce(DataFrame.unionByName, leaves), most, crowded), "index")
     none = spark.createDataFrame([], "cell_level int, cell_x long, cell_y long")
     divided = materialize(reduce(DataFrame.unionByName, cut), "index-cut") if cut else none
-    return GridIndex(rows, divided, cell, reach, level, -(-most_here // most) if crowded else 1)
+    items = rows.agg(F.avg("weight")).first()[0] or 0.0
+    return GridIndex(rows, divided, cell, reach, level, -(-most_here // most) if crowded else 1, items)
 
 
 # --- points -----------------------------------------------------------------
@@ -363,6 +376,112 @@ def _met(points: DataFrame, index: GridIndex, limit: int) -> DataFrame:
     return near.select(*columns).unionByName(rest.select(*columns)).unionByName(nowhere, allowMissingColumns=True)
 
 
+def _polygons(cells: pa.Table) -> tuple[list[tuple], np.ndarray, np.ndarray, dict[str, np.ndarray], np.ndarray]:
+    """The rows of a cell as polygons: their keys; edges by polygon and fields; flips by polygon and heights."""
+    parts = cells.column("parts").combine_chunks().flatten()
+    fields = dict(zip([f.name for f in parts.type], parts.flatten()))
+    numbers: dict[tuple, int] = {}
+    keys = zip(*(fields[k].to_pylist() for k in POLYGON))
+    of = np.array([numbers.setdefault(key, len(numbers)) for key in keys], dtype=np.int64)
+    found = []
+    for name in ("edges", "flips"):
+        each = np.repeat(of, fields[name].value_lengths().to_numpy(zero_copy_only=False))
+        order = np.argsort(each, kind="stable")
+        found.append((each[order], fields[name].flatten().take(pa.array(order))))
+    (edge_of, edges), (flip_of, flips) = found
+    columns = {f.name: c.to_numpy(zero_copy_only=False) for f, c in zip(edges.type, edges.flatten())}
+    return list(numbers), edge_of, flip_of, columns, flips.to_numpy(zero_copy_only=False)
+
+
+def _blocks(of: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Stretches of sorted polygon numbers: the stretch, its polygons, and where each begins in it."""
+    for low in range(0, len(of), BLOCK_EDGES):
+        part = of[low : low + BLOCK_EDGES]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        yield slice(low, low + len(part)), part[starts], starts
+
+
+def _tests(cells: pa.Table, x: np.ndarray, y: np.ndarray) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """Every polygon of a cell against every point: the polygons' keys, whether inside, and the distance to the edges known there."""
+    keys, edge_of, flip_of, edges, flips = _polygons(cells)
+    odd = np.zeros((len(keys), len(x)), dtype=bool)
+    away = np.full((len(keys), len(x)), np.inf)
+    for low in range(0, len(x), BLOCK_POINTS):
+        few = slice(low, low + BLOCK_POINTS)
+        px, py = x[None, few], y[None, few]
+        for at, of, starts in _blocks(flip_of):
+            odd[of, few] ^= np.logical_xor.reduceat(flips[at, None] > py, starts)
+        for at, of, starts in _blocks(edge_of):
+            x1, y1, y2, dx, dy = (edges[c][at, None] for c in ("x1", "y1", "y2", "dx", "dy"))
+            rx, ry = px - x1, py - y1
+            length = dx * dx + dy * dy
+            with np.errstate(divide="ignore", invalid="ignore"):
+                crosses = ((y1 > py) != (y2 > py)) & (px < x1 + ry * dx / dy)
+                share = np.where(length > 0, (rx * dx + ry * dy) / length, 0.0).clip(0.0, 1.0)
+            odd[of, few] ^= np.logical_xor.reduceat(crosses, starts)
+            near = np.hypot(x1 + share * dx - px, y1 + share * dy - py)
+            away[of, few] = np.minimum(away[of, few], np.minimum.reduceat(near, starts))
+    return keys, odd | (away <= geo.ON_LINE), away
+
+
+def _group_hits(kept: list[str], column: str, reach: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Group function: points of one cell with their hits among all rows of the cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        is_point = table.column("parts").is_null()
+        points = table.filter(is_point).column("point").combine_chunks()
+        fields = points.flatten()
+        x, y = (fields[kept.index(c)].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+        keys, inside, away = _tests(table.filter(pa.compute.invert(is_point)), x, y)
+        distance = np.where(inside, 0.0, away)
+        within = distance <= reach
+        counts = within.sum(axis=0)
+        layers, names = (pa.array([key[k] for key in keys], pa.string()) for k in (0, 1))
+        low = 0
+        while low < len(x):
+            high = low + max(1, int(np.searchsorted(np.cumsum(counts[low:]), BATCH_HITS)))
+            rows, found = np.nonzero(within[:, low:high].T)
+            at, taken = (found, rows + low), pa.array(found)
+            hits = [layers.take(taken), names.take(taken), pa.array(inside[at]), pa.array(distance[at])]
+            ends = np.r_[0, np.cumsum(counts[low:high])].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(hits, ["layer", "name", "inside", "distance"]))
+            own = [f.slice(low, len(lists)) for f in fields]
+            yield pa.RecordBatch.from_arrays([*own, lists], [*kept, column])
+            low = high
+
+    return run
+
+
+def _located_in_groups(points: DataFrame, index: GridIndex, column: str) -> DataFrame:
+    """``locate`` by groups: some points of a cell and all rows of the cell come together.
+
+    The more rows a cell has, the fewer points a group has, so a hot cell is
+    many groups and a group's memory is bounded; its tests run on arrays.
+    """
+    kept = points.columns
+    addressed = materialize(_addressed(points.withColumn("_id", F.monotonically_increasing_id()), index), "addressed")
+    weights = index.cells.groupBy(*CELL_KEY).agg(F.max("pieces").alias("pieces"), F.sum("weight").alias("weight"))
+    size = F.greatest(F.lit(1), F.floor(F.lit(GROUP_POINTS) / F.col("pieces")))
+    loads = addressed.groupBy(*CELL_KEY).agg(F.count("*").alias("n")).join(weights, CELL_KEY)
+    loads = loads.select(*CELL_KEY, F.ceil(F.col("n") / size).alias("groups"), (F.col("n") * F.col("weight")).alias("tests"))
+    loads = materialize(loads, "cell-loads")
+    tests = loads.agg(F.sum("tests")).first()[0] or 0
+    loads = loads.drop("tests")
+    placed = lookup_join(addressed, loads, CELL_KEY, "left", stored=True)
+    nowhere = placed.filter(F.col("groups").isNull()).select(*kept, F.array().cast(HITS).alias(column))
+    point = F.struct(*kept).alias("point")
+    group = F.pmod(F.xxhash64("_id"), F.col("groups")).alias("group")
+    mine = placed.filter(F.col("groups").isNotNull()).select(*CELL_KEY, group, point)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group")
+    rows = lookup_join(index.cells, loads, CELL_KEY, "inner", stored=True).select(*CELL_KEY, every, "parts")
+    key = [*CELL_KEY, "group"]
+    both = mine.unionByName(rows, allowMissingColumns=True).repartition(int(tests // TASK_TESTS) + 1, *key)
+    schema = T.StructType([*points.schema.fields, T.StructField(column, T._parse_datatype_string(HITS))])
+    found = both.groupBy(*key).applyInArrow(_group_hits(kept, column, index.reach), schema)
+    return nowhere.unionByName(found)
+
+
 def locate(
     points: DataFrame, index: GridIndex, *, column: str = "hits", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -371,30 +490,16 @@ def locate(
     Entries are struct<layer, name, inside, distance>, distance 0 when inside;
     points on the line are inside. Points without any, or without coordinates,
     get an empty array. The points are not shuffled while the index fits a
-    broadcast and no cell has several rows.
+    broadcast and its cells are light; those of heavy cells, whose tests are
+    most of the work, are dealt in groups over as many tasks as the tests need.
     """
+    if index.pieces > 1 or index.items > LIGHT_ITEMS:
+        return _located_in_groups(points, index, column)
     x, y = F.col("x"), F.col("y")
-    kept = points.columns
-    numbered = points.withColumn("_id", F.monotonically_increasing_id()) if index.pieces > 1 else points
-    met = _met(_addressed(numbered, index), index, limit)
-    tested = F.transform("parts", lambda part: _tested(part, x, y))
-
-    def within(hits: Column) -> Column:
-        near = F.filter(hits, lambda hit: F.coalesce(hit["distance"] <= index.reach, F.lit(False)))
-        return F.coalesce(near, F.array().cast(HITS)).alias(column)
-
-    if index.pieces == 1:
-        return met.select(*kept, within(F.transform(tested, _hit)))
-    several = F.coalesce(F.col("pieces"), F.lit(1)) > 1
-    alone = met.filter(~several).select(*kept, within(F.transform(tested, _hit)))
-    # The rows of a crowded cell each know some of the edges: crossings add up, the least distance counts.
-    apart = met.filter(several).select("_id", *kept, F.explode(tested).alias("_t"))
-    whole = apart.groupBy("_id", *kept, "_t.layer", "_t.name", "_t.part").agg(
-        F.sum("_t.crossed").alias("crossed"), F.min("_t.away").alias("away")
-    )
-    hit = _hit(F.struct("layer", "name", "crossed", "away"))
-    together = whole.groupBy("_id", *kept).agg(F.collect_list(hit).alias("_hits"))
-    return alone.unionByName(together.select(*kept, within(F.col("_hits"))))
+    met = _met(_addressed(points, index), index, limit)
+    hits = F.transform(F.transform("parts", lambda part: _tested(part, x, y)), _hit)
+    near = F.filter(hits, lambda hit: F.coalesce(hit["distance"] <= index.reach, F.lit(False)))
+    return met.select(*points.columns, F.coalesce(near, F.array().cast(HITS)).alias(column))
 
 
 # --- the nearest polygon, however far -----------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roomledger.functions.joins import keep_in, keep_not_in, lookup_join, salted, upsert
-from roomledger.operators import boundaries
+from roomledger.operators import boundaries, places
 from roomledger.operators.routing import route_daily
 from roomledger.plans.monthly_daily import daily_ranges
 from roomledger.session import materialize
@@ -102,3 +102,39 @@ def test_locating_survives_an_index_beyond_the_broadcast_limit(spark, monkeypatc
     large = boundaries.locate(points, index, limit=0)
     assert rows(small) == rows(large)
     assert small.filter("size(hits) > 0").count() > 100
+
+
+def crowd(spark):
+    """Points of one task among polygons that overlap: squares, one with a hole, edges without length."""
+    corners = lambda x, y, w: ", ".join(f"named_struct('x', {a}, 'y', {b})" for a, b in ((x, y), (f"{x} + {w}", y), (f"{x} + {w}", f"{y} + {w}"), (x, f"{y} + {w}"), (x, f"{y} + {w}")))
+    x, y = "cast(id * 37 % 90 as double)", "cast(id * 53 % 70 as double)"
+    polygons = spark.range(60).selectExpr("'m' as layer", "concat('P', id) as name", "'' as part", f"array({corners(x, y, 20)}) as ring")
+    hole = spark.range(1).selectExpr("'m' as layer", "'P3' as name", "'' as part", f"array({corners('25D', '93D', 9)}) as ring")
+    points = spark.range(3000, numPartitions=1).selectExpr("id", "if(id % 500 = 0, null, id * 17 % 130 - 9.5D) as x", "if(id % 7 = 0, 40D, cast(id * 29 % 110 as double)) as y")
+    return points.unionByName(points.filter("id < 40")).coalesce(1), polygons.unionByName(hole)
+
+
+@pytest.mark.parametrize("most, reach", [(1024, 0.0), (1024, 6.0), (16, 6.0), (3, 40.0)])
+def test_points_among_many_polygons_are_located_in_groups(spark, monkeypatch, most, reach):
+    points, polygons = crowd(spark)
+    hits = lambda df: sorted((r.id, sorted(map(str, r.hits))) for r in df.collect())
+    monkeypatch.setattr(boundaries, "LIGHT_ITEMS", 10**9)
+    plain = boundaries.locate(points, boundaries.boundary_index(polygons, cell=50.0, reach=reach))
+    assert "FlatMapGroups" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    for name, value in (("LIGHT_ITEMS", 1), ("GROUP_POINTS", 100), ("BLOCK_POINTS", 30), ("BLOCK_EDGES", 7), ("TASK_TESTS", 20_000), ("BATCH_HITS", 50)):
+        monkeypatch.setattr(boundaries, name, value)
+    index = boundaries.boundary_index(polygons, cell=50.0, reach=reach, most=most)
+    assert (index.pieces > 1) == (most < 1024)
+    grouped = boundaries.locate(points, index)
+    assert hits(grouped) == hits(plain) and len(hits(plain)) == 3040
+    assert grouped.columns == plain.columns and grouped.rdd.getNumPartitions() > 2
+    assert "Aggregate" not in grouped._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_places_are_tested_in_as_many_tasks_as_the_tests_need(spark, monkeypatch):
+    """A small file of points among many polygons was one task."""
+    monkeypatch.setattr(boundaries, "TASK_TESTS", 20_000, raising=False)
+    points, polygons = crowd(spark)
+    joined = places.place_join(points, polygons, cell=50.0)
+    assert joined.rdd.getNumPartitions() > 3
+    assert joined.count() >= 3040
