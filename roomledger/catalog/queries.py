@@ -946,7 +946,8 @@ def _deliver_property(spark: SparkSession, sf: str) -> str:
         "Airbnb Host ID": "ab_host", "HomeAway Property Manager": "ha_host",
     }
     supplied = ["Zipcode", *(name for name, _, _ in fixed.PROPERTY_COLUMNS), "Published Nightly Rate (USD)"]
-    file = raw.selectExpr(*[f"{filled.get(name, 'cast(null as string)')} as `{name}`" for name in supplied])
+    # compressed parts are read by a task each
+    file = raw.repartition("property_ID").selectExpr(*[f"{filled.get(name, 'cast(null as string)')} as `{name}`" for name in supplied])
     path = f"{new_run_dir(spark, 'delivery')}/{delivered.PROPERTY_PREFIX}2024-02-03.csv"
     file.write.option("header", True).option("escape", '"').option("compression", "gzip").csv(path)
     return path

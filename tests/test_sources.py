@@ -212,3 +212,13 @@ def test_an_empty_rerun_empties_its_month_only(spark, tmp_path):
     stored = tables.read_table(spark, path)
     assert {r.year_month for r in stored.select("year_month").collect()} == {"2020_02"} and stored.count() == 5
     tables.assert_readback(stored, df.limit(0), "2020_01")
+
+
+def test_a_record_is_parsed_once_and_shuffled_only_over_the_end_of_a_range(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "STEPS", [])
+    lines = [HEADER, *(property_line(property_ID=f"ab-{k}", listing_title=f'"a\n{k}\n"', bedrooms="2" if k % 2 else "many") for k in range(50))]
+    bad = delivered.parse_errors(delivered.read_property(spark, write(tmp_path / "property.csv", lines)))
+    stored = spark.read.parquet(session.STEPS[-1])
+    assert stored.count() == 50 and stored.filter("of_range is not null").count() == 0
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") <= 2  # records of one range, and of several
+    assert sorted(bad.select("listing_title").collect()) == sorted((f"a\n{k}\n",) for k in range(0, 50, 2))
