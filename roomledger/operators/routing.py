@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomledger.functions.columns import has_platform_prefix, is_true
+from roomledger.session import stored_input, tune
 
 LISTING_ATTRIBUTES = ["host_ID", "listing_type", "housing", "country", "region", "city"]
 
@@ -30,8 +31,11 @@ def route_daily(nights: DataFrame, property: DataFrame, *, for_ranges: bool = Tr
     With ``for_ranges`` the join shuffles both sides once on the listing, and
     what follows on the listing (unique_nights, compress_ranges) needs no
     further shuffle. A broadcast would save nothing there, as those steps
-    would shuffle the nights, and twice. Without it, Spark may broadcast.
+    would shuffle the nights, and twice; the shuffle is as wide as the nights
+    are large, as its tasks hold what they sort. Without it, Spark may broadcast.
     """
+    if for_ranges:
+        tune(nights.sparkSession, stored_input(nights))
     listings = property.select("property_ID", "created", "scraped", F.lit(True).alias("_known"))
     faulty = F.col("property_ID").isNull() | F.col("date").isNull() | F.col("status").isNull()
     if "parse_error" in nights.columns:

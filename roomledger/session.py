@@ -21,24 +21,40 @@ SETTINGS = {
 }
 
 
-# What one shuffle task should get of the largest input.
-TASK_BYTES = 512 * 1024**2
+# What one shuffle task should get of the stored input. Rows that are sorted take some 25 times what is shuffled.
+TASK_BYTES = 8 * 1024**2
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+OWN_INITIAL = "roomledger.initialPartitionNum"
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the run-time settings the operators count on to a session.
 
     With the size of the largest input, shuffles start with enough partitions
-    for it; adaptive execution joins up those that turn out small.
+    for it; adaptive execution joins up those that turn out small. Without it,
+    the number that an earlier call set is taken back.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    own = spark.conf.get(OWN_INITIAL, None)
+    if own is not None and spark.conf.get(INITIAL, None) == own:
+        spark.conf.unset(INITIAL)
+    spark.conf.unset(OWN_INITIAL)
     if input_bytes is not None:
-        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // TASK_BYTES))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+        plain = spark.conf.get(INITIAL, spark.conf.get("spark.sql.shuffle.partitions"))
+        wide = str(max(int(plain), -(-input_bytes // TASK_BYTES)))
+        spark.conf.set(INITIAL, wide)
+        spark.conf.set(OWN_INITIAL, wide)
     return spark
 
 
+def stored_input(df: DataFrame) -> int:
+    """Size of the files a table is read from, without a job; what is not read from files counts as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(size for size in sizes if size < 2**60)
+
+
 # Steps written by this process and not removed yet.
 STEPS: list[str] = []
 

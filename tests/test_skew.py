@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from roomledger import session
 from roomledger.functions.joins import keep_in, keep_not_in, lookup_join, salted, upsert
 from roomledger.operators import boundaries, places
 from roomledger.operators.routing import route_daily
 from roomledger.plans.monthly_daily import daily_ranges
-from roomledger.session import materialize
+from roomledger.session import materialize, tune
 
 
 def rows(df):
@@ -138,3 +139,14 @@ def test_places_are_tested_in_as_many_tasks_as_the_tests_need(spark, monkeypatch
     joined = places.place_join(points, polygons, cell=50.0)
     assert joined.rdd.getNumPartitions() > 3
     assert joined.count() >= 3040
+
+
+def test_shuffles_of_nights_are_as_wide_as_the_nights_are_large(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_BYTES", 200)
+    nights = spark.range(2000).selectExpr("concat('ab-', id) as property_ID", "date'2024-01-01' as date", "'A' as status")
+    property = nights.selectExpr("property_ID", "date'2024-01-01' as created", "date'2024-01-31' as scraped")
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert route_daily(materialize(nights), property).filter("route = 'active'").count() == 2000
+    assert int(spark.conf.get(width)) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tune(spark)
+    assert spark.conf.get(width, None) is None
