@@ -18,14 +18,23 @@ ESCAPE = 15
 PAYLOAD = np.uint64((1 << 60) - 1)
 
 
-def _widths(values: np.ndarray) -> np.ndarray:
-    """Bits that each value needs, by the next payload width; 64 beyond all of them."""
+def _compared_widths(values: np.ndarray) -> np.ndarray:
     widths = np.full(values.shape, 64, np.uint8)
     for bits in np.unique(BITS)[::-1]:
         widths[values < np.uint64(1 << int(bits))] = bits
     return widths
 
 
+SMALL_WIDTHS = _compared_widths(np.arange(1 << 16, dtype=np.uint64))
+
+
+def _widths(values: np.ndarray) -> np.ndarray:
+    """Bits that each value needs, by the next payload width; 64 beyond all of them. Ids of 16 bits are looked up."""
+    if values.max(initial=0) < len(SMALL_WIDTHS):
+        return SMALL_WIDTHS[values.astype(np.int64)]
+    return _compared_widths(values)
+
+
 def _fitting(values: np.ndarray) -> np.ndarray:
     """For every place of every block the selector that packs the most ids from there on."""
     most = _widths(values)

@@ -38,8 +38,13 @@ class Words(NamedTuple):
     hashes: np.ndarray
     bounds: np.ndarray  # where each text's words begin among all words; one more entry than texts
 
-    def word(self, i: int) -> bytes:
-        return self.joined[self.first[i]:self.past[i]].tobytes()
+    def some(self, which: np.ndarray) -> list[str]:
+        """Some of the words as strings."""
+        length = self.past[which] - self.first[which] + 1  # with the white space behind a word
+        ends = np.cumsum(length)
+        found = self.joined[np.arange(ends[-1]) + np.repeat(self.first[which] - (ends - length), length)] if len(which) else self.joined[:0]
+        found[ends - 1] = ord("\n")
+        return found.tobytes().decode().split("\n")[:-1]
 
 
 def grouped(texts: list[bytes], most: int = GROUP) -> Iterator[tuple[int, int]]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 import zlib
 
 import numpy as np
@@ -29,6 +30,37 @@ def test_ids_equal_the_tokenizers(texts, literal):
             assert ids.tolist() == plain(literal)(text.encode("utf-8", "replace").decode())
 
 
+def test_new_words_are_cut_into_parts_together():
+    some = [a + b for a in "abcdef" for b in "uvwxyz"]
+    text = " ".join(f"{a}.{b}" for a in some for b in some)
+    encoder, calls = tokens.WordEncoder(public_tokenizers.path(tokens.VOCABULARY)), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        found = encoder.encode([text.encode()])
+    finally:
+        sys.setprofile(None)
+    assert found[0].tolist() == plain()(text)
+    assert calls < len(some) ** 2  # not one for each new word
+
+
+def test_plain_words_are_those_that_are_printable_in_latin_1():
+    for c in map(chr, [*range(0x21, 0x180), 0x3000, 0x4E00]):
+        if not c.isspace():
+            assert bool(tokens.PLAIN.fullmatch(c)) == (c.isprintable() and c <= "\xff"), c
+    assert not tokens.PLAIN.fullmatch("a<|b") and tokens.PLAIN.fullmatch("a<b|")
+
+
+def test_widths_looked_up_are_those_compared():
+    for values in ([0, 1, 2, 3, 255, 256, 65535], [65536, 5, 1 << 59, 1 << 60, (1 << 64) - 1], []):
+        values = np.array(values, np.uint64)
+        assert np.array_equal(simple8b._widths(values), simple8b._compared_widths(values))
+
+
 @profile(max_examples=100, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 50000), st.integers(0, (1 << 64) - 1)), max_size=700))
 def test_words_of_simple8b_hold_all_ids(ids):
