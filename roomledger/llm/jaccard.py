@@ -177,9 +177,10 @@ def _spread(shingles: np.ndarray, node: int, often: np.ndarray, blocks: np.ndarr
 def shared_shingles(docs: DataFrame, often: DataFrame) -> DataFrame:
     """Step 2. Rows (leader, node, n_leader, n_node): every pair that could link is under one leader, or is one."""
     spark = docs.sparkSession
-    most = often.orderBy(F.desc("nodes"), "shingle").limit(ORDERED).collect()  # bounded, and results do not depend on it
-    last = np.array(sorted((r["shingle"] % (1 << 64), r["nodes"]) for r in most), np.uint64).reshape(-1, 2)
-    shared = spark.sparkContext.broadcast((last[:, 0].copy(), -(-last[:, 1].astype(np.int64) // GROUP)))
+    most = often.orderBy(F.desc("nodes"), "shingle").limit(ORDERED).toArrow()  # bounded, and results do not depend on it
+    last = most.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(last)
+    shared = spark.sparkContext.broadcast((last[order], -(-most.column("nodes").to_numpy().astype(np.int64)[order] // GROUP)))
     width, size = shuffle_width(spark), stored_bytes(docs)
     # A plan that does not know its size says so by a number beyond all files.
     parts = max(width, min(size // PART_BYTES, 1 << 20)) if size < 1 << 60 else width

@@ -36,6 +36,7 @@ UNKNOWN = "und"
 LEAST_SCORE = 0.1  # a text like no learned language scores about 0
 TABLE = 0x32400  # code points looked up; beyond them there are no letters
 CHARS = 1 << 20  # of texts scanned at once
+COMPARED = 256  # sets whose kernels are worked out at once
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -110,8 +111,13 @@ class Model:
 
 
 def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    a, b = a.astype(np.float32), b.astype(np.float32)
-    return (a @ b.T) / np.sqrt(np.maximum(np.outer(a.sum(axis=1), b.sum(axis=1)), 1))
+    """The kernels of all sets of ``a`` with all of ``b``; ``a`` is turned to floats ``COMPARED`` rows at a time."""
+    found = np.zeros((len(a), len(b)), np.float32)
+    b = b.astype(np.float32)
+    for low in range(0, len(a), COMPARED):
+        rows = a[low:low + COMPARED].astype(np.float32)
+        found[low:low + COMPARED] = (rows @ b.T) / np.sqrt(np.maximum(np.outer(rows.sum(axis=1), b.sum(axis=1)), 1))
+    return found
 
 
 def fit(places: np.ndarray, labels: list[str], n_landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:

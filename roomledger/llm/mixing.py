@@ -100,17 +100,21 @@ def placed_documents(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def schedule(sources: DataFrame) -> DataFrame:
-    """The mix in order: rows (position, source_no, block), block counting on through a source's repeats."""
+    """The mix in order: rows (position, source_no, block), block counting on through a source's repeats.
+
+    Its steps are written tables: as parts of one plan they would be planned
+    anew, by the driver, whenever a shuffle ends.
+    """
     spark = sources.sparkSession
     wanted = F.ceil(F.floor("target") / F.lit(BLOCK))
     upto = Window.orderBy("source_no")
     shares = sources.withColumn("slots", wanted.cast("long")).withColumn(
         "end", F.sum("slots").over(upto)
     ).withColumn("total", F.sum("slots").over(Window.partitionBy())).filter("slots > 0")
-    shares = shares.select(
+    shares = materialize(shares.select(
         "source_no", "slots", "total", ((F.col("end") - F.col("slots")) / F.col("total")).alias("low"),
         (F.col("end") / F.col("total")).alias("high"),
-    )
+    ), "mix-shares")
     n_slots = shares.agg(F.max("total")).first()[0] or 0
     chunk = max(CHUNK, math.isqrt(n_slots))
     j = F.col("id") + 1
@@ -122,6 +126,7 @@ def schedule(sources: DataFrame) -> DataFrame:
     cells = shares.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * CELLS).cast("int"), last)))
     fallen = points.join(cells, "cell").filter((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
     fallen = fallen.select("position", "source_no", "slots", F.floor(F.col("position") / chunk).alias("chunk"))
+    fallen = materialize(fallen, "mix-fallen")
     ahead = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counted = fallen.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     bases = counted.withColumn("base", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
@@ -140,7 +145,7 @@ def schedule(sources: DataFrame) -> DataFrame:
         .withColumn("block", F.explode(F.sequence(F.col("got"), F.col("slots") - 1)))
         .select((F.lit(n_slots) + F.col("block")).alias("position"), "source_no", "block")
     )
-    return ranked.unionByName(late)
+    return materialize(ranked.unionByName(late), "mix-schedule")
 
 
 def segments(placed: DataFrame) -> DataFrame:
@@ -201,7 +206,7 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: fl
     times = chosen.groupBy("key", "text_hash", "source").agg(F.count("*").alias("times"))
     rows = sized.groupBy("key", "text_hash", "source").agg(F.count("*").alias("rows"))
     # Both sides are narrow; the texts are joined to what is left of them, once.
-    wanted = times.alias("t").join(rows.alias("r"), _same("t", "r")).select("t.*", "rows")
+    wanted = materialize(times.alias("t").join(rows.alias("r"), _same("t", "r")).select("t.*", "rows"), "mix-wanted")
     keyed = docs.select(F.struct(*docs.columns).alias("row"), mix_key(F.col("doc_id")).alias("key"),
                         F.xxhash64("text").alias("text_hash"), "source")
     found = keyed.alias("k").join(wanted.alias("w"), _same("k", "w")).select("k.*", "times", "rows")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -116,3 +117,18 @@ def test_rejected_documents_go_and_rows_stay_as_they_were(spark):
     assert kept.columns == messy(spark).columns
     assert kept.filter("lang_pred <> 'x' or score <> 'x'").count() == 0
     assert kept.count() == messy(spark).count() - 5
+
+
+def test_the_driver_learns_without_all_sets_as_floats():
+    rng = np.random.default_rng(2)
+    places = (rng.random((2000, language.FEATURES), np.float32) < 0.1).astype(np.uint8)
+    marks = places[:50].astype(np.float32)
+    whole = (places.astype(np.float32) @ marks.T) / np.sqrt(np.maximum(np.outer(places.sum(axis=1, dtype=np.float32), marks.sum(axis=1)), 1))
+    assert np.array_equal(language._kernel(places, places[:50]), whole)
+    del whole
+    tracemalloc.start()
+    try:
+        language.fit(places, [f"l{i % 3}" for i in range(len(places))])
+        assert tracemalloc.get_traced_memory()[1] < 2 * places.nbytes
+    finally:
+        tracemalloc.stop()

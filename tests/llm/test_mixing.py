@@ -122,3 +122,10 @@ def test_the_points_decide_the_order(spark, monkeypatch):
     after = {(r.doc_id, r.first_position, r.taken) for r in mixing.taken_words(docs).collect()}
     assert {(i, taken) for i, _, taken in before} == {(i, taken) for i, _, taken in after}
     assert len(before & after) < 0.6 * len(before)
+
+
+def test_no_plan_of_the_mix_holds_all_its_steps(spark):
+    docs = messy(spark)
+    for found in (mixing.mix_documents(docs), mixing.taken_words(docs)):
+        shuffles = found._jdf.queryExecution().sparkPlan().toString().count("Window") + found._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+        assert shuffles <= 10, shuffles
