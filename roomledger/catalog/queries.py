@@ -748,18 +748,18 @@ def geocode_cascade(spark: SparkSession, sf: str) -> DataFrame:
     return _geocoded(spark, sf).select("property_ID", "geo_pass", "country_geo")
 
 
-def _near_shipments(spark: SparkSession, sf: str) -> DataFrame:
+def _near_shipments(spark: SparkSession, sf: str, *, tally: bool = False) -> DataFrame:
     """Points around two overlapping sets of rectangles, where ties are common."""
     near = S.places(spark, sf).select(F.lit(geocode.MAIN).alias("layer"), F.col("part").alias("name"), "part", "ring")
     index = boundaries.boundary_index(near, cell=100.0, reach=50.0)
     points = S.hull_points(spark, sf).select("property_ID", F.lit(None).cast("string").alias("country"), "x", "y")
-    return boundaries.locate(points, index)
+    return boundaries.locate(points, index, tally=tally)
 
 
 @query
 def tie_groups(spark: SparkSession, sf: str) -> DataFrame:
-    near = geocode.pass_matches(_near_shipments(spark, sf), 3)
-    n = F.size("candidates").cast("long")
+    near = geocode.pass_matches(_near_shipments(spark, sf, tally=True), 3)
+    n = F.aggregate("candidates", F.lit(0).cast("long"), lambda total, one: total + one["n"])
     return near.select("property_ID", n.alias("n"), (n > 1).alias("tied"))
 
 

@@ -46,7 +46,8 @@ def nearest_edge(edges: Column, px: Column, py: Column) -> Column:
     """Distance from the point to the nearest of an array of edges.
 
     The position along each edge is bound first, so it is evaluated once;
-    an edge without length has none and counts as its first end.
+    an edge without length has none and counts as its first end. The root of
+    the least square rounds alike here and in numpy, a hypotenuse does not.
     """
 
     def position(edge: Column) -> Column:
@@ -55,11 +56,12 @@ def nearest_edge(edges: Column, px: Column, py: Column) -> Column:
         share = F.least(F.lit(1.0), F.greatest(F.lit(0.0), share))
         return F.struct(edge.alias("edge"), share.alias("share"))
 
-    def distance(at: Column) -> Column:
+    def squared(at: Column) -> Column:
         edge, share = at["edge"], at["share"]
-        return F.hypot(edge["x1"] + share * edge["dx"] - px, edge["y1"] + share * edge["dy"] - py)
+        x, y = edge["x1"] + share * edge["dx"] - px, edge["y1"] + share * edge["dy"] - py
+        return x * x + y * y
 
-    return F.array_min(F.transform(F.transform(edges, position), distance))
+    return F.sqrt(F.array_min(F.transform(F.transform(edges, position), squared)))
 
 
 def ring_area(ring: Column) -> Column:

@@ -40,17 +40,26 @@ DEEPEST = 12
 HOT_ROWS = 1000
 # Indexes whose rows have more edges and flips than this on average test their points in groups.
 LIGHT_ITEMS = 32
+# Edges of a task, and items of a task, from which an index is built.
+TASK_EDGES = 20_000
+TASK_ITEMS = 250_000
 # Points of a group by the rows of its cell, points tested at once, tests of a task, and hits of a batch.
 GROUP_POINTS = 4096
 BLOCK_POINTS = 512
 TASK_TESTS = 5_000_000
 BATCH_HITS = 50_000
+# Points of a group whose hits are tallied, squares of a square, points of the smallest ones, and tests made at once.
+TALLY_POINTS = 65_536
+TALLY_SPLIT = 4
+TALLY_LEAF = 16
+TALLY_TESTS = 32_768
 # Edges of a block, and the squares that a search for the nearest narrows, from all of the plane.
 BLOCK_EDGES = 256
 SIDES = (2.0**25, 2.0**21, 2.0**17)
 # Rounding of distances, in metres.
 SLACK = 1e-3
 HITS = "array<struct<layer:string,name:string,inside:boolean,distance:double>>"
+TALLY = "array<struct<layer:string,name:string,inside:boolean,distance:double,n:bigint>>"
 
 
 # --- names ------------------------------------------------------------------
@@ -102,6 +111,14 @@ def ring_edges(boundaries: DataFrame) -> DataFrame:
     return rings.select(layer.alias("layer"), F.col("name"), part.alias("part"), F.inline(edges))
 
 
+def _dealt_edges(boundaries: DataFrame) -> DataFrame:
+    """The edges of boundaries. Many are stored, dealt over as many tasks as they need: polygons may be one small file."""
+    edges = ring_edges(boundaries)
+    n = boundaries.agg(F.sum(F.greatest(F.size("ring"), F.lit(0)))).first()[0] or 0
+    tasks = n // TASK_EDGES + 1
+    return edges if tasks == 1 else materialize(edges.repartition(tasks, *edges.columns), "index-edges")
+
+
 def dissolve(boundaries: DataFrame) -> DataFrame:
     """Outlines of names whose parts touch, one row per edge: layer, name, x1, y1, x2, y2, dx, dy.
 
@@ -153,13 +170,13 @@ def _flip_items(flips: DataFrame, flip: Column) -> DataFrame:
     return flips.select(*IN_CELL, F.lit(None).cast(EDGE).alias("edge"), flip.alias("flip"))
 
 
-def _items(boundaries: DataFrame, cell: float, margin: float) -> DataFrame:
+def _items(edges: DataFrame, cell: float, margin: float) -> DataFrame:
     """What a point has to look at, a row each: layer, name, part, cy, cx, and an edge near the cell or the height of a flip.
 
     A polygon that holds a whole cell has one flip there, at infinity.
     """
     row_key = [*POLYGON, "cy"]
-    by_row = _edges_by_row(ring_edges(boundaries), cell, margin)
+    by_row = _edges_by_row(edges, cell, margin)
     near = by_row.withColumn("cx", F.explode(F.sequence("from_cx", "to_cx")))
 
     # Ends of edges inside or above a row, the latter moved to its top. Ends
@@ -275,12 +292,13 @@ def boundary_index(
     """
     margin = reach + 1.0
     spark = boundaries.sparkSession
-    items = materialize(_items(boundaries, cell, margin), "index-items")
-    side, level, most_here = cell, 0, 0
+    items = materialize(_items(_dealt_edges(boundaries), cell, margin), "index-items")
+    side, level, most_here, total = cell, 0, 0, 0
     leaves, cut = [], []
     while True:
         weights = items.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-        most_here = weights.agg(F.max("n")).first()[0] or 0
+        most_here, here = (n or 0 for n in weights.agg(F.max("n"), F.sum("n")).first())
+        total += here
         if most_here <= most or side <= max(reach, cell / 2**DEEPEST):
             break
         heavy = materialize(weights.filter(F.col("n") > most).select("cx", "cy"), "index-cut")
@@ -291,7 +309,10 @@ def boundary_index(
         items = materialize(quarters, "index-items")
     crowded = most_here > most
     leaves.append(items.withColumn("cell_level", F.lit(level)))
-    rows = materialize(_cells(reduce(DataFrame.unionByName, leaves), most, crowded), "index")
+    found = reduce(DataFrame.unionByName, leaves)
+    if crowded:
+        found = found.repartition(total // TASK_ITEMS + 1, "cell_level", "cx", "cy")
+    rows = materialize(_cells(found, most, crowded), "index")
     none = spark.createDataFrame([], "cell_level int, cell_x long, cell_y long")
     divided = materialize(reduce(DataFrame.unionByName, cut), "index-cut") if cut else none
     items = rows.agg(F.avg("weight")).first()[0] or 0.0
@@ -331,6 +352,15 @@ def _hit(tested: Column) -> Column:
     )
 
 
+def _tallied(hits: Column) -> Column:
+    """One entry for the hits of a layer that hold the point, one for those within reach, with their number."""
+    key = lambda hit: F.struct(hit["layer"], hit["inside"])
+    entry = lambda one: F.struct(
+        one["layer"], F.lit(None), one["inside"], F.lit(None), F.size(F.filter(hits, lambda hit: key(hit) == one))
+    )
+    return F.transform(F.array_distinct(F.transform(hits, key)), entry).cast(TALLY)
+
+
 def _addressed(points: DataFrame, index: GridIndex) -> DataFrame:
     """Points with the key of their cell: down from the whole cell for as long as it is cut."""
 
@@ -401,6 +431,18 @@ def _blocks(of: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         yield slice(low, low + len(part)), part[starts], starts
 
 
+def _edge_tests(edges: dict[str, np.ndarray], at: slice | np.ndarray, px: np.ndarray, py: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the rays from places cross edges, a row each, and the squares of the distances to them."""
+    x1, y1, y2, dx, dy = (edges[c][at, None] for c in ("x1", "y1", "y2", "dx", "dy"))
+    rx, ry = px - x1, py - y1
+    length = dx * dx + dy * dy
+    with np.errstate(divide="ignore", invalid="ignore"):
+        crosses = ((y1 > py) != (y2 > py)) & (px < x1 + ry * dx / dy)
+        share = np.where(length > 0, (rx * dx + ry * dy) / length, 0.0).clip(0.0, 1.0)
+    x, y = x1 + share * dx - px, y1 + share * dy - py
+    return crosses, x * x + y * y
+
+
 def _tests(cells: pa.Table, x: np.ndarray, y: np.ndarray) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     """Every polygon of a cell against every point: the polygons' keys, whether inside, and the distance to the edges known there."""
     keys, edge_of, flip_of, edges, flips = _polygons(cells)
@@ -412,28 +454,28 @@ def _tests(cells: pa.Table, x: np.ndarray, y: np.ndarray) -> tuple[list[tuple],
         for at, of, starts in _blocks(flip_of):
             odd[of, few] ^= np.logical_xor.reduceat(flips[at, None] > py, starts)
         for at, of, starts in _blocks(edge_of):
-            x1, y1, y2, dx, dy = (edges[c][at, None] for c in ("x1", "y1", "y2", "dx", "dy"))
-            rx, ry = px - x1, py - y1
-            length = dx * dx + dy * dy
-            with np.errstate(divide="ignore", invalid="ignore"):
-                crosses = ((y1 > py) != (y2 > py)) & (px < x1 + ry * dx / dy)
-                share = np.where(length > 0, (rx * dx + ry * dy) / length, 0.0).clip(0.0, 1.0)
+            crosses, near = _edge_tests(edges, at, px, py)
             odd[of, few] ^= np.logical_xor.reduceat(crosses, starts)
-            near = np.hypot(x1 + share * dx - px, y1 + share * dy - py)
             away[of, few] = np.minimum(away[of, few], np.minimum.reduceat(near, starts))
+    np.sqrt(away, out=away)
     return keys, odd | (away <= geo.ON_LINE), away
 
 
+def _grouped(batches: Iterator[pa.RecordBatch], kept: list[str]) -> tuple[pa.Table, list[pa.Array], np.ndarray, np.ndarray]:
+    """A group taken apart: the rows of its cell, the fields of its points, and their coordinates."""
+    table = pa.Table.from_batches(list(batches))
+    is_point = table.column("parts").is_null()
+    fields = table.filter(is_point).column("point").combine_chunks().flatten()
+    x, y = (fields[kept.index(c)].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    return table.filter(pa.compute.invert(is_point)), fields, x, y
+
+
 def _group_hits(kept: list[str], column: str, reach: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Group function: points of one cell with their hits among all rows of the cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        is_point = table.column("parts").is_null()
-        points = table.filter(is_point).column("point").combine_chunks()
-        fields = points.flatten()
-        x, y = (fields[kept.index(c)].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y"))
-        keys, inside, away = _tests(table.filter(pa.compute.invert(is_point)), x, y)
+        cells, fields, x, y = _grouped(batches, kept)
+        keys, inside, away = _tests(cells, x, y)
         distance = np.where(inside, 0.0, away)
         within = distance <= reach
         counts = within.sum(axis=0)
@@ -453,37 +495,203 @@ def _group_hits(kept: list[str], column: str, reach: float) -> Callable[[Iterato
     return run
 
 
-def _located_in_groups(points: DataFrame, index: GridIndex, column: str) -> DataFrame:
+def _squares(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, int]:
+    """Points in an order in which stretches of 1, 4, 16 and so on of all are near each other, and the number of halvings.
+
+    The last stretches are as large as each other: some points may come twice.
+    """
+    halvings = 0
+    while TALLY_LEAF * TALLY_SPLIT**halvings < len(x):
+        halvings += 1
+    leaves = TALLY_SPLIT**halvings
+    order = np.resize(np.arange(len(x)), (1, leaves * -(-len(x) // leaves)))
+    while len(order) < leaves:
+        ax, ay = x[order], y[order]
+        wide = np.ptp(ax, axis=1) >= np.ptp(ay, axis=1)
+        along = np.argsort(np.where(wide[:, None], ax, ay), axis=1)
+        order = np.take_along_axis(order, along, axis=1).reshape(2 * len(order), -1)
+    return order.ravel(), halvings
+
+
+class _Outlines:
+    """The polygons of a cell, their edges and flips next to each other, to be tested against a few places each."""
+
+    def __init__(self, cells: pa.Table) -> None:
+        self.keys, edge_of, flip_of, self.edges, self.flips = _polygons(cells)
+        self.edge_n, self.flip_n = (np.bincount(of, minlength=len(self.keys)) for of in (edge_of, flip_of))
+        self.edge_at, self.flip_at = (np.cumsum(n) - n for n in (self.edge_n, self.flip_n))
+        dx, dy = self.edges["dx"], self.edges["dy"]
+        length = dx * dx + dy * dy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.along_x, self.along_y = (np.where(length > 0, d / length, 0.0) for d in (dx, dy))
+            self.slope = dx / dy
+
+    def tests(self, of: np.ndarray, px: np.ndarray, py: np.ndarray, exact: bool, outside: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Whether polygon ``of[i]`` holds the places (px[i], py[i]), and how far they are from its edges.
+
+        If not ``exact``, distances are right to less than ``SLACK`` and the
+        former holds for places farther from the edges than that. Places known
+        to be ``outside`` are only measured.
+        """
+        odd, away = np.zeros(px.shape, dtype=bool), np.full(px.shape, np.inf)
+        if not outside:
+            for some, at, rows, starts in _stretches(of, self.flip_n, self.flip_at, px.shape[1]):
+                odd[some] ^= np.logical_xor.reduceat(self.flips[at, None] > py[rows], starts)
+        for some, at, rows, starts in _stretches(of, self.edge_n, self.edge_at, px.shape[1]):
+            pairs = at, px[rows], py[rows]
+            crosses, near = _edge_tests(self.edges, *pairs) if exact else (outside or self._crosses(*pairs), self._measured(*pairs))
+            if not outside:
+                odd[some] ^= np.logical_xor.reduceat(crosses, starts)
+            away[some] = np.minimum(away[some], np.minimum.reduceat(near, starts))
+        return odd, np.sqrt(away, out=away)
+
+    def _crosses(self, at: np.ndarray, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+        """Whether the rays from places cross edges, by what is known of the edges."""
+        x1, y1, y2 = (self.edges[c][at, None] for c in ("x1", "y1", "y2"))
+        with np.errstate(invalid="ignore"):
+            return ((y1 > py) != (y2 > py)) & (px - x1 < (py - y1) * self.slope[at, None])
+
+    def _measured(self, at: np.ndarray, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+        """The squares of the distances to edges, by what is known of the edges."""
+        x1, y1, dx, dy = (self.edges[c][at, None] for c in ("x1", "y1", "dx", "dy"))
+        rx, ry = px - x1, py - y1
+        with np.errstate(invalid="ignore"):
+            share = rx * self.along_x[at, None]
+            share += ry * self.along_y[at, None]
+            np.maximum(share, 0.0, out=share)
+            np.minimum(share, 1.0, out=share)
+            rx -= share * dx
+            ry -= share * dy
+            rx *= rx
+            ry *= ry
+            rx += ry
+        return rx
+
+
+def _stretches(of: np.ndarray, n: np.ndarray, at: np.ndarray, places: int) -> Iterator[tuple]:
+    """Items of polygons ``of``, for ``TALLY_TESTS`` tests at once: whose, which, of which pair, and where each pair begins."""
+    ends = np.cumsum(n[of])
+    begins = ends - n[of]
+    total = int(ends[-1]) if len(ends) else 0
+    most = max(1, TALLY_TESTS // places)
+    for low in range(0, total, most):
+        high = min(low + most, total)
+        some = np.arange(np.searchsorted(ends, low, "right"), np.searchsorted(begins, high, "left"))
+        some = some[begins[some] < ends[some]]
+        first = np.maximum(begins[some], low)
+        lengths = np.minimum(ends[some], high) - first
+        starts = first - low
+        items = np.arange(high - low) + np.repeat(at[of[some]] - begins[some] + low, lengths)
+        yield some, items, np.repeat(some, lengths), starts
+
+
+def _tallies(cells: pa.Table, x: np.ndarray, y: np.ndarray, reach: float) -> tuple[list[tuple], np.ndarray]:
+    """Of every point the number of polygons of each kind: a layer, and whether they hold the point or are in reach only.
+
+    Points are halved into squares. The middle of a square decides for all of
+    it where a polygon's outline, and the reach, are farther from there than
+    any point of the square; the others are tested in its smaller squares and
+    last at its points, those within rounding of a decision as ``_tests`` does.
+    """
+    outlines = _Outlines(cells)
+    numbers: dict[str | None, int] = {}
+    layer_of = np.array([numbers.setdefault(key[0], len(numbers)) for key in outlines.keys], dtype=np.int64)
+    # polygons without a name have no flips in an index, so theirs are not whole outlines
+    named = np.array([None not in key for key in outlines.keys], dtype=bool)
+    kinds = [(layer, inside) for layer in numbers for inside in (False, True)]
+    if not len(x):
+        return kinds, np.zeros((0, len(kinds)), dtype=np.int64)
+    order, depth = _squares(x, y)
+    ox, oy = x[order], y[order]
+    # middles and radii of the squares by level, then the points, and once more for what has to be exact
+    levels = []
+    for level in range(depth + 1):
+        xs, ys = (v.reshape(TALLY_SPLIT**level, -1) for v in (ox, oy))
+        mx, my = ((v.min(axis=1) + v.max(axis=1)) / 2 for v in (xs, ys))
+        levels.append((mx, my, np.hypot(xs - mx[:, None], ys - my[:, None]).max(axis=1)))
+    levels += [(ox, oy, np.zeros(len(order))), (ox, oy, None)]
+    counts = [np.zeros((len(mx), len(kinds)), dtype=np.int64) for mx, _, _ in levels]
+    left = [(0, np.zeros(len(layer_of), dtype=np.int64), np.arange(len(layer_of)), False)]
+    while left:
+        level, above, of, outside = left.pop()
+        mx, my, radius = levels[level]
+        split = len(mx) // len(levels[max(level - 1, 0)][0])
+        square = above[:, None] * split + np.arange(split)
+        inside, away = outlines.tests(of, mx[square], my[square], exact=radius is None, outside=outside)
+        if radius is None:
+            inside |= away <= geo.ON_LINE
+            counted, parts = inside | (away <= reach), []
+        else:
+            far = radius[square] + SLACK
+            whole = (away > far) & named[of, None]
+            counted = whole & (inside | (away < reach - far))
+            beside = whole & ~counted & ~(away > reach + far)
+            parts = [(beside, True), (~whole, False)]
+        polygon = np.broadcast_to(of[:, None], square.shape)
+        kind = square[counted] * len(kinds) + 2 * layer_of[polygon[counted]] + inside[counted]
+        counts[level] += np.bincount(kind, minlength=counts[level].size).reshape(counts[level].shape)
+        for part, known in parts:
+            above, of = square[part], polygon[part]
+            left += [(level + 1, above[low : low + TALLY_TESTS], of[low : low + TALLY_TESTS], known) for low in range(0, len(of), TALLY_TESTS)]
+    total = counts[0]
+    for more in counts[1:]:
+        total = np.repeat(total, len(more) // len(total), axis=0) + more
+    found = np.empty((len(x), len(kinds)), dtype=np.int64)
+    found[order] = total
+    return kinds, found
+
+
+def _group_tallies(kept: list[str], column: str, reach: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Group function: points of one cell with the numbers of their hits among all rows of the cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, fields, x, y = _grouped(batches, kept)
+        kinds, found = _tallies(cells, x, y, reach)
+        rows, taken = np.nonzero(found)
+        layers, inside = (pa.array([kind[k] for kind in kinds], of).take(pa.array(taken)) for k, of in ((0, pa.string()), (1, pa.bool_())))
+        unnamed, nowhere = pa.nulls(len(taken), pa.string()), pa.nulls(len(taken), pa.float64())
+        entries = pa.StructArray.from_arrays([layers, unnamed, inside, nowhere, pa.array(found[rows, taken])], ["layer", "name", "inside", "distance", "n"])
+        ends = np.r_[0, np.cumsum((found > 0).sum(axis=1))].astype(np.int32)
+        yield pa.RecordBatch.from_arrays([*fields, pa.ListArray.from_arrays(pa.array(ends), entries)], [*kept, column])
+
+    return run
+
+
+def _located_in_groups(points: DataFrame, index: GridIndex, column: str, tally: bool) -> DataFrame:
     """``locate`` by groups: some points of a cell and all rows of the cell come together.
 
     The more rows a cell has, the fewer points a group has, so a hot cell is
     many groups and a group's memory is bounded; its tests run on arrays.
+    Tallies are as large whatever the cell holds: their groups are large
+    everywhere, so the rows of a cell are copied for few.
     """
-    kept = points.columns
+    kept, kind = points.columns, TALLY if tally else HITS
     addressed = materialize(_addressed(points.withColumn("_id", F.monotonically_increasing_id()), index), "addressed")
     weights = index.cells.groupBy(*CELL_KEY).agg(F.max("pieces").alias("pieces"), F.sum("weight").alias("weight"))
-    size = F.greatest(F.lit(1), F.floor(F.lit(GROUP_POINTS) / F.col("pieces")))
+    size = F.lit(TALLY_POINTS) if tally else F.greatest(F.lit(1), F.floor(F.lit(GROUP_POINTS) / F.col("pieces")))
     loads = addressed.groupBy(*CELL_KEY).agg(F.count("*").alias("n")).join(weights, CELL_KEY)
     loads = loads.select(*CELL_KEY, F.ceil(F.col("n") / size).alias("groups"), (F.col("n") * F.col("weight")).alias("tests"))
     loads = materialize(loads, "cell-loads")
-    tests = loads.agg(F.sum("tests")).first()[0] or 0
+    tests, groups = (total or 0 for total in loads.agg(F.sum("tests"), F.sum("groups")).first())
+    tasks = int(tests // TASK_TESTS) + 1
     loads = loads.drop("tests")
     placed = lookup_join(addressed, loads, CELL_KEY, "left", stored=True)
-    nowhere = placed.filter(F.col("groups").isNull()).select(*kept, F.array().cast(HITS).alias(column))
+    nowhere = placed.filter(F.col("groups").isNull()).select(*kept, F.array().cast(kind).alias(column))
     point = F.struct(*kept).alias("point")
     group = F.pmod(F.xxhash64("_id"), F.col("groups")).alias("group")
     mine = placed.filter(F.col("groups").isNotNull()).select(*CELL_KEY, group, point)
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group")
     rows = lookup_join(index.cells, loads, CELL_KEY, "inner", stored=True).select(*CELL_KEY, every, "parts")
     key = [*CELL_KEY, "group"]
-    both = mine.unionByName(rows, allowMissingColumns=True).repartition(int(tests // TASK_TESTS) + 1, *key)
-    schema = T.StructType([*points.schema.fields, T.StructField(column, T._parse_datatype_string(HITS))])
-    found = both.groupBy(*key).applyInArrow(_group_hits(kept, column, index.reach), schema)
+    both = mine.unionByName(rows, allowMissingColumns=True).repartition(min(tasks, max(1, groups)) if tally else tasks, *key)
+    schema = T.StructType([*points.schema.fields, T.StructField(column, T._parse_datatype_string(kind))])
+    run = (_group_tallies if tally else _group_hits)(kept, column, index.reach)
+    found = both.groupBy(*key).applyInArrow(run, schema)
     return nowhere.unionByName(found)
 
 
 def locate(
-    points: DataFrame, index: GridIndex, *, column: str = "hits", limit: int = BROADCAST_BYTES
+    points: DataFrame, index: GridIndex, *, column: str = "hits", limit: int = BROADCAST_BYTES, tally: bool = False
 ) -> DataFrame:
     """Adds an array of the polygons that hold each point or lie within reach.
 
@@ -492,14 +700,17 @@ def locate(
     get an empty array. The points are not shuffled while the index fits a
     broadcast and its cells are light; those of heavy cells, whose tests are
     most of the work, are dealt in groups over as many tasks as the tests need.
+    With ``tally`` the hits of a layer that hold the point are one entry, and
+    those within reach another: without name and distance, ``n`` is how many.
     """
     if index.pieces > 1 or index.items > LIGHT_ITEMS:
-        return _located_in_groups(points, index, column)
+        return _located_in_groups(points, index, column, tally)
     x, y = F.col("x"), F.col("y")
     met = _met(_addressed(points, index), index, limit)
     hits = F.transform(F.transform("parts", lambda part: _tested(part, x, y)), _hit)
     near = F.filter(hits, lambda hit: F.coalesce(hit["distance"] <= index.reach, F.lit(False)))
-    return met.select(*points.columns, F.coalesce(near, F.array().cast(HITS)).alias(column))
+    hits = F.coalesce(near, F.array().cast(HITS))
+    return met.select(*points.columns, (_tallied(hits) if tally else hits).alias(column))
 
 
 # --- the nearest polygon, however far -----------------------------------------

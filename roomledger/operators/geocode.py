@@ -36,16 +36,21 @@ def _pass(hit: Column, claimed: Column) -> Column:
     )
 
 
+def is_tallied(located: DataFrame) -> bool:
+    """Whether the hits are tallies, numbers without names (see ``locate``)."""
+    return "n" in located.schema["hits"].dataType.elementType.names
+
+
 def candidates(located: DataFrame) -> DataFrame:
-    """Adds ``candidates``: per hit its pass, distance and name."""
+    """Adds ``candidates``: per hit its pass, distance and name, of tallies their number ``n`` as well."""
+    numbers = ["n"] if is_tallied(located) else []
     return located.withColumn(
         "candidates",
         F.transform(
             "hits",
             lambda hit: F.struct(
                 _pass(hit, F.col("country")).alias("pass"),
-                hit["distance"].alias("distance"),
-                hit["name"].alias("name"),
+                *[hit[c].alias(c) for c in ("distance", "name", *numbers)],
             ),
         ),
     )
@@ -66,7 +71,12 @@ def geocode_cascade(located: DataFrame) -> DataFrame:
 
 
 def pass_matches(located: DataFrame, number: int) -> DataFrame:
-    """Listings whose first successful pass is ``number``, with that pass's candidates."""
+    """Listings whose first successful pass is ``number``, with that pass's candidates.
+
+    Tallied hits have no names, which tell a claimed country from others.
+    """
+    if number < 3 and is_tallied(located):
+        raise ValueError("passes 1 and 2 need the names of hits")
     found = candidates(located)
     first = F.array_min("candidates")["pass"]
     mine = F.filter("candidates", lambda one: one["pass"] == number)

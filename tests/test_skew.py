@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +136,52 @@ def test_points_among_many_polygons_are_located_in_groups(spark, monkeypatch, mo
     assert "Aggregate" not in grouped._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("light, most, reach", [(10**9, 1024, 6.0), (1, 1024, 0.0), (1, 1024, 6.0), (1, 16, 6.0), (1, 3, 40.0)])
+def test_tallies_are_the_numbers_of_hits(spark, monkeypatch, light, most, reach):
+    points, polygons = crowd(spark)
+    polygons = polygons.withColumn("layer", F.expr("if(name in ('P7', 'P8', 'P9'), null, if(name < 'P3', 'm', 'o'))"))
+    for name, value in (("LIGHT_ITEMS", light), ("TALLY_POINTS", 300), ("TASK_TESTS", 20_000), ("TASK_EDGES", 50), ("TASK_ITEMS", 200)):
+        monkeypatch.setattr(boundaries, name, value)
+    index = boundaries.boundary_index(polygons, cell=50.0, reach=reach, most=most)
+    listed, tallied = boundaries.locate(points, index), boundaries.locate(points, index, tally=True)
+    plan = tallied._jdf.queryExecution().optimizedPlan().toString()
+    assert ("FlatMapGroups" in plan) == (light == 1)
+    expected = sorted((r.id, sorted(map(repr, Counter((h.layer, h.inside) for h in r.hits).items()))) for r in listed.collect())
+    found = tallied.collect()
+    assert {h for r in found for h in (h.name for h in r.hits)} == {None} and len(found) == 3040
+    assert sorted((r.id, sorted(repr(((h.layer, h.inside), h.n)) for h in r.hits)) for r in found) == expected
+
+
+def test_tallies_of_a_crowded_cell_do_not_test_all_pairs(monkeypatch):
+    """Squares of points are decided at once, any sizes and repeats of points and polygons the same as by pairs."""
+    random = np.random.default_rng(3)
+    n, held = 3000, 500
+    x0, y0, w = random.uniform(-40, 60, n), random.uniform(-40, 60, n), random.choice([0.0, 3.0, 25.0, 250.0], n)
+    x0[:100], y0[:100] = x0[100:200].round(), y0[100:200].round()
+    xs, ys = np.stack([x0, x0 + w, x0 + w, x0], 1), np.stack([y0, y0, y0 + w, y0 + w], 1)
+    x1, y1, x2, y2 = (v.ravel() for v in (xs, ys, np.roll(xs, -1, 1), np.roll(ys, -1, 1)))
+    edges = pa.StructArray.from_arrays([pa.array(v) for v in (x1, y1, x2, y2, x2 - x1, y2 - y1)], ["x1", "y1", "x2", "y2", "dx", "dy"])
+    flips = pa.ListArray.from_arrays(np.r_[np.arange(held + 1), np.full(n - held, held)].astype("int32"), pa.array(np.where(np.arange(held) % 70 == 0, 5.5, np.inf)))
+    values = [["m", "o"] * (n // 2), [f"P{i}" if i % 70 else None for i in range(n)], [f"P{i}" for i in range(n)], pa.ListArray.from_arrays(np.arange(0, 4 * n + 1, 4, "int32"), edges), flips]
+    parts = pa.StructArray.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in values], ["layer", "name", "part", "edges", "flips"])
+    cells = pa.table({"parts": pa.ListArray.from_arrays(np.array([0, n // 3, n], "int32"), parts)})
+    tested = []
+    stretches = boundaries._stretches
+    monkeypatch.setattr(boundaries, "_stretches", lambda of, n, at, places: tested.append(n[of].sum() * places) or stretches(of, n, at, places))
+    for points, tests in ((1, 32_768), (17, 50), (2000, 32_768)):
+        monkeypatch.setattr(boundaries, "TALLY_TESTS", tests)
+        x, y = random.uniform(0, 20, points), random.uniform(0, 20, points).round()
+        x[: points // 4] = x[: points // 4].round()
+        tested.clear()
+        kinds, found = boundaries._tallies(cells, x, y, 5.0)
+        keys, inside, away = boundaries._tests(cells, x, y)
+        layer = np.array([key[0] for key in keys])
+        for number, (of, within) in enumerate(kinds):
+            mine = (layer == of)[:, None] & (inside if within else ~inside & (away <= 5.0))
+            assert (found[:, number] == mine.sum(axis=0)).all()
+    assert sum(tested) * 3 < 2000 * (len(edges) + held)
+
+
 def test_places_are_tested_in_as_many_tasks_as_the_tests_need(spark, monkeypatch):
     """A small file of points among many polygons was one task."""
     monkeypatch.setattr(boundaries, "TASK_TESTS", 20_000, raising=False)
